@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from skein.llm.bpe import op7_byte_bpe
+from skein.llm.media import op6_wav_fingerprints
+from skein.llm.secret_scan import op10_secret_scan
 
 QUERIES = {
+    "op6_wav_fingerprints": op6_wav_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLES: dict[str, str] = {}
