@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from skein.llm.bpe import op7_byte_bpe
 from skein.llm.media import op6_wav_fingerprints
+from skein.llm.quality_rules import op2_quality_rules
 from skein.llm.secret_scan import op10_secret_scan
 
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op6_wav_fingerprints": op6_wav_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_secret_scan": op10_secret_scan,
