@@ -5,12 +5,14 @@ from __future__ import annotations
 from skein.llm.bpe import op7_byte_bpe
 from skein.llm.langid import op3_language_id
 from skein.llm.media import op6_wav_fingerprints
+from skein.llm.quality_knn import op4_quality_votes
 from skein.llm.quality_rules import op2_quality_rules
 from skein.llm.secret_scan import op10_secret_scan
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_language_id": op3_language_id,
+    "op4_quality_votes": op4_quality_votes,
     "op6_wav_fingerprints": op6_wav_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_secret_scan": op10_secret_scan,
