@@ -5,6 +5,7 @@ from __future__ import annotations
 from skein.llm.bpe import op7_byte_bpe
 from skein.llm.langid import op3_language_id
 from skein.llm.media import op6_wav_fingerprints
+from skein.llm.packing import op8_ga_packing
 from skein.llm.quality_knn import op4_quality_votes
 from skein.llm.quality_rules import op2_quality_rules
 from skein.llm.secret_scan import op10_secret_scan
@@ -15,6 +16,7 @@ QUERIES = {
     "op4_quality_votes": op4_quality_votes,
     "op6_wav_fingerprints": op6_wav_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_ga_packing": op8_ga_packing,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLES: dict[str, str] = {}
