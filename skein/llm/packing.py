@@ -39,7 +39,7 @@ ROUNDS = 2
 POPULATION = 4
 GENERATIONS = 6
 #: Share of a bin's capacity from which it is left as it is when shards are joined.
-FULL = 0.97
+FULL = 0.99
 LEVELS = 3
 
 
