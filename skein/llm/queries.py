@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from skein.llm.bpe import op7_byte_bpe
+from skein.llm.chunk_dedup import op9_chunk_dedup
 from skein.llm.langid import op3_language_id
 from skein.llm.media import op6_wav_fingerprints
 from skein.llm.packing import op8_ga_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_wav_fingerprints": op6_wav_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ga_packing": op8_ga_packing,
+    "op9_chunk_dedup": op9_chunk_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLES: dict[str, str] = {}
