@@ -12,11 +12,14 @@ from skein.llm.quality_knn import op4_quality_votes
 from skein.llm.quality_rules import op2_quality_rules
 from skein.llm.secret_scan import op10_secret_scan
 
+from skein.llm.suffix_dedup import op5_suffix_dedup
+
 QUERIES = {
     "op1_dart_minhash": op1_dart_minhash,
     "op2_quality_rules": op2_quality_rules,
     "op3_language_id": op3_language_id,
     "op4_quality_votes": op4_quality_votes,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_wav_fingerprints": op6_wav_fingerprints,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ga_packing": op8_ga_packing,
