@@ -14,11 +14,13 @@ Joining: texts with equal element sets are one representative. Bands of ``ROWS``
 2. Where a bucket still holds several components, each member is compared with its likeliest partners in others.
 3. Where it still does, all pairs of members in different components are compared, but for those whose signatures
    agree in less than ``LEAST_AGREEMENT`` of coordinates (a pair at the threshold falls below by chance once in
-   30,000). Pairs inside a component need no comparison: they would change no class.
+   30,000). Pairs inside a component need no comparison: they would change no class. A bucket with more than
+   ``DENSE`` such pairs a member hands out no pairs: it is read once more with its members' element sets, all of its
+   intersections are counted by matrix products, and only links that join components leave it.
 
-Comparisons are exact (32-bit shingle hashes), made in the JVM. Steps 2 and 3 read a bucket in blocks of ``BLOCK``
-members, each pair of blocks a task of its own, so no bucket is cut off or gathered whole. A pair is handed out by the
-first bucket it shares only. With 24 bands of 5 a pair of similarity 0.8 shares no bucket with probability 0.00007.
+Comparisons are exact (32-bit shingle hashes), but for dense buckets made in the JVM. Steps 2 and 3 read a bucket in
+blocks of ``BLOCK`` members, each pair of blocks a task of its own, so no bucket is cut off or gathered whole. A pair
+is handed out by the first bucket it shares only. With 24 bands of 5 a pair of similarity 0.8 shares no bucket with probability 0.00007.
 
 Components are found by passing on least labels with shortcuts, each step written to the shared checkpoint folder.
 
@@ -28,6 +30,8 @@ null class. Ties of leaders go to the least id. An empty table gives no rows. Ot
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -44,6 +48,9 @@ K = BANDS * ROWS
 LEAST_AGREEMENT = 0.65
 BLOCK = 1024
 PARTNERS = 2
+DENSE = 4
+#: Elements that a dense bucket's matrix product takes at once.
+COLUMNS = 2048
 SLICE = 1 << 19
 
 
@@ -190,23 +197,51 @@ def components(edges: DataFrame) -> DataFrame:
         labels = stepped.select("id", "label")
 
 
-PAIRS = "a long, b long"
-
+PAIRS = "a long, b long, key long, i int, j int"
 
-def _cross_pairs(rows: DataFrame, partners: int | None) -> DataFrame:
-    """Pairs of members of a bucket in different components, each from the first bucket that both are in.
 
-    ``rows``: key, id, label, sig, size. With ``partners`` only the likeliest that many of each member.
-    """
+def _tasks(rows: DataFrame, *columns: str) -> DataFrame:
+    """key, i, j, block and columns of each member, once for each pair of blocks of its bucket that it is in."""
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     spread = rows.withColumn("blocks", blocks).withColumn("block", own.cast("int"))
     tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
-    spread = spread.withColumn("task", F.explode(tasks)).select("key", "task.i", "task.j", "block", "id", "label", "sig")
+    return spread.withColumn("task", F.explode(tasks)).select("key", "task.i", "task.j", "block", *columns)
+
+
+def _by_task(spread: DataFrame, group, schema: str) -> DataFrame:
+    """``group(table)`` for the rows of each (key, i, j), which come one group after the other."""
     spread = spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
-    def group(held: list[pa.RecordBatch]):
-        t = pa.Table.from_batches(held)
+    def run(batches):
+        held, at = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            name = list(zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j"))))
+            lo = 0
+            for hi in range(1, len(name) + 1):
+                if hi == len(name) or name[hi] != name[lo]:
+                    if held and name[lo] != at:
+                        yield group(pa.Table.from_batches(held))
+                        held = []
+                    at = name[lo]
+                    held.append(batch.slice(lo, hi - lo))
+                    lo = hi
+        if held:
+            yield group(pa.Table.from_batches(held))
+
+    return spread.mapInArrow(run, schema)
+
+
+def _cross_pairs(rows: DataFrame, partners: int | None) -> DataFrame:
+    """Pairs of members of a bucket in different components, each from the first bucket that both are in.
+
+    ``rows``: key, id, label, sig, size. With ``partners`` only the likeliest that many of each member; without, a row
+    of null a and b stands for each task that has too many pairs to hand out.
+    """
+
+    def group(t: pa.Table) -> pa.RecordBatch:
         i, j = t["i"][0].as_py(), t["j"][0].as_py()
         ids, label, block = (t[c].to_numpy() for c in ("id", "label", "block"))
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint32).reshape(len(ids), -1)
@@ -235,28 +270,69 @@ def _cross_pairs(rows: DataFrame, partners: int | None) -> DataFrame:
             keys = band_keys(sig)
             common = keys[pairs[:, 0]] == keys[pairs[:, 1]]
             pairs = pairs[keys[pairs[:, 0], common.argmax(1)] == band]
+            if len(pairs) > DENSE * len(ids):
+                return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([band]), pa.array([i], pa.int32()), pa.array([j], pa.int32())], names=["a", "b", "key", "i", "j"])
         a, b = ids[pairs[:, 0]], ids[pairs[:, 1]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        none = pa.nulls(len(a), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.int64()), none, none], names=["a", "b", "key", "i", "j"])
+
+    return _by_task(_tasks(rows, "id", "label", "sig"), group, PAIRS)
+
+
+def _intersections(parts: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Common elements of each member of ``left`` with each of ``right``, by products of 0/1 matrices."""
+    member = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    _, column, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    often = count[column] > 1
+    member, column = member[often], (np.cumsum(count > 1) - 1)[column[often]]
+    order = np.argsort(column, kind="stable")
+    member, column = member[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [lo, lo + COLUMNS])
+        has = np.zeros((len(parts), COLUMNS), np.float32)
+        has[member[a:b], column[a:b] - lo] = 1
+        out += has[left] @ has[right].T
+    return out
+
+
+def _dense_links(rows: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join the components of each task, by exact similarities of all its members.
+
+    ``rows``: key, i, j, block, id, label, elements.
+    """
+
+    def group(t: pa.Table) -> pa.RecordBatch:
+        i, j = t["i"][0].as_py(), t["j"][0].as_py()
+        ids, label, block = (t[c].to_numpy() for c in ("id", "label", "block"))
+        parts = [np.unique(e.values.to_numpy()) for e in t["elements"]]
+        size = np.array([len(p) for p in parts])
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        both = _intersections(parts, left, right)
+        either = size[left][:, None] + size[right][None, :] - both
+        near = (both >= (threshold - 1e-9) * either) & (label[left][:, None] != label[right][None, :])
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        out = []
+        for x, y in zip(*(k.tolist() for k in np.nonzero(near))):
+            a, b = find(int(label[left[x]])), find(int(label[right[y]]))
+            if a != b:
+                root[a] = b
+                out.append(sorted((int(ids[left[x]]), int(ids[right[y]]))))
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+    return _by_task(rows, group, "a long, b long")
 
-    def run(batches):
-        held, at = [], None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            name = list(zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j"))))
-            lo = 0
-            for hi in range(1, len(name) + 1):
-                if hi == len(name) or name[hi] != name[lo]:
-                    if held and name[lo] != at:
-                        yield group(held)
-                        held = []
-                    at = name[lo]
-                    held.append(batch.slice(lo, hi - lo))
-                    lo = hi
-        if held:
-            yield group(held)
 
-    return spread.mapInArrow(run, PAIRS).distinct()
+def _release(spark: SparkSession) -> None:
+    """Lets the context drop shuffle files that checkpoints have made needless."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY, weights: str = "set") -> DataFrame:
@@ -274,7 +350,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     leader = shared.groupBy("key").agg((-F.max(F.struct("degree", (-F.col("id")).alias("minus")))["minus"]).alias("leader"))
     wanted = shared.select(F.col("id").alias(doc_id)).distinct()
     once = docs.select(doc_id, text).join(wanted, doc_id, "left_semi")
-    sets = checkpointed(element_sets(once, doc_id, text, weights).dropDuplicates(["id"]))
+    sets = checkpointed(element_sets(once.dropDuplicates([doc_id]), doc_id, text, weights))
+    _release(docs.sparkSession)
     tried = shared.join(leader, "key").filter("id != leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
     tried = checkpointed(tried)
     links = checkpointed(similar(tried, sets, threshold))
@@ -283,8 +360,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         named = shared.select("key", "id", "size").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
         rows = named.join(mixed, "key").join(first.select("id", "sig"), "id")
-        more = checkpointed(_cross_pairs(rows, partners).join(tried, ["a", "b"], "left_anti"))
-        found = checkpointed(similar(more, sets, threshold))
+        handed = checkpointed(_cross_pairs(rows, partners).distinct())
+        more = checkpointed(handed.filter("a is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"))
+        found = similar(more, sets, threshold)
+        dense = handed.filter("a is null").select("key", "i", "j")
+        if not dense.isEmpty():
+            members = _tasks(named.join(dense.select("key").distinct(), "key"), "id", "label").join(dense, ["key", "i", "j"])
+            found = found.union(_dense_links(members.join(sets, "id"), threshold).distinct())
+        found = checkpointed(found)
+        _release(docs.sparkSession)
         if not found.isEmpty():
             links = checkpointed(links.union(found))
             labels = components(links)

@@ -41,15 +41,18 @@ def test_query_against_brute_force(spark):
     assert got == brute_classes(docs)
 
 
-def test_hot_near_copies_against_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("dense", [0, 4, 1000])
+def test_hot_near_copies_against_brute_force(spark, monkeypatch, dense):
     monkeypatch.setattr(M, "BLOCK", 50)
+    monkeypatch.setattr(M, "DENSE", dense)
+    monkeypatch.setattr(M, "COLUMNS", 100)
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 7)))
     base = [word() for _ in range(150)]
     docs = []
     for i in range(220):
         w = list(base)
-        for _ in range(rng.randint(1, 6)):
+        for _ in range(rng.randint(1, 9)):
             w[rng.randrange(len(w))] = word()
         docs.append((i, " ".join(w)))
     docs += [(1000 + i, " ".join(word() for _ in range(80))) for i in range(50)]
