@@ -1,0 +1,19 @@
+"""Freeing what checkpoints have made needless."""
+
+from __future__ import annotations
+
+import gc
+import time
+
+from pyspark.sql import SparkSession
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets the context delete shuffle files that nothing refers to any more.
+
+    It learns of them from the garbage collector: the first round frees Python's handles, the second what they held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

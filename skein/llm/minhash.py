@@ -30,14 +30,13 @@ null class. Ties of leaders go to the least id. An empty table gives no rows. Ot
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.llm.cleanup import release_shuffles
 from skein.llm.text import MULTIPLIER, SpanHash, byte_view, filled, mix, slices, small_batches, words_of
 from skein.session import checkpointed
 
@@ -329,12 +328,6 @@ def _dense_links(rows: DataFrame, threshold: float) -> DataFrame:
     return _by_task(rows, group, "a long, b long")
 
 
-def _release(spark: SparkSession) -> None:
-    """Lets the context drop shuffle files that checkpoints have made needless."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY, weights: str = "set") -> DataFrame:
     """``doc_id`` and ``class_id`` of every row: the least id of the texts linked by similarities from the threshold on."""
     made = checkpointed(sketches(docs, doc_id, text, weights))
@@ -351,7 +344,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     wanted = shared.select(F.col("id").alias(doc_id)).distinct()
     once = docs.select(doc_id, text).join(wanted, doc_id, "left_semi")
     sets = checkpointed(element_sets(once.dropDuplicates([doc_id]), doc_id, text, weights))
-    _release(docs.sparkSession)
+    release_shuffles(docs.sparkSession)
     tried = shared.join(leader, "key").filter("id != leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
     tried = checkpointed(tried)
     links = checkpointed(similar(tried, sets, threshold))
@@ -368,7 +361,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             members = _tasks(named.join(dense.select("key").distinct(), "key"), "id", "label").join(dense, ["key", "i", "j"])
             found = found.union(_dense_links(members.join(sets, "id"), threshold).distinct())
         found = checkpointed(found)
-        _release(docs.sparkSession)
+        release_shuffles(docs.sparkSession)
         if not found.isEmpty():
             links = checkpointed(links.union(found))
             labels = components(links)

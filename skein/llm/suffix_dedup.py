@@ -24,7 +24,6 @@ hash of the text. An empty table gives no rows.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 
 import numpy as np
@@ -32,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.llm.cleanup import release_shuffles
 from skein.llm.text import MULTIPLIER, SpanHash, byte_view, mix, slices, small_batches
 from skein.session import checkpointed
 
@@ -278,7 +278,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = _found(texts)
     often = found.groupBy("kmer").agg(F.count("*").alias("total"), F.min("whole").alias("lo"), F.max("whole").alias("hi")).filter("total > 1")
     known = checkpointed(found.join(often.select("kmer", (F.col("lo") < F.col("hi")).alias("mixed")), "kmer"))
-    _release(spark)
+    release_shuffles(spark)
     mixed = known.filter("mixed")
     place = F.min(F.struct("id", "sub", "at"))
     once = checkpointed(mixed.groupBy("kmer", "whole").agg(place.alias("p"), F.count("*").alias("count")).select("kmer", "whole", "p.*", "count"))
@@ -295,12 +295,6 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return whole.unionByName(part).groupBy("id", "sub").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
-def _release(spark: SparkSession) -> None:
-    """Lets the context drop shuffle files that a checkpoint has made needless."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def merged(spans: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs of bytes that the spans (rows of start, end) cover; touching spans are one."""
     if not len(spans):
