@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from skein.plans import cutting, sessions, similarity, timing
+
 QUERIES: dict = {}
 ORACLES: dict = {}
+for part in (cutting, sessions, similarity, timing):
+    QUERIES |= part.QUERIES
+    ORACLES |= part.ORACLES
