@@ -30,7 +30,7 @@ UNIT = """u AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOU
 m AS (SELECT label, list(x ORDER BY i) AS c FROM (SELECT label, i, avg(v[i]) AS x FROM u, generate_series(1, 64) AS g(i) GROUP BY label, i) t GROUP BY label),
 mu AS (SELECT label, list_transform(c, lambda x: x / greatest(sqrt(list_sum(list_transform(c, lambda y: y * y))), 1e-12)) AS c FROM m)"""
 SCORED = f"""{UNIT}, r AS (SELECT vec_id, u.label, v, row_number() OVER (PARTITION BY u.label ORDER BY round(1 - greatest(least(list_dot_product(v, c), 1.0), -1.0), 9) DESC, vec_id) AS k FROM u JOIN mu ON mu.label = u.label),
-s AS (SELECT a.vec_id, a.label, coalesce(max(greatest(least(list_dot_product(a.v, b.v), 1.0), -1.0)), 0.0) AS score FROM r a LEFT JOIN r b ON a.label = b.label AND b.k < a.k GROUP BY ALL)"""
+s AS (SELECT a.vec_id, a.label, coalesce(max(CASE WHEN b.k IS NOT NULL THEN greatest(least(list_dot_product(a.v, b.v), 1.0), -1.0) END), 0.0) AS score FROM r a LEFT JOIN r b ON a.label = b.label AND b.k < a.k GROUP BY ALL)"""
 PAIRS_SQL = f"WITH {SCORED} SELECT vec_id, label, round(score, 4) AS score FROM s"
 
 
