@@ -13,7 +13,7 @@ KEYWORD_PHRASES = ("pick up", "pick-up", "parking", "drop off", "drop-off")
 
 def comma_list(text: Column) -> Column:
     """The trimmed non-empty parts of a comma-separated text; an empty array for null."""
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), ","), F.trim)
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 

@@ -22,9 +22,9 @@ TILE = 1024
 
 def centroids(rows: DataFrame, cluster: str, vector: str) -> DataFrame:
     """(cluster, centroid) as the unit vector of the mean of each cluster's unit vectors."""
-    spread = rows.select(cluster, F.posexplode(unit(F.col(vector))).alias("i", "x"))
-    means = spread.groupBy(cluster, "i").agg(F.avg("x").alias("x"))
-    return means.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("c")).select(cluster, unit(F.col("c")).alias("centroid"))
+    spread = rows.select(cluster, F.posexplode(unit(F.col(vector))).alias("__i", "__x"))
+    means = spread.groupBy(cluster, "__i").agg(F.avg("__x").alias("__x"))
+    return means.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", "__x"))), lambda s: s["__x"]).alias("__c")).select(cluster, unit(F.col("__c")).alias("centroid"))
 
 
 def ranked(rows: DataFrame, key: str, cluster: str, vector: str, middles: DataFrame, digits: int = 9) -> DataFrame:

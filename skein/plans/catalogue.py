@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from skein.plans import cutting, sessions, similarity, timing
+from skein.plans import boundary, cutting, sessions, similarity, timing
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for part in (cutting, sessions, similarity, timing):
+for part in (cutting, sessions, similarity, timing, boundary):
     QUERIES |= part.QUERIES
     ORACLES |= part.ORACLES
