@@ -12,10 +12,15 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once for each row, also where the body uses it inside lambdas."""
+    return F.transform(F.array(value), body)[0]
+
+
 def unit(v: Column) -> Column:
     """The vector over its length, which counts as 1e-12 at least."""
     norm = F.greatest(F.sqrt(dot(v, v)), F.lit(FLOOR))
-    return F.transform(v, lambda x: x.cast("double") / norm)
+    return let(norm, lambda n: F.transform(v, lambda x: x.cast("double") / n))
 
 
 def clipped_cosine(a: Column, b: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from skein.functions.vectors import clipped_cosine, dot, unit
+from skein.functions.vectors import clipped_cosine, dot, let, unit
 from skein.session import checkpointed
 
 #: Rows of a tile's side.
@@ -100,7 +100,7 @@ def nearest_centroid(rows: DataFrame, key: str, vector: str, middles: DataFrame,
     bounds, and no row is multiplied.
     """
     listed = middles.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.col(cluster).alias("k"), F.col("centroid").alias("c")))).alias("all"))
-    scored = rows.crossJoin(listed).select(key, F.transform("all", lambda m: F.struct(dot(unit(F.col(vector)), m["c"]).alias("score"), (-m["k"]).alias("minus"))).alias("s"))  # one row of all centroids
+    scored = rows.crossJoin(listed).select(key, let(unit(F.col(vector)), lambda u: F.transform("all", lambda m: F.struct(dot(u, m["c"]).alias("score"), (-m["k"]).alias("minus")))).alias("s"))  # one row of all centroids
     return scored.select(key, F.array_max("s").alias("b")).select(key, (-F.col("b.minus")).alias(cluster), F.col("b.score").alias("score"))
 
 
@@ -119,7 +119,7 @@ def text_matches(clips: DataFrame, key: str, vector: str, texts: DataFrame, labe
     The label set is a short list that is given; it travels with each row as one array.
     """
     listed = texts.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("k"), unit(F.col(vector)).alias("t")))).alias("all"))
-    made = clips.crossJoin(listed).select(key, F.transform("all", lambda m: F.struct((100 * dot(unit(F.col(vector)), m["t"])).alias("z"), (-m["k"]).alias("minus"))).alias("s"))  # one row of all labels
+    made = clips.crossJoin(listed).select(key, let(unit(F.col(vector)), lambda u: F.transform("all", lambda m: F.struct((100 * dot(u, m["t"])).alias("z"), (-m["k"]).alias("minus")))).alias("s"))  # one row of all labels
     z = made.select(key, F.reverse(F.array_sort("s")).alias("s"))
     total = F.aggregate("s", F.lit(0.0), lambda a, x: a + F.exp(x["z"] - F.col("s")[0]["z"]))
     out = z.withColumn("total", total).select(key, F.posexplode(F.slice("s", 1, top)).alias("i", "x"), "total", F.col("s")[0]["z"].alias("top"))
