@@ -277,6 +277,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = keyed(docs, doc_id, text)
     found = _found(texts)
     often = found.groupBy("kmer").agg(F.count("*").alias("total"), F.min("whole").alias("lo"), F.max("whole").alias("hi")).filter("total > 1")
+    often = checkpointed(often)  # so that both sides of the join are shuffled for it and a hot k-mer's share is split
     known = checkpointed(found.join(often.select("kmer", (F.col("lo") < F.col("hi")).alias("mixed")), "kmer"))
     release_shuffles(spark)
     mixed = known.filter("mixed")
