@@ -30,6 +30,8 @@ from skein.llm.text import filled, slices, small_batches
 CACHE_PIECES = 400_000
 #: Longer pieces are encoded each time.
 CACHE_CHARS = 64
+#: Pieces that go to the library in one text.
+JOINED = 512
 
 
 def byte_characters() -> dict[int, str]:
@@ -51,6 +53,8 @@ class Codec:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.pattern = regex.compile(pattern)
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.written: dict[str, tuple[str, bytes]] = {}
+        self.line_break = self.tokenizer.encode_batch_fast(["\n"], add_special_tokens=False)[0].ids[0]
         back = {c: b for b, c in byte_characters().items()}
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         vocab = self.tokenizer.get_vocab()
@@ -59,28 +63,58 @@ class Codec:
             self.token_bytes[i] = token.encode() if token in special else bytes(back[c] for c in token)
         self.lengths = np.array([len(b) for b in self.token_bytes], np.int64)
 
-    def _learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.cache]
-        if len(self.cache) + len(new) > CACHE_PIECES:
-            self.cache = {}
-            new = list(pieces)
-        if new:
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.cache[p] = tuple(e.ids)
+    def _ids_of(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of single pieces of the pattern.
+
+        Many go to the library in one text, each on a line: a line break is a piece and a token of its own there, so
+        the ids between two are those of a piece. Pieces of white space, or where the count does not agree, go singly.
+        """
+        out: list[list[int] | None] = [None] * len(pieces)
+        lines = [k for k, p in enumerate(pieces) if not p.isspace() and "\n" not in p]
+        for lo in range(0, len(lines), JOINED):
+            part = lines[lo : lo + JOINED]
+            ids = self.tokenizer.encode_batch_fast(["\n".join([pieces[k] for k in part])], add_special_tokens=False)[0].ids
+            breaks = [-1, *(i for i, x in enumerate(ids) if x == self.line_break), len(ids)]
+            if len(breaks) == len(part) + 1:
+                for k, x, y in zip(part, breaks, breaks[1:]):
+                    out[k] = ids[x + 1 : y]
+        left = [k for k, x in enumerate(out) if x is None]
+        for k, e in zip(left, self.tokenizer.encode_batch_fast([pieces[k] for k in left], add_special_tokens=False)):
+            out[k] = e.ids
+        return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         cut = [self.pattern.findall(t) for t in texts]
-        pieces = set(chain.from_iterable(cut))
-        long = {p for p in pieces if len(p) > CACHE_CHARS}
-        self._learn(pieces - long)
-        if not long:
-            of = self.cache.__getitem__
-        else:
-            extra = {p: tuple(e.ids) for p, e in zip(long, self.tokenizer.encode_batch_fast(list(long), add_special_tokens=False))}
-            of = lambda p: extra[p] if p in extra else self.cache[p]
+        of = self._lookup(cut, self.cache, tuple)
         return [np.fromiter(chain.from_iterable(map(of, c)), np.int64) for c in cut]
 
+    def _lookup(self, cut: list[list[str]], cache: dict, made):
+        """A function from piece to ``made(ids)`` for all pieces of the texts; short ones stay in the cache."""
+        pieces = set(chain.from_iterable(cut))
+        short = [p for p in pieces if len(p) <= CACHE_CHARS]
+        new = [p for p in short if p not in cache]
+        if len(cache) + len(new) > CACHE_PIECES:
+            cache.clear()
+            new = short
+        cache.update(zip(new, map(made, self._ids_of(new))))
+        if len(short) == len(pieces):
+            return cache.__getitem__
+        long = [p for p in pieces if len(p) > CACHE_CHARS]
+        extra = dict(zip(long, map(made, self._ids_of(long))))
+        return lambda p: extra[p] if p in extra else cache[p]
+
+    def digest(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Number of ids, SHA-256 of the ids in decimal joined by spaces, SHA-256 of the decoded bytes, for each text."""
+        cut = [self.pattern.findall(t) for t in texts]
+        both = self._lookup(cut, self.written, lambda ids: (" ".join(map(str, ids)), self.decode_bytes(ids)))
+        out = []
+        for c in cut:
+            found = list(map(both, c))
+            ids = " ".join([w for w, _ in found])
+            out.append((ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(b"".join([d for _, d in found])).hexdigest()))
+        return out
+
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of each token in characters; a character that a token has only in part counts whole."""
         data = np.frombuffer(text.encode(), np.uint8)
@@ -117,14 +151,6 @@ def check_ranks(vocabulary: str, ranks: str) -> None:
         raise ValueError(f"{ranks} has other tokens than {vocabulary}")
 
 
-def _shas(codec_: Codec, texts: list[str]) -> list[tuple]:
-    out = []
-    for ids in codec_.encode(texts):
-        listed = ids.tolist()
-        out.append((len(listed), hashlib.sha256(" ".join(map(str, listed)).encode()).hexdigest(), hashlib.sha256(codec_.decode_bytes(listed)).hexdigest()))
-    return out
-
-
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids: str = "ids", starts: str = "starts", ends: str = "ends") -> DataFrame:
     """``docs`` with the ids of every text and each token's character offsets; null texts give empty lists.
 
@@ -168,7 +194,7 @@ def digests(docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_i
     def run(batches):
         own = codec(vocabulary, pattern)
         for piece in slices(batches, text):
-            rows = _shas(own, filled(piece.column(text)).to_pylist())
+            rows = own.digest(filled(piece.column(text)).to_pylist())
             n, a, b = zip(*rows)
             yield pa.RecordBatch.from_arrays([piece.column(doc_id), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

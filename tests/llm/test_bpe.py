@@ -59,6 +59,17 @@ def test_split_characters_and_special_strings(spark, tik):
     assert len(ids) > 1 and c.decode(ids[:1]) == "�"
 
 
+def test_caches_and_joined_pieces(monkeypatch, tik):
+    c = bpe.Codec(P.path("byte_bpe_50k.json"), P.PATTERN)
+    texts = ["it's 'sx ''s \x1c\x1d a\n\n b \t c ?!\n", "<|endoftext|>\n<|endoftext|> é☃ 12 ½ ⅷ", " 's 're'll '", "\u2028x\u00a0y\x85z", ""] + ["w%d " % i * 3 for i in range(50)]
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 20)
+    monkeypatch.setattr(bpe, "JOINED", 7)
+    monkeypatch.setattr(bpe, "CACHE_CHARS", 6)
+    for part in (texts, texts[:3], texts[3:]):
+        assert [i.tolist() for i in c.encode(part)] == [tik.encode_ordinary(t) for t in part]
+        assert c.digest(part) == [brute(tik, t) for t in part]
+
+
 def test_clashing_names(odd):
     with pytest.raises(ValueError):
         bpe.encode(odd, P.path("byte_bpe_50k.json"), P.PATTERN, ids="Score")
