@@ -55,11 +55,46 @@ def keyword_in_caption(caption: Column, keyword: str) -> Column:
     return F.coalesce(low.contains(KEYWORD_NEEDS) & low.rlike("|".join(KEYWORD_PHRASES)), F.lit(False))
 
 
-def labelled_parts(caption: Column, labels: tuple[str, str, str]) -> Column:
-    """Three labelled values of a caption, lower-cased without ``*`` and ``:``, as a struct; nulls where they are missing."""
-    low = F.translate(F.lower(caption), "*:", "")
-    pattern = r"(?s)" + r"\s*(.*?)\s*".join(labels[:2]) + r"\s*(.*?)\s*" + labels[2] + r"\s*(.*)$"
-    return F.struct(*(F.nullif(F.regexp_replace(F.trim(F.regexp_extract(low, pattern, i + 1)), r"\.$", ""), F.lit("")).alias(n) for i, n in enumerate(labels)))
+# The headings of the three conditions that a caption names, in order, and the tags they give.
+CONDITIONS = (("visibility condition", "visibility"), ("road surface condition", "road_condition"), ("illumination condition", "illumination"))
+
+
+def condition_tags(caption: Column) -> Column:
+    """A struct of the three conditions of a caption, lower-cased without ``*``, ``:`` and trailing dots; null if it lacks any."""
+    low = F.translate(F.lower(F.regexp_replace(caption, r"\r\n|[\n\r]", " ")), "*:", "")
+    pattern = "".join(f"{heading}(.+)" for heading, _ in CONDITIONS)
+    part = lambda i: F.regexp_replace(F.trim(F.regexp_extract(low, pattern, i)), r"\.+$", "")
+    return F.when(low.rlike(pattern), F.struct(*(part(i + 1).alias(name) for i, (_, name) in enumerate(CONDITIONS))))
+
+
+def events_payload(answer: Column) -> Column:
+    """The events of a model answer as an array of JSON texts; empty where nothing can be parsed.
+
+    A code fence goes; what is left is read as a whole, else from its first to its last brace, else bracket. Of an
+    object the ``events`` array counts.
+    """
+    t = F.regexp_replace(F.regexp_replace(F.trim(answer), r"^```(json)?\s*", ""), r"\s*```$", "")
+    t = F.regexp_replace(t, r"[\n\t\r]", " ")
+    inner = lambda p: F.nullif(F.regexp_extract(t, p, 0), F.lit(""))
+    parsed = F.coalesce(F.try_parse_json(t), F.try_parse_json(F.coalesce(inner(r"\{.*\}"), inner(r"\[.*\]"))))
+    bare = F.try_variant_get(parsed, "$", "array<variant>")
+    of = F.coalesce(F.try_variant_get(parsed, "$.events", "array<variant>"), bare, F.array().cast("array<variant>"))
+    return F.transform(of, lambda v: F.to_json(v))
+
+
+def event_prompt(template: str, instances: Column, seconds: Column) -> Column:
+    """The template with ``{instances}`` as JSON and ``{duration}`` to a tenth of a second."""
+    return F.replace(F.replace(F.lit(template), F.lit("{instances}"), F.coalesce(F.to_json(instances), F.lit("[]"))), F.lit("{duration}"), F.format_string("%.1f", seconds.cast("double")))
+
+
+def first_present(captions: Column, fields: list[str]) -> Column:
+    """The value of the first of the fields that a caption map has."""
+    return F.coalesce(*(captions[f] for f in fields))
+
+
+def all_captions(windows: Column) -> Column:
+    """Captions of all windows, each a map, in window order."""
+    return F.flatten(F.transform(windows, lambda w: F.map_values(w)))
 
 
 def parent_folder(path: Column) -> Column:

@@ -1,13 +1,15 @@
 import io
 import json
 import sqlite3
+import struct
 import tarfile
 import zipfile
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
-from skein.sources import files, sinks, sqlite
+from skein.sources import files, mcap, sinks, sqlite
 from skein.streaming import arrivals
 
 U = "123e4567-e89b-12d3-a456-426614174000"
@@ -124,3 +126,37 @@ def test_first_arrivals(spark, tmp_path):
     q = stream.writeStream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out"))
     q.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def record(op, body):
+    return struct.pack("<BQ", op, len(body)) + body
+
+
+def text_of(t):
+    return struct.pack("<I", len(t)) + t.encode()
+
+
+def message(channel, seq, log, data):
+    return record(mcap.MESSAGE, struct.pack("<HIQQ", channel, seq, log, log) + data)
+
+
+def test_mcap(spark, tmp_path):
+    inner = record(mcap.CHANNEL, struct.pack("<HH", 1, 0) + text_of("/cam") + text_of("raw") + struct.pack("<I", 0)) + message(1, 2, 200, b"b") + message(1, 1, 100, b"a") + message(2, 9, 150, b"x")
+    head = struct.pack("<QQQI", 100, 200, len(inner), 0)
+    packed = zstandard.ZstdCompressor().compress(inner)
+    late = message(1, 3, 300, b"c")
+    body = record(mcap.CHUNK, head + text_of("zstd") + struct.pack("<Q", len(packed)) + packed) + record(mcap.CHUNK, struct.pack("<QQQI", 300, 300, len(late), 0) + text_of("") + struct.pack("<Q", len(late)) + late) + message(1, 4, 400, b"d")
+    (tmp_path / "a.mcap").write_bytes(mcap.MAGIC + body)
+    get = lambda *a: [(r.log_time_ns, r.sequence, bytes(r.data)) for r in mcap.scanned(spark, str(tmp_path), "/cam", *a).collect()]
+    assert get() == [(100, 1, b"a"), (200, 2, b"b"), (300, 3, b"c"), (400, 4, b"d")]
+    assert get(200, 400) == [(200, 2, b"b"), (300, 3, b"c")]
+    assert get(300, 301) == [(300, 3, b"c")]
+    (tmp_path / "b.mcap").write_bytes(b"no")
+    with pytest.raises(Exception, match="no MCAP"):
+        get()
+
+
+def test_session_timestamps(spark):
+    lines = spark.createDataFrame([("2, 100",), ("bad",), ("7,5",), (None,)], "value string")
+    assert sorted(tuple(r) for r in mcap.session_timestamps(lines).collect()) == [(2, 100), (7, 5)]
+    assert [tuple(r) for r in mcap.session_timestamps(lines, {2: 20}).collect()] == [(20, 100)]

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import geometry, ids, text, vectors
-from skein.operators import align, catalog, grouping, kernels, routing, semdedup, spans, summary, tracks
+from skein.operators import align, catalog, frames, grouping, kernels, routing, semdedup, spans, summary, tracks
 
 
 def one(spark, column):
@@ -159,8 +159,13 @@ def test_text_rules(spark):
     assert one(spark, text.relative_path(F.lit("s3://b/inn/y.mp4"), "s3://b/in/")) == "s3://b/inn/y.mp4"
     status = lambda f, t: one(spark, text.caption_status(F.lit(f), F.lit(t).cast("string")))
     assert [status("stop", "x"), status("length", "x"), status("length", ""), status("content_filter", "x"), status("stop", None)] == ["success", "truncated", "error", "blocked", "error"]
-    parts = one(spark, text.labelled_parts(F.lit("**Visibility:** good. **Road:** wet. **Lights:** on."), ("visibility", "road", "lights")))
-    assert tuple(parts) == ("good", "wet", "on")
+    parts = one(spark, text.condition_tags(F.lit("**Visibility Condition:** good.\n**Road Surface Condition:** wet. **Illumination Condition:** on...")))
+    assert parts.asDict() == {"visibility": "good", "road_condition": "wet", "illumination": "on"}
+    assert one(spark, text.condition_tags(F.lit("nothing"))) is None
+    events = lambda t: one(spark, text.events_payload(F.lit(t)))
+    assert events('```json\n{"events": [{"a": 1}, 2]}\n```') == ['{"a":1}', "2"]
+    assert events('so: {"events": [1]} done') == ["1"] and events("[1, 2] and") == ["1", "2"] and events("none") == [] and events('{"x": 1}') == []
+    assert one(spark, text.event_prompt("{instances} in {duration} s", F.array(F.struct(F.lit(1).alias("id"))), F.lit(2))) == '[{"id":1}] in 2.0 s'
     assert one(spark, text.with_error(F.lit(None).cast("map<string,string>"), "a", F.lit("bad"))) == {"a": "bad"}
 
 
@@ -257,3 +262,28 @@ def test_compared(spark):
     b = spark.createDataFrame([(1, 1.05, "x"), (2, 2.5, None), (4, 4.0, "w")], "k int, v double, s string")
     got = {r.field: r.n_different for r in kernels.compared(a, b, "k", 0.1).collect()}
     assert got == {"_row": 2, "v": 1, "s": 0}
+
+
+def test_scattered(spark):
+    clips = spark.createDataFrame([(1, 0), (1, 1)], "c int, w int")
+    good = spark.createDataFrame([(1, 0, "a"), (1, 1, None)], "c int, w int, t string")
+    assert sorted((r.w, r.t) for r in frames.scattered(clips, good, ["c", "w"], "t").collect()) == [(0, "a"), (1, None)]
+    with pytest.raises(Exception, match="no answer"):
+        frames.scattered(clips, good.filter("w = 0"), ["c", "w"], "t").collect()
+
+
+def test_strides_skip_uneven_indices(spark):
+    even = [float(100 * i) for i in range(40)]
+    jump = even[:15] + [x + 250 for x in even[15:]]
+    df = spark.createDataFrame([("s", 0, even, 10.0), ("s", 1, jump, 10.0)], "s string, cam int, ts array<double>, fps double")
+    get = lambda **k: sorted({r.idx for r in frames.aligned_strides(df, "s", "cam", "ts", "fps", 10, 10, **k).collect()})
+    assert get(verify=False) == [0, 1, 2] and get() == [0, 2] and get(limit=2) == [0]
+
+
+def test_small_helpers(spark):
+    assert frames.lcm_rate([2, 3.0, 4]) == 12
+    assert one(spark, frames.weight(F.lit(600.0), F.lit(1), F.lit(2))) == 1.0
+    assert one(spark, spans.middle_frame(F.array(*(F.lit(i) for i in range(4))))) == 1
+    assert one(spark, spans.every_kth(F.array(*(F.lit(i) for i in range(7))), 3)) == [0, 3, 6]
+    assert one(spark, text.first_present(F.create_map(F.lit("b"), F.lit("x")), ["a", "b"])) == "x"
+    assert one(spark, text.all_captions(F.array(F.create_map(F.lit("a"), F.lit("1")), F.create_map(F.lit("a"), F.lit("2"))))) == ["1", "2"]
