@@ -1,10 +1,11 @@
 """Secret scans that look under encodings: a worklist of decoded layers, each rescanned, until nothing new decodes.
 
-The first layer is the text itself. Every layer is scanned for secrets and for encoded stretches: percent-encoded
-bytes, backslash-u escapes, base64 runs and, inside decoded bytes, zlib and gzip streams. What a stretch decodes to is
-put on the worklist as a new layer with the span of the *original text* that it came from, so a find in any depth maps
-back to characters of the text. A layer whose content was seen before, in this document and at this span, is not
-scanned again: this ends cycles, and as every other decoding step shortens its input the worklist empties.
+The first layer is the text itself. Every layer is scanned for secrets and decoded further in three ways: percent-
+encoded bytes and backslash-u escapes are replaced where they stand, so that what is around them stays beside them, and
+each base64 run that holds text, or a zlib or gzip stream of text, becomes a layer of its own. Each character of a
+replaced layer keeps the span of the *original text* that it came from, a layer of its own has the span of its run, so
+a find in any depth maps back to characters of the text. A layer seen before is not scanned again: this ends cycles,
+and as every other decoding step shortens its input, but for decompression, the worklist empties.
 
 A compressed layer of more than ``MAX_LAYER`` bytes is scanned up to there and counted in ``overflows``; this only
 guards against decompression bombs.
@@ -37,10 +38,8 @@ KINDS = ("assign", "access", "hex")
 #: Strings of which a text must hold one, in lower case, before the assign pattern can match.
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})[A-Za-z0-9%._~+/=:&?-]*")
-PERCENT_BACK = re.compile(r"[A-Za-z0-9%._~+/=:&?-]*$")
-UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|[\x20-\x7e](?=\\u[0-9A-Fa-f]{4}))+[\x20-\x5b\x5d-\x7e]*")
-ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})")
+PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+ESCAPE = re.compile(r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 MAX_LAYER = 64 << 20
 
@@ -93,56 +92,108 @@ def _unpacked(data: bytes) -> tuple[bytes, bool] | None:
     return out, bool(machine.unconsumed_tail)
 
 
-def _decoded(text: str):
-    """(start, end, bytes or text) of each encoded stretch of one layer."""
-    if "%" in text:
-        at = 0
-        while m := PERCENT.search(text, at):
-            start = PERCENT_BACK.search(text, at, m.start()).start()
-            yield start, m.end(), unquote_to_bytes(text[start : m.end()])
-            at = m.end()
-    if "\\u" in text:
-        for m in UNICODE.finditer(text):
-            if "\\u" in m[0]:
-                plain = ESCAPE.sub(lambda e: chr(int(e[1], 16)), m[0])
-                yield m.start(), m.end(), plain.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
-    for m in BASE64.finditer(text):
+class Layer(NamedTuple):
+    """A decoded text. ``span``: where all of it comes from; else ``starts`` and ``ends`` of each character (None: itself)."""
+
+    text: str
+    depth: int
+    span: tuple[int, int] | None = None
+    starts: list[int] | None = None
+    ends: list[int] | None = None
+
+    def origin(self, start: int, end: int) -> tuple[int, int]:
+        if self.span:
+            return self.span
+        return (start, end) if self.starts is None else (self.starts[start], self.ends[end - 1])
+
+
+def _percent(code: str) -> list[tuple[int, str]]:
+    """(length of code, text) parts of a run of percent-encoded bytes; the run as one part if it is not all ASCII."""
+    data = unquote_to_bytes(code)
+    if all(b < 128 for b in data):
+        return [(3, chr(b)) for b in data]
+    try:
+        return [(len(code), data.decode())]
+    except UnicodeDecodeError:
+        return [(len(code), code)]
+
+
+def _escape(code: str) -> list[tuple[int, str]]:
+    units = bytes.fromhex(code[2:6] + code[8:12])
+    return [(len(code), units.decode("utf-16-be", "replace"))]
+
+
+def _replaced(layer: Layer, pattern: re.Pattern, parts) -> Layer | None:
+    """The layer with what the pattern finds decoded in place; None if nothing changes."""
+    out, starts, ends, at = [], [], [], 0
+    tracked = layer.span is None
+
+    def keep(lo: int, hi: int) -> None:
+        out.append(layer.text[lo:hi])
+        if tracked:
+            starts.extend(range(lo, hi) if layer.starts is None else layer.starts[lo:hi])
+            ends.extend(range(lo + 1, hi + 1) if layer.ends is None else layer.ends[lo:hi])
+
+    for m in pattern.finditer(layer.text):
+        keep(at, m.start())
+        at = m.start()
+        for n, t in parts(m[0]):
+            out.append(t)
+            if tracked:
+                a, b = layer.origin(at, at + n)
+                starts.extend([a] * len(t))
+                ends.extend([b] * len(t))
+            at += n
+    if not at:
+        return None
+    keep(at, len(layer.text))
+    text = "".join(out)
+    return None if text == layer.text else Layer(text, layer.depth + 1, layer.span, starts if tracked else None, ends if tracked else None)
+
+
+def _inner(layer: Layer) -> list[tuple[Layer, bool]]:
+    """The layers that a layer decodes to, and for each whether it was cut at MAX_LAYER."""
+    out = []
+    for hint, pattern, parts in (("%", PERCENT, _percent), ("\\u", ESCAPE, _escape)):
+        if hint in layer.text and (made := _replaced(layer, pattern, parts)):
+            out.append((made, False))
+    for m in BASE64.finditer(layer.text):
         body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 != 1:
-            yield m.start(), m.end(), base64.b64decode(body + "=" * (-len(body) % 4))
+        if len(body) % 4 == 1:
+            continue
+        data, cut = base64.b64decode(body + "=" * (-len(body) % 4)), False
+        while (unpacked := _unpacked(data)) is not None:
+            data, over = unpacked
+            cut |= over
+        if (text := _readable(data)) or cut:
+            out.append((Layer(text or "", layer.depth + 1, layer.origin(m.start(), m.end())), cut))
+    return out
 
 
 def finds(text: str) -> tuple[list[Find], int]:
-    """Every find of a text, base ones first in depth 0, and the number of layers cut at MAX_LAYER.
+    """Every find of a text, base ones in depth 0, and the number of layers cut at MAX_LAYER.
 
-    A find below the first layer has the span of the original stretch it was decoded from.
+    A find below the first layer has the span of the original characters that it was decoded from.
     """
     base = base_finds(text)
     found = {Find(s, k, e, 0) for s, k, e in base}
     known = {(s, k, e) for s, k, e in base}
     overflows = 0
-    seen: set[tuple[int, int, bytes]] = set()
-    work: list[tuple[str, tuple[int, int] | None, int]] = [(text, None, 0)]
+    seen: set[tuple[tuple[int, int] | None, bytes]] = set()
+    work = [Layer(text, 0)]
     while work:
-        layer, span, depth = work.pop()
-        for start, end, inner in _decoded(layer):
-            outer = span or (start, end)
-            if isinstance(inner, bytes):
-                while (unpacked := _unpacked(inner)) is not None:
-                    inner, over = unpacked
-                    overflows += over
-                inner = _readable(inner)
-            if not inner or inner == layer:
-                continue
-            key = (*outer, hashlib.blake2b(inner.encode("utf-8", "replace"), digest_size=16).digest())
+        for layer, cut in _inner(work.pop()):
+            overflows += cut
+            key = (layer.span, hashlib.blake2b(layer.text.encode("utf-8", "replace"), digest_size=16).digest())
             if key in seen:
                 continue
             seen.add(key)
-            for _, kind, _ in base_finds(inner):
-                if (outer[0], kind, outer[1]) not in known:
-                    known.add((outer[0], kind, outer[1]))
-                    found.add(Find(outer[0], kind, outer[1], depth + 1))
-            work.append((inner, outer, depth + 1))
+            for a, kind, b in base_finds(layer.text):
+                start, end = layer.origin(a, b)
+                if (start, kind, end) not in known:
+                    known.add((start, kind, end))
+                    found.add(Find(start, kind, end, layer.depth))
+            work.append(layer)
     return sorted(found), overflows
 
 
