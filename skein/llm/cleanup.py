@@ -7,13 +7,24 @@ import time
 
 from pyspark.sql import SparkSession
 
+ROUNDS = 10
+
 
 def release_shuffles(spark: SparkSession) -> None:
     """Lets the context delete shuffle files that nothing refers to any more.
 
-    It learns of them from the garbage collector: the first round frees Python's handles, the second what they held.
+    The context learns of them from the garbage collector, once events that still name the finished plans are handled.
+    Rounds of collection go on until the number of shuffles known has shrunk and stays, or a few seconds have passed.
     """
-    for _ in range(2):
+    known = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    first = before = known.size()
+    for _ in range(ROUNDS):
+        if not before:
+            return
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
+        time.sleep(0.4)
+        now = known.size()
+        if now == before < first:
+            return
+        before = now
