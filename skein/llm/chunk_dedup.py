@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skein.llm.cleanup import release_shuffles
 from skein.llm.text import BYTE_CODES, SpanHash, byte_view, slices, small_batches
+from skein.session import checkpointed
 
 WINDOW = 16
 MASK_BITS = 4
@@ -93,6 +95,8 @@ def copied_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """For each document that shares chunks: ``id`` and the chunks as (digest, least id that has it)."""
     pairs = _pairs(docs.filter(F.col(doc_id).isNotNull()), doc_id, text)
     shared = pairs.groupBy("digest").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("digest", "least")
+    shared = checkpointed(shared)  # so that both sides of the join are shuffled for it and a hot chunk's share is split
+    release_shuffles(docs.sparkSession)
     return pairs.join(shared, "digest").groupBy("id").agg(F.collect_list(F.struct("digest", "least")).alias("copies"))
 
 
