@@ -332,15 +332,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``doc_id`` and ``class_id`` of every row: the least id of the texts linked by similarities from the threshold on."""
     made = checkpointed(sketches(docs, doc_id, text, weights))
     known = made.filter(F.col("id").isNotNull() & F.col("d1").isNotNull())
-    reps = known.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
+    # What is joined to a hot key's rows is written first: then both sides are shuffled for the join, and its share split.
+    reps = checkpointed(known.groupBy("d1", "d2").agg(F.min("id").alias("rep")))
     member = known.select("id", "d1", "d2").join(reps, ["d1", "d2"]).select("id", "rep").distinct()
     first = checkpointed(known.join(reps.select(F.col("rep").alias("id"), "d1", "d2"), ["id", "d1", "d2"]).dropDuplicates(["id"]).select("id", "keys", "sig"))
     slots = first.select("id", F.explode("keys").alias("key"))
-    sizes = slots.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    sizes = checkpointed(slots.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"))
     shared = slots.join(sizes, "key")
     degree = shared.groupBy("id").agg(F.sum("size").alias("degree"))
     shared = checkpointed(shared.join(degree, "id"))
-    leader = shared.groupBy("key").agg((-F.max(F.struct("degree", (-F.col("id")).alias("minus")))["minus"]).alias("leader"))
+    leader = checkpointed(shared.groupBy("key").agg((-F.max(F.struct("degree", (-F.col("id")).alias("minus")))["minus"]).alias("leader")))
     wanted = shared.select(F.col("id").alias(doc_id)).distinct()
     once = docs.select(doc_id, text).join(wanted, doc_id, "left_semi")
     sets = checkpointed(element_sets(once.dropDuplicates([doc_id]), doc_id, text, weights))
@@ -351,7 +352,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labels = components(links)
     for partners in (PARTNERS, None):
         named = shared.select("key", "id", "size").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+        mixed = checkpointed(named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key"))
         rows = named.join(mixed, "key").join(first.select("id", "sig"), "id")
         handed = checkpointed(_cross_pairs(rows, partners).distinct())
         more = checkpointed(handed.filter("a is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"))
