@@ -382,3 +382,15 @@ def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate class and whether it stands for it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return near_duplicates(docs).withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
+#: The same classes by comparing all documents that share a shingle; for tables of a few thousand documents.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0) t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b, root FROM r JOIN both_ways ON a = id)
+SELECT id AS doc_id, min(root) AS class_id, id = min(root) AS kept FROM r GROUP BY id"""

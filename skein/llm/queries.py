@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from skein.llm import minhash
 from skein.llm.bpe import op7_byte_bpe
 from skein.llm.chunk_dedup import op9_chunk_dedup
 from skein.llm.langid import op3_language_id
@@ -11,7 +12,6 @@ from skein.llm.packing import op8_ga_packing
 from skein.llm.quality_knn import op4_quality_votes
 from skein.llm.quality_rules import op2_quality_rules
 from skein.llm.secret_scan import op10_secret_scan
-
 from skein.llm.suffix_dedup import op5_suffix_dedup
 
 QUERIES = {
@@ -26,4 +26,4 @@ QUERIES = {
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_dart_minhash": minhash.ORACLE_SQL}

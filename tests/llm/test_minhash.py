@@ -98,3 +98,10 @@ def test_odd_rows(spark, odd, odd_dir, none_dir):
     assert [g[0] for g in got] == sorted(r.doc_id for r in odd.collect()) and all(a == b for a, b in got)
     assert M.op1_dart_minhash(spark, none_dir).count() == 0
     assert M.keep_one(odd).columns == odd.columns
+
+
+def test_query_equals_sql(spark):
+    import oracle
+
+    d = "/root/testdata/sf0.01"
+    assert oracle.compare(spark, oracle.connect(d), d, M.op1_dart_minhash, M.ORACLE_SQL) == 1000
