@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from skein.plans import boundary, cutting, framing, sessions, similarity, timing
+from skein.plans import boundary, cutting, framing, recording, sessions, similarity, timing
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for part in (cutting, sessions, similarity, timing, framing, boundary):
+for part in (cutting, sessions, similarity, timing, framing, recording, boundary):
     QUERIES |= part.QUERIES
     ORACLES |= part.ORACLES

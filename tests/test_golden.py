@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import geometry, ids, text, vectors
-from skein.operators import align, catalog, frames, grouping, kernels, routing, semdedup, spans, summary, tracks
+from skein.operators import align, catalog, frames, grouping, kernels, records, routing, semdedup, spans, summary, tracks
 
 
 def one(spark, column):
@@ -287,3 +287,20 @@ def test_small_helpers(spark):
     assert one(spark, spans.every_kth(F.array(*(F.lit(i) for i in range(7))), 3)) == [0, 3, 6]
     assert one(spark, text.first_present(F.create_map(F.lit("b"), F.lit("x")), ["a", "b"])) == "x"
     assert one(spark, text.all_captions(F.array(F.create_map(F.lit("a"), F.lit("1")), F.create_map(F.lit("a"), F.lit("2"))))) == ["1", "2"]
+
+
+def test_records(spark):
+    with pytest.raises(Exception, match="unexpected frame count"):
+        one(spark, records.prompts_for(F.lit(3), F.create_map(F.lit("default"), F.lit("p")), 256, 57))
+    df = spark.createDataFrame([([1, 2, 3], [1.0]), ([2, 2], [float("nan")]), ([], [])], "t array<long>, v array<double>")
+    assert [r.x for r in df.select(records.rising(F.col("t")).alias("x")).collect()] == [True, False, True]
+    assert [r.x for r in df.select(records.finite(F.col("v")).alias("x")).collect()] == [True, False, True]
+    with pytest.raises(ValueError, match="'rising': 1"):
+        records.assert_valid(df, rising=records.rising(F.col("t")), any=F.lit(True))
+    records.assert_valid(df, any=F.lit(True))
+    with pytest.raises(Exception, match="no rising grid"):
+        one(spark, records.time_grid(F.lit(0).cast("long"), F.lit(10).cast("long"), 1e10))
+    assert one(spark, records.time_grid(F.lit(0).cast("long"), F.lit(10**9).cast("long"), 4.0)) == [0, 250_000_000, 500_000_000, 750_000_000, 10**9]
+    assert one(spark, records.envelope("events", F.array(F.lit(1)))) == '{"events":[1]}'
+    assert records.sampled(spark.range(1000), "id", 5.0).count() == 1000 and records.sampled(spark.range(1000), "id", -1).count() == 0
+    assert one(spark, records.nested_bytes(F.lit("é"), F.lit(None).cast("string"))) == 2
