@@ -96,11 +96,11 @@ def pruned(rows: DataFrame, scored: DataFrame, key: str, eps: float) -> DataFram
 def nearest_centroid(rows: DataFrame, key: str, vector: str, middles: DataFrame, cluster: str) -> DataFrame:
     """key, nearest cluster and its cosine; ties take the lesser cluster.
 
-    All centroids travel with each row as one array: there are as many as clusters were asked for, which the caller
-    bounds, and no row is multiplied.
+    All centroids are one array, a scalar subquery that is computed once: there are as many as clusters were asked for,
+    which the caller bounds, and no row is multiplied.
     """
     listed = middles.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.col(cluster).alias("k"), F.col("centroid").alias("c")))).alias("all"))
-    scored = rows.crossJoin(listed).select(key, let(unit(F.col(vector)), lambda u: F.transform("all", lambda m: F.struct(dot(u, m["c"]).alias("score"), (-m["k"]).alias("minus")))).alias("s"))  # one row of all centroids
+    scored = rows.select(key, vector, listed.scalar().alias("__all")).select(key, let(unit(F.col(vector)), lambda u: F.transform("__all", lambda m: F.struct(dot(u, m["c"]).alias("score"), (-m["k"]).alias("minus")))).alias("s"))
     return scored.select(key, F.array_max("s").alias("b")).select(key, (-F.col("b.minus")).alias(cluster), F.col("b.score").alias("score"))
 
 
@@ -116,10 +116,10 @@ def kmeans_fit(rows: DataFrame, vector: str, k: int, seed: int = 1, rounds: int
 def text_matches(clips: DataFrame, key: str, vector: str, texts: DataFrame, label: str, top: int) -> DataFrame:
     """key, label, probability and rank of the ``top`` labels: softmax of 100 times the dot product over all labels.
 
-    The label set is a short list that is given; it travels with each row as one array.
+    The label set is a short list that is given: one array, a scalar subquery that is computed once.
     """
     listed = texts.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("k"), unit(F.col(vector)).alias("t")))).alias("all"))
-    made = clips.crossJoin(listed).select(key, let(unit(F.col(vector)), lambda u: F.transform("all", lambda m: F.struct((100 * dot(u, m["t"])).alias("z"), (-m["k"]).alias("minus")))).alias("s"))  # one row of all labels
+    made = clips.select(key, vector, listed.scalar().alias("__all")).select(key, let(unit(F.col(vector)), lambda u: F.transform("__all", lambda m: F.struct((100 * dot(u, m["t"])).alias("z"), (-m["k"]).alias("minus")))).alias("s"))
     z = made.select(key, F.reverse(F.array_sort("s")).alias("s"))
     total = F.aggregate("s", F.lit(0.0), lambda a, x: a + F.exp(x["z"] - F.col("s")[0]["z"]))
     out = z.withColumn("total", total).select(key, F.posexplode(F.slice("s", 1, top)).alias("i", "x"), "total", F.col("s")[0]["z"].alias("top"))
