@@ -353,6 +353,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     for partners in (PARTNERS, None):
         named = shared.select("key", "id", "size").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         mixed = checkpointed(named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key"))
+        if mixed.isEmpty():
+            break
         rows = named.join(mixed, "key").join(first.select("id", "sig"), "id")
         handed = checkpointed(_cross_pairs(rows, partners).distinct())
         more = checkpointed(handed.filter("a is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"))

@@ -170,4 +170,4 @@ def op4_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract of op4: a quality score of every whole document, learned from the labels that are not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     made = score(docs, learned(spark, docs, sf_dir))
-    return made.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"), "score", "predicted")
+    return made.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"), "score", "predicted")
