@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.text import MULTIPLIER, byte_view, mix, slices, small_batches
+from skein.llm.text import byte_view, slices, small_batches
 
 TRAIN_ROWS = 8000
 MAX_LANGUAGES = 64
