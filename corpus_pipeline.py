@@ -46,7 +46,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Operator 8: the documents' pieces packed into sequences."""
     import public_tokenizers as tokens
 
-    return packing.packed_documents(docs, tokens.path("byte_bpe_50k.tiktoken"), tokens.PATTERN)
+    return packing.packed_documents(docs, tokens.path("byte_bpe_50k.tiktoken"), tokens.PATTERN, tokens.path("byte_bpe_50k.json"))
 
 
 STAGES = [

@@ -19,6 +19,8 @@ the order of the rows' numbers; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -44,13 +46,35 @@ LEVELS = 3
 
 
 @lru_cache(maxsize=2)
-def encoder(ranks: str, pattern: str):
-    """The rank file's encoder; its vocabulary and so its ids are those of the tokenizers file beside it."""
+def encoder(ranks: str, pattern: str, vocabulary: str):
+    """A function from a text to its ids, those of the tokenizers file ``vocabulary`` without special tokens added.
+
+    The rank file beside it has the same vocabulary but for the added tokens. Where one of their strings stands in a
+    text it is one id, and what is before and after it is encoded by itself; of two that begin at a place the longer counts.
+    """
     import tiktoken
 
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    with open(vocabulary, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in tokens):
+        raise ValueError(f"{vocabulary} has added tokens that look at or take what is beside them")
+    added = {t["content"]: t["id"] for t in tokens}
+    ordinary = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=table, special_tokens={}).encode_ordinary
+    if not added:
+        return ordinary
+    split = re.compile(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})").split
+
+    def encode(text: str) -> list[int]:
+        first, *rest = split(text)
+        ids = ordinary(first)
+        for token, part in zip(rest[::2], rest[1::2]):
+            ids.append(added[token])
+            ids += ordinary(part)
+        return ids
+
+    return encode
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -59,12 +83,12 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, n, capacity))]
 
 
-def pieces(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, ranks: str, pattern: str, vocabulary: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """A row for each piece of every document: doc_id, piece, start, length and the checksum of its ids."""
     small_batches(docs.sparkSession)
 
     def run(batches):
-        encode = encoder(ranks, pattern).encode_ordinary
+        encode = encoder(ranks, pattern, vocabulary)
         for piece in slices(batches, text):
             rows = []
             for d, t in zip(piece.column(doc_id).to_pylist(), filled(piece.column(text)).to_pylist()):
@@ -250,9 +274,9 @@ def _laid_out(capacity: int):
     return run
 
 
-def packed_documents(docs: DataFrame, ranks: str, pattern: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def packed_documents(docs: DataFrame, ranks: str, pattern: str, vocabulary: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Every piece of every document with its sequence and its place there, gapless from 0."""
-    cut_up = pieces(docs, ranks, pattern, doc_id, text, capacity).withColumn("row", F.monotonically_increasing_id())
+    cut_up = pieces(docs, ranks, pattern, vocabulary, doc_id, text, capacity).withColumn("row", F.monotonically_increasing_id())
     held = checkpointed(cut_up)  # row numbers are fixed from here on
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     full = held.filter(F.col("length") == capacity).select("*", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")).select(names)
@@ -265,4 +289,4 @@ def op8_ga_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tokens
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return packed_documents(docs, tokens.path("byte_bpe_50k.tiktoken"), tokens.PATTERN)
+    return packed_documents(docs, tokens.path("byte_bpe_50k.tiktoken"), tokens.PATTERN, tokens.path("byte_bpe_50k.json"))

@@ -45,6 +45,20 @@ def test_odd_rows(spark, odd, odd_dir, none_dir):
     assert K.op8_ga_packing(spark, none_dir).count() == 0
 
 
+def test_added_tokens_are_one_id(spark, tmp_path):
+    import corpus_pipeline
+
+    end = "<|endoftext|>"
+    texts = [f"one {end} two", end, end * 3, f" {end}\n {end}  a", f"<|{end}|> <|endoftext|", f"{'long words ' * 900}{end} tail", "<|ENDOFTEXT|>", None]
+    docs = list(enumerate(texts))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    ids = K.encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN, P.path("byte_bpe_50k.json"))
+    assert ids(texts[0]) == [505, 220, 50256, 734]
+    check(K.op8_ga_packing(spark, str(tmp_path)).collect(), docs)
+    check(corpus_pipeline.pack_sequences(spark, table, str(tmp_path)).collect(), docs)
+
+
 def test_cut():
     assert K.cut(1) == [(0, 1)] and K.cut(1024) == [(0, 1024)]
     assert K.cut(2050) == [(0, 2), (2, 1024), (1026, 1024)]
