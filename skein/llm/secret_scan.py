@@ -2,8 +2,11 @@
 
 The first layer is the text itself. Every layer is scanned for secrets and decoded further in three ways: percent-
 encoded bytes and backslash-u escapes are replaced where they stand, so that what is around them stays beside them, and
-each base64 run that holds text, or a zlib or gzip stream of text, becomes a layer of its own. Each character of a
-replaced layer keeps the span of the *original text* that it came from, a layer of its own has the span of its run, so
+base64 runs are decoded. A run goes on over single line breaks, and as a path, a prefix or a word may be glued to what
+was encoded, it is decoded from each of its first four characters: any start agrees with one of those. All readable
+stretches of the bytes, and those of the zlib and gzip streams that begin anywhere in them, become layers of their own.
+Each character of a replaced layer keeps the span of the *original text* that it came from. A layer of its own has the
+span of its run or, in a run of many lines, of the lines that it takes at least half of and those that a find is in. So
 a find in any depth maps back to characters of the text. A layer seen before is not scanned again: this ends cycles,
 and as every other decoding step shortens its input, but for decompression, the worklist empties.
 
@@ -20,6 +23,8 @@ import base64
 import hashlib
 import re
 import zlib
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from typing import NamedTuple
 from urllib.parse import unquote_to_bytes
 
@@ -40,7 +45,17 @@ ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}")
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+#: A line of 16 characters, or any one that another follows, and all lines after it.
+BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+|[A-Za-z0-9+/_-]++(?=(?:\r\n?|\n)[A-Za-z0-9+/_-]))(?:(?:\r\n?|\n)[A-Za-z0-9+/_-]++)*+={0,2}")
+LEAST_RUN = 16
+URL_SAFE = str.maketrans("-_", "+/")
+#: UTF-8 without control characters; no secret and no code of one has fewer bytes or a control character but line breaks.
+READABLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|\xed[\x80-\x9f][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){14,}+")
+#: The first bytes of gzip streams and of zlib streams without a preset dictionary.
+HEADER = re.compile(b"|".join([rb"\x1f\x8b\x08", *(re.escape(bytes([a, b])) for a in range(0x08, 0x80, 0x10) for b in range(256) if (a * 256 + b) % 31 == 0 and not b & 0x20)]), re.DOTALL)
+#: Bytes that go to a decompressor at once; they give 4 MB at most.
+STEP = 4096
 MAX_LAYER = 64 << 20
 
 
@@ -66,45 +81,98 @@ def base_finds(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _readable(data: bytes) -> str | None:
-    """The text of bytes that look like text."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    odd = sum(not (c.isprintable() or c in "\n\r\t") for c in text)
-    return text if text and odd * 20 <= len(text) else None
-
+def _inflate(data: bytes, at: int) -> Iterator[tuple[bytes, int, bool]]:
+    """(output, place in the data, whether the stream is over there) of the zlib or gzip stream that begins at a place.
 
-def _unpacked(data: bytes) -> tuple[bytes, bool] | None:
-    """What a zlib or gzip stream holds, and whether it is longer than MAX_LAYER."""
-    if data[:2] == b"\x1f\x8b":
-        bits = 31
-    elif len(data) > 2 and data[0] & 0x0F == 8 and data[0] >> 4 <= 7 and (data[0] * 256 + data[1]) % 31 == 0:
-        bits = 15
-    else:
-        return None
+    The members of a gzip stream are one output. What comes out before an error or an early end counts.
+    """
+    bits = 31 if data[at] == 0x1F else 15
     machine = zlib.decompressobj(bits)
-    try:
-        out = machine.decompress(data, MAX_LAYER)
-    except zlib.error:
-        return None
-    return out, bool(machine.unconsumed_tail)
+    while at < len(data):
+        step, saved = data[at : at + STEP], machine.copy()
+        try:
+            out = machine.decompress(step)
+        except zlib.error:
+            for k in range(len(step)):
+                try:
+                    out = saved.decompress(step[k : k + 1])
+                except zlib.error:
+                    return
+                yield out, at + k + 1, False
+            return
+        at += len(step) - len(machine.unused_data)
+        over = machine.eof and not (bits == 31 and data.startswith(b"\x1f\x8b\x08", at))
+        yield out, at, over
+        if over:
+            return
+        if machine.eof:
+            machine = zlib.decompressobj(bits)
+
+
+def _windows(data: bytes, at: int) -> Iterator[bytes]:
+    """The output of the stream that begins at a place."""
+    parts, size = [], 0
+    for out, _, _ in _inflate(data, at):
+        parts.append(out[: MAX_LAYER - size])
+        size += len(parts[-1])
+        if size == MAX_LAYER:
+            break
+    yield b"".join(parts)
+
+
+def _texts(data: bytes) -> Iterator[tuple[str, int, int, bool]]:
+    """(text, start, end, whether a layer passed MAX_LAYER) of what is readable in the bytes and in streams in them."""
+    for m in READABLE.finditer(data):
+        yield m[0].decode(), m.start(), m.end(), False
+    for start, end, long in _streams(data):
+        if long:
+            yield "", start, end, True
+        seen, work = set(), [_windows(data, start)]
+        while work:
+            if (part := next(work[-1], None)) is None:
+                work.pop()
+            elif (key := hashlib.blake2b(part, digest_size=16).digest()) not in seen:  # a stream may hold itself
+                seen.add(key)
+                for m in READABLE.finditer(part):
+                    yield m[0].decode(), start, end, False
+                for at, _, long in _streams(part):
+                    if long:
+                        yield "", start, end, True
+                    work.append(_windows(part, at))
+
+
+def _streams(data: bytes) -> Iterator[tuple[int, int, bool]]:
+    """Start, end and whether there are more than MAX_LAYER bytes in it, of each zlib or gzip stream that gives any."""
+    at = 0
+    while h := HEADER.search(data, at):
+        at, size, end, over = h.start() + 1, 0, h.start(), False
+        for out, end, over in _inflate(data, h.start()):
+            size += len(out)
+        if over:
+            at = end
+        if size:
+            yield h.start(), end, size > MAX_LAYER
 
 
 class Layer(NamedTuple):
-    """A decoded text. ``span``: where all of it comes from; else ``starts`` and ``ends`` of each character (None: itself)."""
+    """A decoded text. ``starts`` and ``ends``: where each character comes from; ``span``: what any find takes in besides.
+
+    With a span alone all of the text comes from there, with none of the three it is the original text. A ``guess`` begins
+    inside a run: what it finds may be a part of what another layer finds whole.
+    """
 
     text: str
     depth: int
     span: tuple[int, int] | None = None
     starts: list[int] | None = None
     ends: list[int] | None = None
+    guess: bool = False
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
-        if self.span:
-            return self.span
-        return (start, end) if self.starts is None else (self.starts[start], self.ends[end - 1])
+        if self.starts is None:
+            return self.span or (start, end)
+        a, b = self.starts[start], self.ends[end - 1]
+        return (min(a, self.span[0]), max(b, self.span[1])) if self.span else (a, b)
 
 
 def _percent(code: str) -> list[tuple[int, str]]:
@@ -126,7 +194,7 @@ def _escape(code: str) -> list[tuple[int, str]]:
 def _replaced(layer: Layer, pattern: re.Pattern, parts) -> Layer | None:
     """The layer with what the pattern finds decoded in place; None if nothing changes."""
     out, starts, ends, at = [], [], [], 0
-    tracked = layer.span is None
+    tracked = layer.span is None or layer.starts is not None
 
     def keep(lo: int, hi: int) -> None:
         out.append(layer.text[lo:hi])
@@ -148,52 +216,105 @@ def _replaced(layer: Layer, pattern: re.Pattern, parts) -> Layer | None:
         return None
     keep(at, len(layer.text))
     text = "".join(out)
-    return None if text == layer.text else Layer(text, layer.depth + 1, layer.span, starts if tracked else None, ends if tracked else None)
+    return None if text == layer.text else Layer(text, layer.depth + 1, layer.span, starts if tracked else None, ends if tracked else None, layer.guess)
+
+
+class Run:
+    """A base64 run of a layer: its lines' places there, and their characters joined."""
+
+    def __init__(self, layer: Layer, m: re.Match) -> None:
+        self.layer = layer
+        self.places = [(x.start(), x.end()) for x in LINE.finditer(layer.text, *m.span())]
+        self.chars = "".join([layer.text[a:b] for a, b in self.places]).translate(URL_SAFE)
+        self.at = [0]
+        for a, b in self.places:
+            self.at.append(self.at[-1] + b - a)
+        self.places[-1] = self.places[-1][0], m.end()
+
+    def data(self, phase: int) -> bytes:
+        """The bytes of the characters from ``phase`` on."""
+        n = len(self.chars) - phase
+        body = self.chars[phase : len(self.chars) - (n % 4 == 1)]
+        return base64.b64decode(body + "=" * (-len(body) % 4))
+
+    def lines(self, phase: int, start: int, end: int) -> tuple[int, int, int, int]:
+        """First and last character, and first and last line, that bytes come from."""
+        a, b = phase + start // 3 * 4, min(phase + -(-end // 3) * 4, len(self.chars))
+        return a, b, bisect_right(self.at, a) - 1, bisect_left(self.at, b) - 1
+
+    def origin(self, first: int, last: int) -> tuple[int, int]:
+        return self.layer.origin(self.places[first][0], self.places[last][1])
+
+    def made(self, text: str, phase: int, start: int, end: int) -> Layer:
+        """The layer of a text that these bytes hold, as they are or in a stream."""
+        depth, guess = self.layer.depth + 1, self.layer.guess or phase + start > 0
+        a, b, first, last = self.lines(phase, start, end)
+        if first == last or len(text.encode()) != end - start:
+            return Layer(text, depth, self.origin(first, last), guess=guess)
+        starts, ends, at = [], [], start
+        for c in text:
+            n = len(c.encode())
+            _, _, x, y = self.lines(phase, at, at + n)
+            starts.append(self.origin(x, x)[0])
+            ends.append(self.origin(y, y)[1])
+            at += n
+        lo = first + (2 * (self.at[first + 1] - a) < self.at[first + 1] - self.at[first])
+        hi = last - (2 * (b - self.at[last]) < self.at[last + 1] - self.at[last])
+        return Layer(text, depth, self.origin(lo, hi) if lo <= hi else None, starts, ends, guess)
 
 
-def _inner(layer: Layer) -> list[tuple[Layer, bool]]:
+def _inner(layer: Layer) -> Iterator[tuple[Layer, bool]]:
     """The layers that a layer decodes to, and for each whether it was cut at MAX_LAYER."""
-    out = []
     for hint, pattern, parts in (("%", PERCENT, _percent), ("\\u", ESCAPE, _escape)):
         if hint in layer.text and (made := _replaced(layer, pattern, parts)):
-            out.append((made, False))
+            yield made, False
     for m in BASE64.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
+        if m.end() - m.start() < LEAST_RUN:
             continue
-        data, cut = base64.b64decode(body + "=" * (-len(body) % 4)), False
-        while (unpacked := _unpacked(data)) is not None:
-            data, over = unpacked
-            cut |= over
-        if (text := _readable(data)) or cut:
-            out.append((Layer(text or "", layer.depth + 1, layer.origin(m.start(), m.end())), cut))
-    return out
+        run = Run(layer, m)
+        for phase in range(4):
+            for text, start, end, cut in _texts(run.data(phase)):
+                yield run.made(text, phase, start, end), cut
 
 
 def finds(text: str) -> tuple[list[Find], int]:
     """Every find of a text, base ones in depth 0, and the number of layers cut at MAX_LAYER.
 
-    A find below the first layer has the span of the original characters that it was decoded from.
+    A find below the first layer has the span of the original characters that it was decoded from. One of a guess goes if
+    another decoded one of its kind spans it.
     """
     base = base_finds(text)
     found = {Find(s, k, e, 0) for s, k, e in base}
     known = {(s, k, e) for s, k, e in base}
+    sure: set[tuple[int, int, int]] = set()
     overflows = 0
-    seen: set[tuple[tuple[int, int] | None, bytes]] = set()
-    work = [Layer(text, 0)]
+    seen: set[tuple] = set()
+    work = [_inner(Layer(text, 0))]
     while work:
-        for layer, cut in _inner(work.pop()):
-            overflows += cut
-            key = (layer.span, hashlib.blake2b(layer.text.encode("utf-8", "replace"), digest_size=16).digest())
-            if key in seen:
-                continue
-            seen.add(key)
-            for a, kind, b in base_finds(layer.text):
-                start, end = layer.origin(a, b)
-                if (start, kind, end) not in known:
-                    known.add((start, kind, end))
-                    found.add(Find(start, kind, end, layer.depth))
-            work.append(layer)
+        if (made := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        layer, cut = made
+        overflows += cut
+        ends = layer.starts and (layer.starts[0], layer.ends[-1])
+        key = (layer.span, ends, layer.guess, hashlib.blake2b(layer.text.encode("utf-8", "replace"), digest_size=16).digest())
+        if key in seen:
+            continue
+        seen.add(key)
+        for a, kind, b in base_finds(layer.text):
+            start, end = layer.origin(a, b)
+            if not layer.guess:
+                sure.add((start, kind, end))
+            if (start, kind, end) not in known:
+                known.add((start, kind, end))
+                found.add(Find(start, kind, end, layer.depth))
+        work.append(_inner(layer))
+    widest = [-1, -1, -1]
+    for f in sorted(found, key=lambda f: (f.start, -f.end)):
+        if f.depth and f.end <= widest[f.order] and (f.start, f.order, f.end) not in sure:
+            found.remove(f)
+        elif f.depth:
+            widest[f.order] = max(widest[f.order], f.end)
     return sorted(found), overflows
 
 

@@ -1,4 +1,5 @@
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -67,6 +68,35 @@ def test_layers_map_back(wrap):
     assert KEY not in S.redacted(text, found) and coded not in S.redacted(text, found)
 
 
+def _payload(k):
+    words = hashlib.sha512(str(k).encode()).hexdigest().translate(str.maketrans("0123456789", "ghijklmnop"))
+    return f"{words[: 60 + k]} {KEY} {words[::-1]} {words} {words}".encode()
+
+
+@pytest.mark.parametrize("pack", [bytes, zlib.compress, gzip.compress])
+@pytest.mark.parametrize("before, after", [("word ", " end"), ("word\n", "\nend"), ("-----BEGIN X-----\n", "\n-----END X-----"), ("https://x.io/reset/", " end"), ("id_", ""), ("a-b-cde", "")])
+def test_wrapped_and_glued_base64(pack, before, after):
+    for k in range(20):
+        for coded in (base64.encodebytes(pack(_payload(k))).decode().strip(), base64.b64encode(pack(_payload(k))).decode(), base64.encodebytes(pack(_payload(k))).decode().strip().replace("\n", "\r\n")):
+            text = f"some words, then {before}{coded}{after} and more"
+            found, _ = S.finds(text)
+            deep = [f for f in found if f.order == 1]
+            assert deep and deep[0].start <= text.index(coded) and deep[0].end >= text.index(coded) + len(coded)
+            assert S.redacted(text, found).startswith("some words, then ") and S.redacted(text, found).endswith(" and more")
+
+
+def test_all_members_of_a_stream_and_what_follows_it():
+    one, two = gzip.compress(b"first member " * 9), gzip.compress(f"next {KEY} one".encode())
+    for data in (one + two, one + zlib.compress(KEY.encode()), one + f" plain {KEY} text".encode(), one + gzip.compress(KEY[:9].encode()) + gzip.compress(KEY[9:].encode())):
+        assert [f.show() for f in S.finds(base64.b64encode(data).decode())[0]] == [f"access:0:{-(-len(data) // 3) * 4}"]
+
+
+def test_lines_of_words_beside_a_run_stay():
+    coded = base64.b64encode(f"the key {KEY} of it".encode()).decode()
+    text = "\n".join(["plain", "single", "words", "on"] * 50 + [coded] + ["lines", "without", "anything"] * 50)
+    assert S.redacted(text, S.finds(text)[0]).count("\n") >= 348
+
+
 def test_context_stays_beside_decoded_values():
     text = "see pass\\u0077ord%3D%22ab%63defgh99%22 and so on, \\ud835\\udcb3 done"
     found, _ = S.finds(text)
