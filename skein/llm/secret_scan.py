@@ -10,8 +10,9 @@ span of its run or, in a run of many lines, of the lines that it takes at least
 a find in any depth maps back to characters of the text. A layer seen before is not scanned again: this ends cycles,
 and as every other decoding step shortens its input, but for decompression, the worklist empties.
 
-A compressed layer of more than ``MAX_LAYER`` bytes is scanned up to there and counted in ``overflows``; this only
-guards against decompression bombs.
+A compressed layer of more than ``MAX_LAYER`` bytes is read in overlapping windows and counted in ``overflows``. What
+is not followed from one window to the next is a compressed stream in such a layer that is itself, as bytes or base64,
+longer than a window.
 
 Null texts read as empty and have no finds; repeated rows give repeated results; an empty table gives none; other
 columns pass through ``scan``. Ties between finds are ordered by start, then kind, then end.
@@ -57,6 +58,10 @@ HEADER = re.compile(b"|".join([rb"\x1f\x8b\x08", *(re.escape(bytes([a, b])) for
 #: Bytes that go to a decompressor at once; they give 4 MB at most.
 STEP = 4096
 MAX_LAYER = 64 << 20
+OVERLAP = 1 << 16
+SPACES = re.compile(rb" {1024,}+")
+#: What base64 in lines, percent codes and backslash-u codes are made of.
+CODE_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\\r\n"
 
 
 class Find(NamedTuple):
@@ -110,13 +115,24 @@ def _inflate(data: bytes, at: int) -> Iterator[tuple[bytes, int, bool]]:
 
 
 def _windows(data: bytes, at: int) -> Iterator[bytes]:
-    """The output of the stream that begins at a place."""
+    """The output of the stream that begins at a place, in windows of about MAX_LAYER bytes.
+
+    What a stream holds has one span, so a window need only find what there is: the next one begins with the last
+    ``OVERLAP`` bytes, or with all of a code that has not ended if that is longer and shorter than a window. Long runs of
+    spaces, which the assign pattern may cross, are shortened.
+    """
     parts, size = [], 0
     for out, _, _ in _inflate(data, at):
-        parts.append(out[: MAX_LAYER - size])
-        size += len(parts[-1])
-        if size == MAX_LAYER:
-            break
+        parts.append(out)
+        size += len(out)
+        if size < MAX_LAYER + OVERLAP:
+            continue
+        held = SPACES.sub(b" ", b"".join(parts))
+        if len(held) > MAX_LAYER:
+            yield held
+            code = len(held) - len(held.rstrip(CODE_BYTES))
+            held = held[-(code if OVERLAP < code < MAX_LAYER else OVERLAP) :]
+        parts, size = [held], len(held)
     yield b"".join(parts)
 
 
@@ -142,7 +158,7 @@ def _texts(data: bytes) -> Iterator[tuple[str, int, int, bool]]:
 
 
 def _streams(data: bytes) -> Iterator[tuple[int, int, bool]]:
-    """Start, end and whether there are more than MAX_LAYER bytes in it, of each zlib or gzip stream that gives any."""
+    """Start, end and whether more than MAX_LAYER bytes come out, of each zlib or gzip stream that gives any."""
     at = 0
     while h := HEADER.search(data, at):
         at, size, end, over = h.start() + 1, 0, h.start(), False
@@ -264,7 +280,7 @@ class Run:
 
 
 def _inner(layer: Layer) -> Iterator[tuple[Layer, bool]]:
-    """The layers that a layer decodes to, and for each whether it was cut at MAX_LAYER."""
+    """The layers that a layer decodes to, and for each whether it stands for a stream of more than MAX_LAYER bytes."""
     for hint, pattern, parts in (("%", PERCENT, _percent), ("\\u", ESCAPE, _escape)):
         if hint in layer.text and (made := _replaced(layer, pattern, parts)):
             yield made, False
@@ -278,7 +294,7 @@ def _inner(layer: Layer) -> Iterator[tuple[Layer, bool]]:
 
 
 def finds(text: str) -> tuple[list[Find], int]:
-    """Every find of a text, base ones in depth 0, and the number of layers cut at MAX_LAYER.
+    """Every find of a text, base ones in depth 0, and the number of layers longer than MAX_LAYER.
 
     A find below the first layer has the span of the original characters that it was decoded from. One of a guess goes if
     another decoded one of its kind spans it.

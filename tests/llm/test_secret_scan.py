@@ -122,3 +122,15 @@ def test_long_text_and_bomb(monkeypatch):
     monkeypatch.setattr(S, "MAX_LAYER", 1000)
     bomb = base64.b64encode(zlib.compress(b"x" * 100_000)).decode()
     assert S.finds(bomb)[1] == 1
+
+
+def test_long_layers_are_read_to_their_end(monkeypatch):
+    monkeypatch.setattr(S, "MAX_LAYER", 1000)
+    monkeypatch.setattr(S, "OVERLAP", 100)
+    inner = base64.b64encode(f"the key {KEY} of it {'é' * 300}".encode()).decode()
+    for n in (0, 900, 980, 990, 1000, 1090, 1100, 1101, 50_000):
+        for secret, kind in ((KEY, 1), (f"secret{' ' * 20_000}= abcdefgh12", 0), (inner, 1), (quote(KEY).replace("A", "%41"), 1)):
+            text = f"{'é ' * (n // 3)}{' ' * (n % 3)}{secret}{' é' * 20_000}"
+            coded = base64.b64encode(gzip.compress(text.encode())).decode()
+            found, overflows = S.finds(coded)
+            assert [f.order for f in found] == [kind] and overflows == 1
