@@ -30,10 +30,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_shared_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: passages that a document of lesser id has too are cut out; documents left empty go."""
-    cut = chunk_dedup.dedup(docs, stats=False)
+    """Operator 9: passages that a document of lesser id has too are cut out; documents that this leaves empty go."""
+    had_none = F.coalesce(F.length("text") == 0, F.lit(True))  # a null or empty text lost nothing
+    cut = chunk_dedup.dedup(docs.withColumn("__had_none", had_none), stats=False)
     changed = cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return changed.filter(F.col("text").isNull() | (F.length("text") > 0))
+    return changed.filter(F.col("__had_none") | (F.length("text") > 0)).select(docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

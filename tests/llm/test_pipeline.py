@@ -82,3 +82,12 @@ def test_redaction_in_a_stage(spark, sf):
     docs = spark.createDataFrame([(1, f"a {KEY} b", None, None, 24), (2, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: (r.text, r.n_chars) for r in P.redact_secrets(spark, docs, sf).collect()}
     assert got == {1: ("a [SECRET] b", 12), 2: (None, None)}
+
+
+def test_documents_that_came_in_empty_stay(spark, sf):
+    line = " ".join(f"word{k * k} of passage {k}" for k in range(30))
+    rows = [(1, line, None, None, len(line)), (2, line, None, None, len(line)), (3, "", None, None, 0), (3, "", None, None, 0), (4, None, None, None, None), (None, "", None, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.cut_shared_passages(spark, docs, sf)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, line), (3, ""), (3, ""), (4, None), (None, "")], key=str)
