@@ -5,7 +5,9 @@ read back, never from the input. The transform takes Hann windows of ``FRAME`` s
 one padded with silence. In each frame the strongest bin of every frequency band is a peak candidate; it is a peak if
 its magnitude is above ``FLOOR`` times the frame's mean. Each peak is paired with the peaks of the next ``FAN`` frames
 in the same or the neighbouring band, and a pair is one fingerprint: both bins and the frame distance in an integer,
-with the first peak's frame as its time code. The work of a payload goes through blocks of frames, so its length does
+with the first peak's frame as its time code. A payload of one frame has no pairs so; its frames begin
+at every ``SHORT_HOP`` samples up to its end, every candidate is a peak, zeros at its end count as silence, and its
+distances are written as ``FAN`` more. The work of a payload goes through blocks of frames, so its length does
 not matter for memory.
 
 Null texts read as empty, an empty payload is 64 zero bytes, equal texts give equal values, ties between bins go to
@@ -28,6 +30,8 @@ from skein.llm.text import filled, slices, small_batches
 
 RATE = 8000
 FRAME, HOP = 256, 128
+#: Samples between the frames of a payload that fills one frame at most.
+SHORT_HOP = 1
 #: Band edges in bins, about an octave each.
 BANDS = (2, 8, 16, 32, 64, 129)
 FLOOR = 2.0
@@ -57,30 +61,30 @@ def from_wav(stored: bytes) -> bytes:
         return w.readframes(w.getnframes())
 
 
-def spectrum(samples: np.ndarray) -> np.ndarray:
+def spectrum(samples: np.ndarray, hop: int = HOP) -> np.ndarray:
     """Magnitudes, a row for each frame, of samples that fill whole frames."""
-    frames = np.lib.stride_tricks.sliding_window_view(samples, FRAME)[::HOP]
+    frames = np.lib.stride_tricks.sliding_window_view(samples, FRAME)[::hop]
     return np.abs(np.fft.rfft(frames * WINDOW, axis=1))
 
 
-def peaks(magnitudes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def peaks(magnitudes: np.ndarray, floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray]:
     """Bin and presence of the peak of each frame and band."""
     bins = np.stack([magnitudes[:, a:b].argmax(1) + a for a, b in zip(BANDS, BANDS[1:])], axis=1)
     tops = np.take_along_axis(magnitudes, bins, 1)
-    return bins.astype(np.int64), tops > FLOOR * magnitudes[:, BANDS[0] :].mean(1, keepdims=True)
+    return bins.astype(np.int64), tops > floor * magnitudes[:, BANDS[0] :].mean(1, keepdims=True)
 
 
-def fingerprints(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
+def fingerprints(samples: bytes, hop: int = HOP, floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray]:
     """Time codes (frame numbers) and pair codes of 8-bit samples, by time, then code."""
     data = np.frombuffer(samples, np.uint8)
-    n = 1 + max(0, -(-(len(data) - FRAME) // HOP))
+    n = 1 + max(0, -(-(len(data) - FRAME) // HOP)) if hop == HOP else -(-len(data) // hop)
     all_bins, all_there = [], []
     for lo in range(0, n, BLOCK_FRAMES):
         hi = min(n, lo + BLOCK_FRAMES)
-        part = data[lo * HOP : (hi - 1) * HOP + FRAME]
-        signal = np.zeros((hi - lo - 1) * HOP + FRAME, np.float32)
+        part = data[lo * hop : (hi - 1) * hop + FRAME]
+        signal = np.zeros((hi - lo - 1) * hop + FRAME, np.float32)
         signal[: len(part)] = (part.astype(np.float32) - 128) / 128
-        bins, there = peaks(spectrum(signal))
+        bins, there = peaks(spectrum(signal, hop), floor)
         all_bins.append(bins)
         all_there.append(there)
     bins, there = np.concatenate(all_bins), np.concatenate(all_there)
@@ -97,6 +101,16 @@ def fingerprints(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     return t[order].astype(np.int32), c[order].astype(np.int32)
 
 
+def features(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The fingerprints of any payload; those of at most a frame have frames at a smaller hop."""
+    if len(samples) > FRAME:
+        return fingerprints(samples)
+    heard = samples.rstrip(b"\0")
+    ahead = b"\x80" * 4 if heard else b""  # a window is silent at its first sample
+    times, codes = fingerprints(ahead + heard.ljust(len(samples), b"\x80"), SHORT_HOP, 0.0)
+    return times, codes + np.int32(FAN)
+
+
 def with_fingerprints(docs: DataFrame, text: str = "text", media: str = "wav", times: str = "peak_times", codes: str = "peak_codes") -> DataFrame:
     """``docs`` with the WAV file of every text's bytes and its fingerprint as time-coded arrays."""
     if clash := {media.lower(), times.lower(), codes.lower()} & {c.lower() for c in docs.columns}:
@@ -108,7 +122,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", media: str = "wav", t
     def run(batches):
         for piece in slices(batches, text):
             stored = [to_wav(padded(t.encode())) for t in filled(piece.column(text)).to_pylist()]
-            made = [fingerprints(from_wav(s)) for s in stored]
+            made = [features(from_wav(s)) for s in stored]
             yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(stored, pa.binary()), pa.array([t for t, _ in made], pa.list_(pa.int32())), pa.array([c for _, c in made], pa.list_(pa.int32()))], names=schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -118,7 +132,7 @@ def digest(data: bytes) -> tuple:
     """The contract's columns of one text's bytes."""
     stored = to_wav(padded(data))
     payload = from_wav(stored)
-    times, codes = fingerprints(payload)
+    times, codes = features(payload)
     feature = f"{len(codes)}:{hashlib.sha256(times.tobytes() + codes.tobytes()).hexdigest()}"
     return len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(stored), hashlib.sha256(stored).hexdigest(), feature
 

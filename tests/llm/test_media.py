@@ -75,3 +75,10 @@ def test_odd_rows(spark, odd, odd_dir, none_dir):
     assert all(media.from_wav(bytes(r.wav)).rstrip(b"\0") == (r.text or "").encode().rstrip(b"\0") for r in full)
     with pytest.raises(ValueError):
         media.with_fingerprints(odd, media="Score")
+
+
+def test_short_texts_have_their_own_fingerprints():
+    texts = ["word", "wore", "a", "two words", *(f"a short text of number {k}, some words" * (1 + k % 6) for k in range(400))]
+    made = [media.digest(t.encode())[-1] for t in texts]
+    assert all(len(t) <= media.FRAME for t in texts) and not any(f.startswith("0:") for f in made)
+    assert len(set(made)) >= 0.95 * len(set(texts)) and media.digest(b"word")[-1] == made[0]
