@@ -8,12 +8,11 @@ tests compare each stage with a brute-force version.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import chunk_dedup, minhash, packing, quality_knn, secret_scan
+from skein.session import delete_folder, shared_folder
 
 ORACLE_SQL = None
 
@@ -59,19 +58,17 @@ STAGES = [
 ]
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new folder where all executors write: beside the checkpoints; a local one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="skein-pipeline-")
-    return f"{shared.rstrip('/')}/pipeline-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over ``documents``, each written as Parquet and read again."""
-    folder = _folder(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after the other over ``documents``, each written as Parquet and read again.
+
+    A stage's rows go when the next one's are written, the last one's when the session ends.
+    """
+    folder = shared_folder(spark, "pipeline")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(f"{folder}/{k}-{name}")
-        docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        if before is not None:
+            delete_folder(spark, before)
+        before = f"{folder}/{k}-{name}"
+        docs = spark.read.parquet(before)
     return docs

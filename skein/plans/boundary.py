@@ -2,32 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions import ids
 from skein.operators import grouping, kernels, routing, spans, summary
 from skein.plans.tables import table
+from skein.session import shared_folder
 from skein.sources import sinks
 from skein.streaming import arrivals
 
 
-def _folder(spark: SparkSession) -> str:
-    """A new shared folder; one of this machine only where no checkpoint folder is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="skein-run-")
-    return f"{shared.rstrip('/')}/run-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
-
-
 def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     """Events as a stream, counted in windows of a day every 12 hours by type, drained and read back."""
     schema = table(spark, d, "events").schema
     stream = arrivals.arriving(spark, f"{d}/events.parquet*", schema).withColumn("ts", F.col("ts").cast("timestamp"))
     counted = arrivals.window_counts(stream, "ts", "24 hours", "12 hours", "event_type")
-    made = arrivals.drained(counted, _folder(spark), "windows")
+    made = arrivals.drained(counted, shared_folder(spark, "run"), "windows")
     return made.select(F.unix_micros("start").alias("start"), "event_type", "n_rows")
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that the plans rely on; a cluster's own defaults win for everything else.
 DEFAULTS = {
@@ -49,14 +50,61 @@ def ship(spark: SparkSession) -> None:
     context._skein_shipped = True
 
 
-def checkpointed(df, eager: bool = True):
-    """The same rows, written to the folder that spark.checkpoint.dir names.
+def _base(spark: SparkSession) -> str:
+    """The folder that all executors share: one given to ``setCheckpointDir``, else that of ``spark.checkpoint.dir``.
 
-    Only where the setting is unset (local runs, tests) a folder of this machine is chosen.
+    Only on a local master, where both may be unset (tests), a folder of this machine is chosen. Spark makes a folder of
+    its own in the one that the setting names; that one goes when the session's JVM ends.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skein-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager)
+        if named is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            named = tempfile.mkdtemp(prefix="skein-")
+            _delete_at_exit(spark, named)
+        context.setCheckpointDir(named)
+    base = context.getCheckpointDir()
+    if named is not None and base.startswith(named):
+        _delete_at_exit(spark, base)
+    return base
+
+
+def _path(spark: SparkSession, folder: str):
+    """A Hadoop path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    path, fs = _path(spark, folder)
+    fs.deleteOnExit(path)
+
+
+def shared_folder(spark: SparkSession, prefix: str) -> str:
+    """The name of a new folder beside the checkpoints; it goes when the session's JVM ends."""
+    folder = f"{_base(spark).rstrip('/')}/{prefix}-{uuid.uuid4()}"
+    _delete_at_exit(spark, folder)
+    return folder
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path, fs = _path(spark, folder)
+    fs.delete(path, True)
+
+
+#: Spark's own setting by which an execution's shuffle files go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared folder; the shuffle files that made them go at once."""
+    spark = df.sparkSession
+    _base(spark)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint()  # a new execution, which reads the setting
+    finally:
+        spark.conf.set(CLEANUP, before)
