@@ -11,8 +11,8 @@ nothing unless its neighbours agree too.
 
 Only (digest, id) pairs, one for each chunk and document, are shuffled: counts and least ids are combined before the
 shuffle, so a chunk that a third of the corpus shares sends one row a task; the join back to the pairs is one that
-adaptive execution splits. The copies of a document are gathered by its id, no more than it has chunks, and its text
-is cut where they are joined to it, with the chunks computed again from the text.
+adaptive execution splits. The copies of a document are gathered by its id as a set, no more than the different chunks
+of the texts with that id, and its text is cut where they are joined to it, with the chunks computed again from the text.
 
 Null texts stay null and have no chunks; empty ones have none. Rows of one id and text (repeated rows) are one place
 and keep the same bytes; rows with a null id are never copies of others. Chunks of equal digests of texts with one id
@@ -28,7 +28,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.cleanup import release_shuffles
 from skein.llm.text import BYTE_CODES, SpanHash, byte_view, slices, small_batches
 from skein.session import checkpointed
 
@@ -96,8 +95,7 @@ def copied_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pairs = _pairs(docs.filter(F.col(doc_id).isNotNull()), doc_id, text)
     shared = pairs.groupBy("digest").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("digest", "least")
     shared = checkpointed(shared)  # so that both sides of the join are shuffled for it and a hot chunk's share is split
-    release_shuffles(docs.sparkSession)
-    return pairs.join(shared, "digest").groupBy("id").agg(F.collect_list(F.struct("digest", "least")).alias("copies"))
+    return pairs.join(shared, "digest").groupBy("id").agg(F.collect_set(F.struct("digest", "least")).alias("copies"))
 
 
 STATS = "n_bytes long, n_chunks long, n_removed long, n_spans long, n_shared long, first_ids array<long>"
@@ -122,20 +120,29 @@ def removed_spans(data: np.ndarray, later: np.ndarray, shared: np.ndarray, min_r
     return spans, digest[gone], len(start), int((end - start)[np.isin(digest, shared)].sum())
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, longer by underscores as long as the input has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stats: bool = True, min_run: int = MIN_RUN) -> DataFrame:
     """``docs`` with copies cut out of ``text``; with ``stats`` also a struct ``chunk_dedup`` of what was done."""
     if stats and "chunk_dedup" in {c.lower() for c in docs.columns}:
         raise ValueError("the input has a column named chunk_dedup")
     schema = T.StructType([*docs.schema.fields, *([T.StructField("chunk_dedup", T.StructType.fromDDL(STATS))] if stats else [])])
-    lists = copied_chunks(docs, doc_id, text).select(F.col("id").alias("__id"), F.col("copies").alias("__copies"))
-    joined = docs.join(lists, F.col(doc_id) == F.col("__id"), "left").drop("__id")
+    own_id, own_copies = (_free(docs, name) for name in ("__id", "__copies"))
+    lists = copied_chunks(docs, doc_id, text).select(F.col("id").alias(own_id), F.col("copies").alias(own_copies))
+    joined = docs.join(lists, F.col(doc_id) == F.col(own_id), "left").drop(own_id)
     small_batches(docs.sparkSession)
     place = docs.columns.index(text)
     kind = pa.struct([("n_bytes", pa.int64()), ("n_chunks", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("n_shared", pa.int64()), ("first_ids", pa.list_(pa.int64()))])
 
     def run(batches):
         for piece in slices(batches, text):
-            ids, copies = piece.column(doc_id).to_pylist(), piece.column("__copies")
+            ids, copies = piece.column(doc_id).to_pylist(), piece.column(own_copies)
             data, off = byte_view(piece.column(text))
             texts, notes = [], []
             for i, (d, known) in enumerate(zip(ids, piece.column(text).is_valid().to_pylist())):
@@ -154,7 +161,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stats: bo
                 texts.append(kept.decode() if known else None)
                 first = np.unique(least[later & np.isin(digests, cut)]).tolist()
                 notes.append({"n_bytes": len(own), "n_chunks": n, "n_removed": len(own) - len(kept), "n_spans": len(spans), "n_shared": shared, "first_ids": first})
-            columns = [c for c, name in zip(piece.columns, piece.schema.names) if name != "__copies"]
+            columns = [c for c, name in zip(piece.columns, piece.schema.names) if name != own_copies]
             columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, *([pa.array(notes, kind)] if stats else [])], names=schema.names)
 

@@ -8,24 +8,25 @@ dart of a coordinate is its value. About K (ln K + 3) darts are needed whatever
 which darts are thrown is set by the text's total weight, and doubled where a coordinate stayed empty. Two texts agree
 in a coordinate with the probability of their weighted Jaccard similarity.
 
-Joining: texts with equal element sets are one representative. Bands of ``ROWS`` coordinates are bucket keys.
+Joining: texts with equal element sets are one node. Bands of ``ROWS`` coordinates are bucket keys.
 
 1. In each bucket every member is compared with the bucket's leader, the member with most bucket fellows.
-2. Where a bucket still holds several components, each member is compared with its likeliest partners in others.
-3. Where it still does, all pairs of members in different components are compared, but for those whose signatures
-   agree in less than ``LEAST_AGREEMENT`` of coordinates (a pair at the threshold falls below by chance once in
-   30,000). Pairs inside a component need no comparison: they would change no class. A bucket with more than
-   ``DENSE`` such pairs a member hands out no pairs: it is read once more with its members' element sets, all of its
-   intersections are counted by matrix products, and only links that join components leave it.
+2. Where a bucket still holds several components, each member is compared with its likeliest partners in others, by
+   their signatures.
+3. Where it still does, all pairs of members in different components are compared. Pairs inside a component need no
+   comparison: they would change no class. The pairs are counted by products of 0/1 matrices where the members meet,
+   and only links that join components leave a task.
 
-Comparisons are exact (32-bit shingle hashes), but for dense buckets made in the JVM. Steps 2 and 3 read a bucket in
-blocks of ``BLOCK`` members, each pair of blocks a task of its own, so no bucket is cut off or gathered whole. A pair
-is handed out by the first bucket it shares only. With 24 bands of 5 a pair of similarity 0.8 shares no bucket with probability 0.00007.
+All comparisons are of the whole element sets (32-bit shingle hashes), and no pair of a bucket is left out. Leaders are
+sent once to each ``BLOCK`` of their fellows. Steps 2 and 3 read a bucket in blocks of ``BLOCK`` members, each pair of
+blocks a task of its own, so no bucket is cut off or gathered whole; blocks of a bucket's greatest component do not
+meet each other. With 24 bands of 5 a pair of similarity 0.8 shares no bucket with probability 0.00007.
 
 Components are found by passing on least labels with shortcuts, each step written to the shared checkpoint folder.
 
-Null texts and texts without words are classes of their own. Repeated rows of an id have its class. A null id has a
-null class. Ties of leaders go to the least id. An empty table gives no rows. Other columns are ignored.
+There is one row for each row of the input. Null texts and texts without words are classes of their own. Repeated rows
+have one class. Rows of one id with different texts are different documents: each has the class of its own text. A null
+id has a null class. Ties of leaders go to the least node. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +37,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.cleanup import release_shuffles
 from skein.llm.text import MULTIPLIER, SpanHash, byte_view, filled, mix, slices, small_batches, words_of
 from skein.session import checkpointed
 
@@ -44,11 +44,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 K = BANDS * ROWS
-LEAST_AGREEMENT = 0.65
 BLOCK = 1024
 PARTNERS = 2
-DENSE = 4
-#: Elements that a dense bucket's matrix product takes at once.
+#: Elements that a matrix product takes at once.
 COLUMNS = 2048
 SLICE = 1 << 19
 
@@ -136,14 +134,19 @@ def band_keys(signatures: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.view(np.int64)
 
 
-def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weights: str = "set") -> DataFrame:
-    """id, two digests of the element set (null without elements), bucket keys and signature of every text."""
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """id, a hash that tells texts of one id apart, and text."""
+    return docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("sub"), F.col(text).alias("text"))
+
+
+def sketches(docs: DataFrame, weights: str = "set") -> DataFrame:
+    """id, sub, two digests of the element set (null without elements), bucket keys and signature of every text."""
     small_batches(docs.sparkSession)
 
     def run(batches):
-        for piece in slices(batches, text, SLICE):
+        for piece in slices(batches, "text", SLICE):
             n = len(piece)
-            h, row, weight = elements(piece.column(text), weights=weights)
+            h, row, weight = elements(piece.column("text"), weights=weights)
             sig = dart_signatures(h, row, weight, n)
             there = np.bincount(row, minlength=n) > 0
             starts = np.searchsorted(row, np.arange(n))
@@ -153,31 +156,51 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", weight
                 ends = np.searchsorted(row, np.arange(n), side="right")
                 sums.append(pa.array((c[ends] - c[starts]).view(np.int64), mask=~there))
             keys = pa.array(list(band_keys(sig)), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([piece.column(doc_id), *sums, keys, pa.array([s.tobytes() for s in sig], pa.binary())], names=["id", "d1", "d2", "keys", "sig"])
+            yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("sub"), *sums, keys, pa.array([s.tobytes() for s in sig], pa.binary())], names=["id", "sub", "d1", "d2", "keys", "sig"])
 
-    return docs.select(doc_id, text).mapInArrow(run, "id long, d1 long, d2 long, keys array<long>, sig binary")
+    return docs.mapInArrow(run, "id long, sub long, d1 long, d2 long, keys array<long>, sig binary")
 
 
-def element_sets(docs: DataFrame, doc_id: str, text: str, weights: str) -> DataFrame:
-    """id and 32-bit hashes of the elements of every text (an element of weight n is n elements)."""
-    small_batches(docs.sparkSession)
+def element_sets(texts: DataFrame, weights: str) -> DataFrame:
+    """id and sorted 32-bit hashes of the elements of every text (an element of weight n is n elements)."""
+    small_batches(texts.sparkSession)
 
     def run(batches):
-        for piece in slices(batches, text):
-            h, row, _ = _layers(*elements(piece.column(text), weights=weights))
+        for piece in slices(batches, "text"):
+            h, row, _ = _layers(*elements(piece.column("text"), weights=weights))
             parts = np.split((h >> np.uint64(32)).astype(np.uint32).view(np.int32), np.searchsorted(row, np.arange(1, len(piece))))
-            yield pa.RecordBatch.from_arrays([piece.column(doc_id), pa.array(parts, pa.list_(pa.int32()))], names=["id", "elements"])
+            yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array([np.unique(p) for p in parts], pa.list_(pa.int32()))], names=["id", "elements"])
 
-    return docs.select(doc_id, text).mapInArrow(run, "id long, elements array<int>")
+    return texts.mapInArrow(run, "id long, elements array<int>")
 
 
 def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose Jaccard similarity reaches the threshold."""
-    left = sets.select(F.col("id").alias("a"), F.col("elements").alias("ea"))
-    right = sets.select(F.col("id").alias("b"), F.col("elements").alias("eb"))
-    both = F.size(F.array_intersect("ea", "eb"))
-    either = F.size(F.array_distinct("ea")) + F.size(F.array_distinct("eb")) - both
-    return pairs.join(left, "a").join(right, "b").filter(both >= F.lit(threshold - 1e-12) * either).select("a", "b")
+    """The pairs (a, b) whose Jaccard similarity reaches the threshold.
+
+    The sets of all b of an a come in blocks, each after the set of a, which so is sent once a block and not with every
+    pair.
+    """
+    blocks = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    heads = blocks.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("a", "block", F.lit(0).alias("kind"), F.col("a").alias("id"))
+    tails = pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("kind"), F.col("b").alias("id"))
+    laid = heads.union(tails).join(sets, "id").repartition("a", "block").sortWithinPartitions("a", "block", "kind")
+
+    def run(batches):
+        head = np.zeros(0, np.int32)
+        for batch in batches:
+            lists, out = batch.column("elements"), []
+            flat, off = lists.values.to_numpy(), lists.offsets.to_numpy()
+            for k, (a, kind, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "kind", "id")))):
+                own = flat[off[k] : off[k + 1]]
+                if kind == 0:
+                    head = own
+                    continue
+                both = np.count_nonzero(head[np.minimum(np.searchsorted(head, own), len(head) - 1)] == own)
+                if both >= (threshold - 1e-12) * (len(head) + len(own) - both):
+                    out.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["a", "b"])
+
+    return laid.mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -196,15 +219,23 @@ def components(edges: DataFrame) -> DataFrame:
         labels = stepped.select("id", "label")
 
 
-PAIRS = "a long, b long, key long, i int, j int"
+def _mixed(named: DataFrame) -> DataFrame:
+    """key, the label with most members, and the members with that label and with others, of buckets of several labels."""
+    each = named.groupBy("key", "label").agg(F.count("*").alias("n"))
+    top = each.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("labels")).filter("labels > 1")
+    return top.select("key", F.col("top.label").alias("main"), F.col("top.n").alias("n_main"), (F.col("all") - F.col("top.n")).alias("n_rest"))
 
 
 def _tasks(rows: DataFrame, *columns: str) -> DataFrame:
-    """key, i, j, block and columns of each member, once for each pair of blocks of its bucket that it is in."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    spread = rows.withColumn("blocks", blocks).withColumn("block", own.cast("int"))
-    tasks = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
+    """key, i, j, block and columns of each member of mixed buckets, once for each pair of blocks that it is in.
+
+    The blocks of the main label come first; they meet those of the rest only, and the rest all.
+    """
+    count = {k: F.ceil(F.col(k) / BLOCK).cast("int") for k in ("n_main", "n_rest")}
+    main = F.col("label") == F.col("main")
+    own = F.when(main, F.pmod(F.xxhash64("id"), count["n_main"])).otherwise(count["n_main"] + F.pmod(F.xxhash64("id"), count["n_rest"])).cast("int")
+    spread = rows.withColumn("block", own).withColumn("first", F.when(main, count["n_main"]).otherwise(0)).withColumn("last", count["n_main"] + count["n_rest"] - 1)
+    tasks = F.transform(F.sequence("first", "last"), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
     return spread.withColumn("task", F.explode(tasks)).select("key", "task.i", "task.j", "block", *columns)
 
 
@@ -233,49 +264,29 @@ def _by_task(spread: DataFrame, group, schema: str) -> DataFrame:
     return spread.mapInArrow(run, schema)
 
 
-def _cross_pairs(rows: DataFrame, partners: int | None) -> DataFrame:
-    """Pairs of members of a bucket in different components, each from the first bucket that both are in.
+def _partners(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each member of a task with the likeliest few in other components, by signature.
 
-    ``rows``: key, id, label, sig, size. With ``partners`` only the likeliest that many of each member; without, a row
-    of null a and b stands for each task that has too many pairs to hand out.
+    ``rows``: key, i, j, block, id, label, sig.
     """
 
     def group(t: pa.Table) -> pa.RecordBatch:
         i, j = t["i"][0].as_py(), t["j"][0].as_py()
         ids, label, block = (t[c].to_numpy() for c in ("id", "label", "block"))
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint32).reshape(len(ids), -1)
-        band = t["key"][0].as_py()
-        a_side = np.flatnonzero(block == i)
-        b_side = np.flatnonzero(block == j)
         out = []
-        for lo in range(0, len(a_side), 64):
-            part = a_side[lo : lo + 64]
-            agree = np.empty((len(part), len(b_side)), np.float32)
-            for x, p in enumerate(part):
-                agree[x] = (sig[b_side] == sig[p]).mean(1)
-            fits = (label[part][:, None] != label[b_side][None, :]) & (agree >= LEAST_AGREEMENT)
-            if i == j:
-                fits &= part[:, None] < b_side[None, :] if partners is None else part[:, None] != b_side[None, :]
-            if partners is not None:
-                agree = np.where(fits, agree, -1)
-                best = np.argsort(-agree, axis=1, kind="stable")[:, :partners]
-                top = np.zeros_like(fits)
-                np.put_along_axis(top, best, True, 1)
-                fits &= top
-            x, y = np.nonzero(fits)
-            out.append(np.stack([part[x], b_side[y]], 1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        if partners is None and len(pairs):
-            keys = band_keys(sig)
-            common = keys[pairs[:, 0]] == keys[pairs[:, 1]]
-            pairs = pairs[keys[pairs[:, 0], common.argmax(1)] == band]
-            if len(pairs) > DENSE * len(ids):
-                return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([band]), pa.array([i], pa.int32()), pa.array([j], pa.int32())], names=["a", "b", "key", "i", "j"])
-        a, b = ids[pairs[:, 0]], ids[pairs[:, 1]]
-        none = pa.nulls(len(a), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.int64()), none, none], names=["a", "b", "key", "i", "j"])
-
-    return _by_task(_tasks(rows, "id", "label", "sig"), group, PAIRS)
+        for own, other in [(i, j), (j, i)][: 1 + (i != j)]:
+            left, right = np.flatnonzero(block == own), np.flatnonzero(block == other)
+            if not len(right):
+                continue
+            for p in left:
+                agree = np.where(label[right] != label[p], (sig[right] == sig[p]).mean(1), -1)
+                best = np.argsort(-agree, kind="stable")[:PARTNERS]
+                out += [(ids[p], ids[right[q]]) for q in best if agree[q] >= 0]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs.min(1)), pa.array(pairs.max(1))], names=["a", "b"])
+
+    return _by_task(rows, group, "a long, b long").distinct()
 
 
 def _intersections(parts: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -295,7 +306,7 @@ def _intersections(parts: list[np.ndarray], left: np.ndarray, right: np.ndarray)
     return out
 
 
-def _dense_links(rows: DataFrame, threshold: float) -> DataFrame:
+def _links(rows: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) that join the components of each task, by exact similarities of all its members.
 
     ``rows``: key, i, j, block, id, label, elements.
@@ -304,7 +315,7 @@ def _dense_links(rows: DataFrame, threshold: float) -> DataFrame:
     def group(t: pa.Table) -> pa.RecordBatch:
         i, j = t["i"][0].as_py(), t["j"][0].as_py()
         ids, label, block = (t[c].to_numpy() for c in ("id", "label", "block"))
-        parts = [np.unique(e.values.to_numpy()) for e in t["elements"]]
+        parts = [e.values.to_numpy() for e in t["elements"]]
         size = np.array([len(p) for p in parts])
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         both = _intersections(parts, left, right)
@@ -328,56 +339,67 @@ def _dense_links(rows: DataFrame, threshold: float) -> DataFrame:
     return _by_task(rows, group, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY, weights: str = "set") -> DataFrame:
-    """``doc_id`` and ``class_id`` of every row: the least id of the texts linked by similarities from the threshold on."""
-    made = checkpointed(sketches(docs, doc_id, text, weights))
+def _classes(docs: DataFrame, doc_id: str, text: str, threshold: float, weights: str) -> DataFrame:
+    """id, sub, label and class_id of every row; the label, null for texts without words, tells classes apart."""
+    texts = keyed(docs, doc_id, text)
+    made = checkpointed(sketches(texts, weights))
     known = made.filter(F.col("id").isNotNull() & F.col("d1").isNotNull())
-    # What is joined to a hot key's rows is written first: then both sides are shuffled for the join, and its share split.
-    reps = checkpointed(known.groupBy("d1", "d2").agg(F.min("id").alias("rep")))
-    member = known.select("id", "d1", "d2").join(reps, ["d1", "d2"]).select("id", "rep").distinct()
-    first = checkpointed(known.join(reps.select(F.col("rep").alias("id"), "d1", "d2"), ["id", "d1", "d2"]).dropDuplicates(["id"]).select("id", "keys", "sig"))
-    slots = first.select("id", F.explode("keys").alias("key"))
+    # Keys and signatures are the same for all texts of a digest, so any of them will do.
+    nodes = known.groupBy("d1", "d2").agg(F.min(F.struct("id", "sub")).alias("p"), F.first("keys").alias("keys"), F.first("sig").alias("sig"))
+    nodes = checkpointed(nodes.select(F.monotonically_increasing_id().alias("id"), "d1", "d2", F.col("p.id").alias("rep"), F.col("p.sub").alias("sub"), "keys", "sig"))
+    slots = nodes.select("id", F.explode("keys").alias("key"))
     sizes = checkpointed(slots.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"))
     shared = slots.join(sizes, "key")
     degree = shared.groupBy("id").agg(F.sum("size").alias("degree"))
     shared = checkpointed(shared.join(degree, "id"))
     leader = checkpointed(shared.groupBy("key").agg((-F.max(F.struct("degree", (-F.col("id")).alias("minus")))["minus"]).alias("leader")))
-    wanted = shared.select(F.col("id").alias(doc_id)).distinct()
-    once = docs.select(doc_id, text).join(wanted, doc_id, "left_semi")
-    sets = checkpointed(element_sets(once.dropDuplicates([doc_id]), doc_id, text, weights))
-    release_shuffles(docs.sparkSession)
-    tried = shared.join(leader, "key").filter("id != leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-    tried = checkpointed(tried)
-    links = checkpointed(similar(tried, sets, threshold))
+    wanted = nodes.join(shared.select("id").distinct(), "id", "left_semi").select(F.col("rep").alias("id"), "sub", F.col("id").alias("node"))
+    once = texts.join(wanted, ["id", "sub"]).dropDuplicates(["node"]).select(F.col("node").alias("id"), "text")
+    sets = checkpointed(element_sets(once, weights))
+    tried = shared.join(leader, "key").filter("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    links = checkpointed(similar(checkpointed(tried), sets, threshold))
     labels = components(links)
-    for partners in (PARTNERS, None):
-        named = shared.select("key", "id", "size").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        mixed = checkpointed(named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key"))
+    for step in ("partners", "all"):
+        named = shared.select("key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        mixed = checkpointed(_mixed(named))
         if mixed.isEmpty():
             break
-        rows = named.join(mixed, "key").join(first.select("id", "sig"), "id")
-        handed = checkpointed(_cross_pairs(rows, partners).distinct())
-        more = checkpointed(handed.filter("a is not null").select("a", "b").join(tried, ["a", "b"], "left_anti"))
-        found = similar(more, sets, threshold)
-        dense = handed.filter("a is null").select("key", "i", "j")
-        if not dense.isEmpty():
-            members = _tasks(named.join(dense.select("key").distinct(), "key"), "id", "label").join(dense, ["key", "i", "j"])
-            found = found.union(_dense_links(members.join(sets, "id"), threshold).distinct())
+        members = named.join(mixed, "key")
+        if step == "partners":
+            rows = _tasks(members, "id", "label").join(nodes.select("id", "sig"), "id")
+            found = similar(checkpointed(_partners(rows)), sets, threshold)
+        else:
+            found = _links(_tasks(members, "id", "label").join(sets, "id"), threshold).distinct()
         found = checkpointed(found)
-        release_shuffles(docs.sparkSession)
         if not found.isEmpty():
             links = checkpointed(links.union(found))
             labels = components(links)
-        tried = tried.union(more)
-    named = member.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(F.col("id").alias("__id"), F.coalesce("label", "rep").alias("class_id"))
-    ids = made.select(F.col("id").alias(doc_id))
-    return ids.join(named, F.col(doc_id) == F.col("__id"), "left").select(doc_id, F.coalesce("class_id", doc_id).alias("class_id"))
+    least = labels.join(nodes.select("id", "rep"), "id").groupBy("label").agg(F.min("rep").alias("class_id"))
+    joined = labels.join(least, "label")
+    of = checkpointed(nodes.select("id", "d1", "d2", "rep").join(joined, "id", "left").select("d1", "d2", F.coalesce("label", "id").alias("label"), F.coalesce("class_id", "rep").alias("class_id")))
+    named = known.select("id", "sub", "d1", "d2").join(of, ["d1", "d2"]).select("id", "sub", "label", "class_id")
+    rest = made.filter(F.col("id").isNull() | F.col("d1").isNull())
+    return named.union(rest.select("id", "sub", F.lit(None).cast("long").alias("label"), F.col("id").alias("class_id")))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY, weights: str = "set") -> DataFrame:
+    """``doc_id`` and ``class_id`` of every row: the least id of the texts linked by similarities from the threshold on."""
+    return _classes(docs, doc_id, text, threshold, weights).select(F.col("id").alias(doc_id), "class_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stand for their class: those of its least id."""
-    best = near_duplicates(docs, doc_id, text).filter(F.col(doc_id) == F.col("class_id")).select(doc_id).distinct()
-    return docs.join(best, doc_id, "left_semi").unionByName(docs.filter(F.col(doc_id).isNull()))
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = SIMILARITY) -> DataFrame:
+    """One row of ``docs`` for each class: that of its least id, of several texts of that id the one of least hash.
+
+    Rows with null ids stay. Of repeated rows one stays, but for texts without words, which are classes of their own.
+    """
+    found = _classes(docs, doc_id, text, threshold, "set")
+    best = found.filter(F.col("label").isNotNull() & (F.col("id") == F.col("class_id"))).groupBy("label").agg(F.min(F.struct("id", "sub")).alias("p"))
+    best = best.select(F.col("p.id").alias("__id"), F.col("p.sub").alias("__sub"), F.lit(True).alias("__one"))
+    alone = found.filter(F.col("label").isNull() & F.col("id").isNotNull()).select(F.col("id").alias("__id"), F.col("sub").alias("__sub"), F.lit(False).alias("__one")).distinct()
+    marked = docs.withColumn("__hash", F.xxhash64(text))
+    kept = marked.join(best.union(alone), (F.col(doc_id) == F.col("__id")) & (F.col("__hash") == F.col("__sub")))
+    one = kept.filter("__one").dropDuplicates(["__id", "__sub"]).unionByName(kept.filter("not __one"))
+    return one.select(docs.columns).unionByName(docs.filter(F.col(doc_id).isNull()))
 
 
 def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

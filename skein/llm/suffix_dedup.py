@@ -6,19 +6,20 @@ starts that share an anchor are neighbours; with the bytes that their strings co
 can be equal only if their segments' k-mers are.
 
 1. One pass hashes k-mers and segments. Counts for each k-mer, combined before the shuffle, leave the segments whose
-   k-mer occurs twice. If all segments of a k-mer are equal, every string in them is a repeat.
-2. Of the other k-mers each distinct segment goes, once, with its bytes, to the bucket of its anchor's suffix: Spark
-   samples the suffixes' leading ``KMER`` bytes for splitters. A bucket sorts its suffixes by a multikey quicksort of
-   eight bytes at a time, and the reversed text left of the anchors alike, and takes the longest common prefixes of
-   neighbours from the sorted order, within the bucket and across the edges of the blocks it is sorted in. Splitters
-   never part suffixes that agree in the leading KMER bytes, so no pair of neighbours that matters lies across two
-   buckets. A string repeats if another has its class of left contexts and its class of right ones.
+   k-mer occurs twice.
+2. Of those each distinct segment goes, once and with its number of occurrences, with its bytes to the bucket of its
+   anchor's suffix: Spark samples the suffixes' leading ``KMER`` bytes for splitters. A bucket sorts its suffixes by a
+   multikey quicksort whose characters are eight bytes, and the reversed text left of the anchors alike, and takes the
+   longest common prefixes of neighbours from the sorted order, within the bucket and across the edges of the blocks
+   that it is compared in. Splitters never part suffixes that agree in the leading KMER bytes, so no pair of neighbours
+   that matters lies across two buckets. A string repeats if its segment occurs twice, or another one has its class of
+   left contexts and its class of right ones.
 3. K-mers with over ``HOT`` distinct segments would fill a bucket; their strings are counted by a 128-bit digest
    instead, combined before the shuffle, which takes any number of them.
 
 Spans of repeats are gathered for each document and cut where they are joined to its text.
 
-Null texts read as empty. Repeated rows repeat each other. Rows of one id with different texts are told apart by a
+Null texts read as empty. Repeated rows repeat each other; their segments are fetched and sorted once. Rows of one id with different texts are told apart by a
 hash of the text. An empty table gives no rows.
 """
 
@@ -31,7 +32,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.cleanup import release_shuffles
 from skein.llm.text import MULTIPLIER, SpanHash, byte_view, mix, slices, small_batches
 from skein.session import checkpointed
 
@@ -120,28 +120,36 @@ def _found(texts: DataFrame) -> DataFrame:
 
 
 def multikey_order(words: np.ndarray, lengths: np.ndarray, group: np.ndarray) -> np.ndarray:
-    """The order of rows by group, words from the left and length: at each word only rows still tied are sorted."""
+    """The order of rows by group, words from the left, then length: a multikey quicksort, all parts at once.
+
+    A part is the rows of a group that agree in the words before its depth. Each round splits every part of two rows or
+    more by a pivot of its own into those with a lesser, the same and a greater word there; those with the same go one
+    word deeper. The length is the last word.
+    """
+    n, width = words.shape
     order = np.argsort(group, kind="stable")
-    tied = group[order]
-    for w in range(words.shape[1] + 1):
-        same = tied[1:] == tied[:-1]
-        open_ = np.zeros(len(order), bool)
-        open_[1:] |= same
-        open_[:-1] |= same
-        at = np.flatnonzero(open_)
-        if not len(at):
-            break
-        value = words[order[at], w] if w < words.shape[1] else lengths[order[at]].astype(np.uint64)
-        by = np.lexsort((value, tied[at]))
-        order[at] = order[at][by]
-        value = value[by]
-        step = np.zeros(len(order), np.int64)
-        change = np.ones(len(at), bool)
-        change[1:] = (value[1:] != value[:-1]) | (tied[at][1:] != tied[at][:-1])
-        step[at] = change
-        step[~open_] = 1
-        tied = np.cumsum(step)
-    return order
+    part = group[order]
+    new = np.ones(n, bool)
+    new[1:] = part[1:] != part[:-1]
+    depth = np.zeros(n, np.int64)  # by place in the order
+    while True:
+        start = np.flatnonzero(new)
+        size = np.diff(np.append(start, n))
+        open_ = np.flatnonzero((size > 1) & (depth[start] <= width))
+        if not len(open_):
+            return order
+        which = np.repeat(np.arange(len(open_)), size[open_])
+        at = np.repeat(start[open_] - np.cumsum(size[open_]) + size[open_], size[open_]) + np.arange(len(which))
+        rows, deep = order[at], depth[at]
+        value = np.where(deep < width, words[rows, np.minimum(deep, width - 1)], lengths[rows].astype(np.uint64))
+        middle = np.cumsum(size[open_]) - size[open_] + size[open_] // 2
+        pivot = value[middle][which]
+        key = which * 3 + (value >= pivot) + (value > pivot)
+        by = np.argsort(key, kind="stable")
+        key = key[by]
+        order[at] = rows[by]
+        depth[at] = deep[by] + (key % 3 == 1)
+        new[at[1:]] |= key[1:] != key[:-1]
 
 
 def _matrix(data: np.ndarray, start: np.ndarray, length: np.ndarray, width: int, step: int) -> np.ndarray:
@@ -213,7 +221,7 @@ PIECES = "kmer long, whole long, n int, m int, count long, lead binary, bytes bi
 def _with_bytes(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The bytes of the wanted segments (kmer, whole, count, id, sub, at), and their anchors' leading bytes."""
     listed = wanted.groupBy("id", "sub").agg(F.collect_list(F.struct("kmer", "whole", "count", "at")).alias("want"))
-    joined = texts.drop("doc").join(listed, ["id", "sub"])
+    joined = texts.drop("doc").join(listed, ["id", "sub"]).dropDuplicates(["id", "sub"])  # already laid by both
 
     def run(batches):
         for piece in slices(batches, "text"):
@@ -276,24 +284,21 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     small_batches(spark)
     texts = keyed(docs, doc_id, text)
     found = _found(texts)
-    often = found.groupBy("kmer").agg(F.count("*").alias("total"), F.min("whole").alias("lo"), F.max("whole").alias("hi")).filter("total > 1")
+    often = found.groupBy("kmer").agg(F.count("*").alias("total")).filter("total > 1").select("kmer")
     often = checkpointed(often)  # so that both sides of the join are shuffled for it and a hot k-mer's share is split
-    known = checkpointed(found.join(often.select("kmer", (F.col("lo") < F.col("hi")).alias("mixed")), "kmer"))
-    release_shuffles(spark)
-    mixed = known.filter("mixed")
+    known = checkpointed(found.join(often, "kmer"))
     place = F.min(F.struct("id", "sub", "at"))
-    once = checkpointed(mixed.groupBy("kmer", "whole").agg(place.alias("p"), F.count("*").alias("count")).select("kmer", "whole", "p.*", "count"))
+    once = checkpointed(known.groupBy("kmer", "whole").agg(place.alias("p"), F.count("*").alias("count")).select("kmer", "whole", "p.*", "count"))
     hot = once.groupBy("kmer").agg(F.count("*").alias("k")).filter(F.col("k") > HOT).select("kmer")
     if hot.isEmpty():
         runs = _bucketed(_with_bytes(texts, once))
     else:
         runs = _bucketed(_with_bytes(texts, once.join(hot, "kmer", "left_anti"))).unionByName(_counted(_with_bytes(texts, once.join(hot, "kmer"))))
     start = F.shiftright("at", 16).cast("long")
-    whole = known.filter("not mixed").select("id", "sub", start.alias("a"), (start + F.shiftright("at", 8).bitwiseAND(255) - 1 + LENGTH).alias("b"))
     pairs = F.sequence(F.lit(0), (F.size("runs") / 2).cast("int") - 1)
-    each = mixed.join(runs.filter(F.size("runs") > 0), ["kmer", "whole"]).select("id", "sub", "at", "runs", F.explode(pairs).alias("k"))
+    each = known.join(runs.filter(F.size("runs") > 0), ["kmer", "whole"]).select("id", "sub", "at", "runs", F.explode(pairs).alias("k"))
     part = each.select("id", "sub", (start + F.get("runs", 2 * F.col("k"))).alias("a"), (start + F.get("runs", 2 * F.col("k") + 1) - 1 + LENGTH).alias("b"))
-    return whole.unionByName(part).groupBy("id", "sub").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    return part.groupBy("id", "sub").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
 def merged(spans: np.ndarray) -> list[tuple[int, int]]:

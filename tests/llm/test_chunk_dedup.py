@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skein.llm import chunk_dedup as C
 from skein.llm.text import SpanHash
@@ -114,3 +115,13 @@ def test_digests_differ():
     data = np.frombuffer(b"abcabd", np.uint8)
     h = SpanHash(data)(np.array([0, 3, 0]), np.array([3, 6, 2]))
     assert len(set(h.tolist())) == 3
+
+
+def test_many_repeated_rows_with_clashing_columns(spark):
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    df = spark.createDataFrame([(3, text, 1)] * 2000 + [(5, text, 2)], "doc_id long, text string, __copies int").withColumn("__id", F.lit(0)).withColumn("digest", F.lit("x"))
+    made = C.dedup(df, stats=False)
+    assert made.columns == df.columns
+    rows = made.collect()
+    assert len(rows) == 2001 and all(r.text == text for r in rows if r.doc_id == 3) and [r.text for r in rows if r.doc_id == 5] == [""]

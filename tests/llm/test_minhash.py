@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from skein.llm import minhash as M
 
@@ -41,10 +42,9 @@ def test_query_against_brute_force(spark):
     assert got == brute_classes(docs)
 
 
-@pytest.mark.parametrize("dense", [0, 4, 1000])
-def test_hot_near_copies_against_brute_force(spark, monkeypatch, dense):
-    monkeypatch.setattr(M, "BLOCK", 50)
-    monkeypatch.setattr(M, "DENSE", dense)
+@pytest.mark.parametrize("block", [7, 50, 1024])
+def test_hot_near_copies_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(M, "BLOCK", block)
     monkeypatch.setattr(M, "COLUMNS", 100)
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 7)))
@@ -105,3 +105,38 @@ def test_query_equals_sql(spark):
 
     d = "/root/testdata/sf0.01"
     assert oracle.compare(spark, oracle.connect(d), d, M.op1_dart_minhash, M.ORACLE_SQL) == 1000
+
+
+def test_one_row_for_each_row_of_an_id_with_unlike_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(7, a), (7, b), (9, a + " end"), (8, b), (5, b + " end"), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("sub", F.lit(0)).withColumn("label", F.lit("x"))
+    got = sorted((r.doc_id, r.class_id) for r in M.near_duplicates(df).collect())
+    assert got == [(5, 5), (7, 5), (7, 7), (7, 7), (8, 5), (9, 7)]
+    kept = M.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(7, a), (5, b + " end"), (7, "")])
+
+
+def test_repeated_rows(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(3, a)] * 2000 + [(4, a + " x"), (6, "alone")], "doc_id long, text string")
+    rows = M.near_duplicates(df).collect()
+    assert len(rows) == 2002 and {r.class_id for r in rows if r.doc_id != 6} == {3}
+    assert sorted(r.doc_id for r in M.keep_one(df).collect()) == [3, 6]
+
+
+def test_blocks_of_a_main_component_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", 10)
+    named = spark.createDataFrame([(1, i, 0) for i in range(100)] + [(1, 100 + i, 100 + i) for i in range(12)] + [(2, i, 0) for i in range(5)], "key long, id long, label long")
+    mixed = M._mixed(named)
+    assert [(r.key, r.main, r.n_main, r.n_rest) for r in mixed.collect()] == [(1, 0, 100, 12)]
+    tasks = M._tasks(named.join(mixed, "key"), "id").collect()
+    met = {(r.i, r.j) for r in tasks}
+    assert met <= {(i, j) for i in range(12) for j in (10, 11) if i <= j}
+    by = {}
+    for r in tasks:
+        by.setdefault((r.i, r.j), set()).add(r.id)
+    for x in range(112):
+        for y in range(100, 112):
+            assert x == y or any({x, y} <= g for g in by.values())

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skein.llm import suffix_dedup as S
 
@@ -92,3 +93,25 @@ def test_multikey_order_against_sorted():
         a, b = text[order[k - 1]], text[order[k]]
         want = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
         assert lcp[k] == (want if group[order[k]] == group[order[k - 1]] else -1)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_multikey_quicksort_against_sorted(seed):
+    rng = np.random.default_rng(seed)
+    words = rng.choice(np.array([0, 1, 7, 2**63, 2**64 - 1], np.uint64), (900, 4)) * (rng.random((900, 4)) < 0.7)
+    group, lengths = rng.integers(0, 30, 900), rng.integers(0, 3, 900)
+    order = S.multikey_order(words.astype(np.uint64), lengths, group)
+    key = [(int(g), *map(int, w), int(n)) for g, w, n in zip(group, words, lengths)]
+    assert sorted(order.tolist()) == list(range(900)) and [key[i] for i in order] == sorted(key)
+    assert S.multikey_order(np.zeros((0, 4), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)).tolist() == []
+
+
+def test_many_repeated_rows_with_clashing_columns(spark):
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    docs = [(3, text)] * 2000 + [(4, "alone " * 20)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for name in ("id", "sub", "kmer", "spans", "n_bytes"):
+        df = df.withColumn(name, F.lit("x"))
+    made = S.cut_out(df, "doc_id", "text").select("doc_id", F.size("spans").alias("n"), F.length("kept").alias("left")).collect()
+    assert len(made) == 2001 and {(r.n, r.left) for r in made if r.doc_id == 3} == {(1, 0)} and [(r.n, r.left) for r in made if r.doc_id == 4] == [(0, 120)]
