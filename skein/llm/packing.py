@@ -2,18 +2,24 @@
 
 Documents longer than a sequence are cut from the back into full pieces, which are sequences by themselves; only the
 remainders, all shorter than a sequence, are packed. They are dealt by hash into shards of about ``SHARD`` pieces. Each
-shard is a problem that ``ISLANDS`` islands solve: a population of packings, where a crossover takes whole bins of the
-second parent, best-filled first, into the first, removes the bins that hold a duplicate of their pieces and puts the
-displaced pieces back by best fit, largest first. After each of ``ROUNDS`` rounds an island's elite packing moves to
-the next island of its shard. The best packing of a shard keeps its well-filled bins; the pieces of all others are
-dealt again into fewer shards and packed once more, until one level has a single shard or nothing shrinks.
+shard is a problem that ``ISLANDS`` islands solve, each with a population of packings that begins with best-fit
+decreasing. A crossover takes whole bins of the second parent, best-filled first, into the first and removes the bins
+that hold a duplicate of their pieces; a mutation opens some bins, mostly poor ones. Either way the displaced pieces go
+back in two steps: bins with room swap up to two of their pieces for up to two displaced ones where that fills them
+better (a fuller bin dominates), and what is left then goes in by best fit, largest first. An island stops once it meets
+the bound that no packing can beat, or packs ``PATIENCE`` pieces again without getting better. After each of ``ROUNDS`` rounds
+an island's elite packing also goes to the next island of its shard. The best packing of a shard keeps its well-filled
+bins; the pieces of all others are dealt again into fewer shards and packed once more, until a level has a single shard
+or fills bins for less than a tenth of its pieces.
 
 A task works on one island: SHARD pieces and POPULATION packings of them. All random numbers come from the shard,
-island and round, so a lost task gives the same packing again. The pieces (ids, lengths, checksums, no tokens) and
-each level's result are written to the shared checkpoint folder.
+island and round, so a lost task gives the same packing again. An island hands out its elite twice, to itself and to
+the next one, in one pass: no round is computed twice. The pieces (ids, lengths, checksums, no tokens) and each level's
+result are written to the shared checkpoint folder.
 
-Null texts read as empty and have the end id only; repeated rows are separate documents; equal lengths are packed in
-the order of the rows' numbers; an empty table gives no rows.
+Null texts read as empty and have the end id only; null ids are documents too, each row one; repeated rows are separate
+documents; equal lengths are packed in the order of the rows' numbers; an empty table gives no rows. Columns other than
+id and text are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.llm.bpe import check_ranks
 from skein.llm.text import filled, slices, small_batches
 from skein.session import checkpointed
 
@@ -38,11 +45,15 @@ END_ID = 2
 SHARD = 4096
 ISLANDS = 3
 ROUNDS = 2
-POPULATION = 4
-GENERATIONS = 6
+POPULATION = 5
+#: Pieces that are packed again without a better packing coming out before an island stops: eight generations of a shard.
+PATIENCE = 8 * SHARD
+#: Generations at most, as a multiple of those.
+LONGEST = 5
+#: A bin's largest pieces that are tried in twos when it swaps.
+TWOS = 6
 #: Share of a bin's capacity from which it is left as it is when shards are joined.
 FULL = 0.99
-LEVELS = 3
 
 
 @lru_cache(maxsize=2)
@@ -143,11 +154,87 @@ def best_fit(bins: list[list[int]], items: list[int], sizes: list[int], capacity
     return bins
 
 
+class Loose:
+    """Displaced pieces by size. Sets of sizes are bits of integers, so that fits and sums of two are found at once."""
+
+    def __init__(self, items: list[int], sizes: list[int], capacity: int) -> None:
+        self.sizes, self.capacity = sizes, capacity
+        self.of: list[list[int]] = [[] for _ in range(capacity + 1)]
+        self.mask = self.mirror = 0
+        for k in items:
+            self.add(k)
+
+    def add(self, k: int) -> None:
+        size = self.sizes[k]
+        self.of[size].append(k)
+        self.mask |= 1 << size
+        self.mirror |= 1 << self.capacity - size
+
+    def take(self, size: int) -> int:
+        k = self.of[size].pop()
+        if not self.of[size]:
+            self.mask &= ~(1 << size)
+            self.mirror &= ~(1 << self.capacity - size)
+        return k
+
+    def largest(self, room: int) -> int:
+        """The greatest size that fits, or 0."""
+        fits = self.mask & (2 << room) - 1
+        return fits.bit_length() - 1 if fits else 0
+
+    def two(self, total: int) -> tuple[int, int] | None:
+        """Sizes of two pieces that come to exactly ``total``."""
+        both = self.mask & self.mirror >> self.capacity - total
+        if not total % 2 and both >> total // 2 & 1 and len(self.of[total // 2]) < 2:
+            both &= ~(1 << total // 2)
+        return (low := (both & -both).bit_length() - 1, total - low) if both else None
+
+    def items(self) -> list[int]:
+        """All pieces, largest first, then by number."""
+        return [k for own in reversed(self.of) for k in sorted(own)]
+
+
+def dominate(bins: list[list[int]], loose: Loose, sizes: list[int], capacity: int) -> None:
+    """Each bin with room swaps none, one or two pieces for one or two loose ones as long as that fills it better."""
+    for b in bins:
+        room = capacity - sum(sizes[k] for k in b)
+        while room and loose.mask:
+            top = sorted(b, key=lambda k: -sizes[k])[:TWOS]
+            out = [(), *((k,) for k in b), *((x, y) for i, x in enumerate(top) for y in top[:i])]
+            gain, best = 0, None
+            for gone in out:
+                size = sum(sizes[k] for k in gone)
+                one = loose.largest(size + room)
+                if one - size > gain:
+                    gain, best = one - size, (gone, (one,))
+                    if gain == room:
+                        break
+                if pair := loose.two(size + room):
+                    gain, best = room, (gone, pair)
+                    break
+            if not best:
+                break
+            gone, come = best
+            added = [loose.take(size) for size in come]
+            for k in gone:
+                b.remove(k)
+                loose.add(k)
+            b += added
+            room -= gain
+
+
 def fitness(bins: list[list[int]], sizes: list[int], capacity: int) -> tuple[int, float]:
     """Fewer bins first, then unevenly filled ones: sum of squared fills."""
     return -len(bins), sum((sum(sizes[k] for k in b) / capacity) ** 2 for b in bins)
 
 
+def put_back(bins: list[list[int]], displaced: list[int], sizes: list[int], capacity: int) -> list[list[int]]:
+    """The bins with the displaced pieces: swaps of dominance first, then best fit."""
+    loose = Loose(displaced, sizes, capacity)
+    dominate(bins, loose, sizes, capacity)
+    return best_fit(bins, loose.items(), sizes, capacity)
+
+
 def crossover(a: list[list[int]], b: list[list[int]], sizes: list[int], capacity: int, share: float) -> list[list[int]]:
     """The first parent with the best-filled ``share`` of the second's bins injected whole."""
     ranked = sorted(b, key=lambda x: -sum(sizes[k] for k in x))
@@ -159,26 +246,46 @@ def crossover(a: list[list[int]], b: list[list[int]], sizes: list[int], capacity
             child.append(list(x))
         else:
             displaced += [k for k in x if k not in there]
-    displaced.sort(key=lambda k: (-sizes[k], k))
-    return best_fit(child, displaced, sizes, capacity)
+    return put_back(child, displaced, sizes, capacity)
+
 
+def mutated(a: list[list[int]], sizes: list[int], capacity: int, rng: np.random.Generator) -> list[list[int]]:
+    """The packing with two bins to a tenth of them opened, the emptier the likelier, and their pieces put back."""
+    ranked = sorted(a, key=lambda x: sum(sizes[k] for k in x))
+    n = len(ranked)
+    many = int(2 * max(1.0, n / 20) ** rng.random())
+    opened = set((n * rng.random(many) ** 4).astype(int).tolist())
+    kept = [list(x) for i, x in enumerate(ranked) if i not in opened]
+    return put_back(kept, [k for i in opened for k in ranked[i]], sizes, capacity)
 
-def evolve(sizes: list[int], capacity: int, seeds: list[list[list[int]]], rng: np.random.Generator, generations: int = GENERATIONS, population: int = POPULATION) -> list[list[int]]:
+
+def evolve(sizes: list[int], capacity: int, seeds: list[list[list[int]]], rng: np.random.Generator, population: int = POPULATION, patience: int = PATIENCE) -> list[list[int]]:
     """The fittest packing after some generations from the seeds, best-fit decreasing and its disturbances."""
+    waits = max(1, patience // max(1, len(sizes)))
     down = sorted(range(len(sizes)), key=lambda k: (-sizes[k], k))
     least = -(-sum(sizes) // capacity)
-    people = [*seeds, best_fit([], down, sizes, capacity)]
-    while len(people) < population:
-        noise = rng.normal(0, capacity / 64, len(sizes))
-        people.append(best_fit([], sorted(range(len(sizes)), key=lambda k: (-(sizes[k] + noise[k]), k)), sizes, capacity))
-    people.sort(key=lambda p: fitness(p, sizes, capacity), reverse=True)
-    for _ in range(generations):
-        if len(people[0]) <= least:
+    people: list[tuple[tuple[int, float], list[list[int]]]] = []
+
+    def born(bins: list[list[int]]) -> None:
+        people.append((fitness(bins, sizes, capacity), bins))
+
+    for seed in [*seeds, best_fit([], down, sizes, capacity)]:
+        born(seed)
+    if -max(p[0] for p in people)[0] > least:
+        while len(people) < population:
+            noise = rng.normal(0, capacity / 64, len(sizes))
+            born(best_fit([], sorted(range(len(sizes)), key=lambda k: (-(sizes[k] + noise[k]), k)), sizes, capacity))
+    people.sort(key=lambda p: p[0], reverse=True)
+    stale = 0
+    for g in range(LONGEST * waits):
+        best = people[0][0]
+        if -best[0] <= least or stale >= waits:
             break
         i, j = rng.choice(len(people), 2, replace=False)
-        child = crossover(people[i], people[j], sizes, capacity, float(rng.uniform(0.2, 0.8)))
-        people = sorted([*people, child], key=lambda p: fitness(p, sizes, capacity), reverse=True)[:population]
-    return people[0]
+        born(mutated(people[min(i, j)][1], sizes, capacity, rng) if g % 2 else crossover(people[i][1], people[j][1], sizes, capacity, float(rng.uniform(0.2, 0.8))))
+        people = sorted(people, key=lambda p: p[0], reverse=True)[:population]
+        stale = 0 if people[0][0] > best else stale + 1
+    return people[0][1]
 
 
 def _encoded(bins: list[list[int]], n: int) -> list[int]:
@@ -196,7 +303,7 @@ def _bins(codes: list[int]) -> list[list[int]]:
     return out
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, levels: int = LEVELS) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
     """``items`` (row long, length long; lengths from 1 to the capacity) with ``sequence_id`` and ``offset``."""
     spark = items.sparkSession
     left, done, last, level = items.select("row", "length"), [], False, 0
@@ -209,15 +316,18 @@ def pack(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, levels:
         rows = dealt.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("row", "length"))).alias("items"))
         islands = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1)))
         state = rows.select("shard", islands.alias("island"), F.col("items.row").alias("rows"), F.col("items.length").alias("sizes"), F.array().cast("array<array<int>>").alias("seeds"))
+        # Work is by rows, not bytes, so the number of tasks is given; adaptive execution would merge them.
+        tasks = min(shards * ISLANDS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         for r in range(ROUNDS):
-            state = _round(state, level, r, capacity)
+            state = _round(state.repartition(tasks, "shard", "island"), level, r, capacity)
             if r < ROUNDS - 1:
-                state = _migrated(state)
-        best = state.groupBy("shard").agg(F.max_by(F.struct("rows", "sizes", "elite"), F.struct("fit", -F.col("island"))).alias("b")).select("shard", "b.*")
+                own = F.first("rows").alias("rows"), F.first("sizes").alias("sizes")
+                state = state.groupBy("shard", "island").agg(*own, F.array_sort(F.collect_list(F.struct("guest", "elite"))).alias("e")).select("shard", "island", "rows", "sizes", F.col("e.elite").alias("seeds"))
+        best = state.filter("not guest").groupBy("shard").agg(F.max_by(F.struct("rows", "sizes", "elite"), F.struct("fit", -F.col("island"))).alias("b")).select("shard", "b.*")
         packed = checkpointed(best.mapInArrow(_laid_out(capacity), schema))
         poor = packed.filter(F.col("fill") < int(FULL * capacity)).select("row", "length")
         again = poor.count()
-        last = shards == 1 or level == levels - 1 or again == n  # then another level would change nothing
+        last = shards == 1 or 10 * again > 9 * n  # then another level would fill few bins more
         keep = packed if last else packed.filter(F.col("fill") >= int(FULL * capacity))
         done.append(keep.select("row", (F.lit(level << 56) + F.col("shard") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"), "offset"))
         left, n, level = poor, again, level + 1
@@ -229,11 +339,14 @@ def pack(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD, levels:
     return out
 
 
-STATE = "shard long, island int, rows array<long>, sizes array<long>, elite array<int>, fit struct<bins:int,fill:double>"
+STATE = "shard long, island int, guest boolean, rows array<long>, sizes array<long>, elite array<int>, fit struct<bins:int,fill:double>"
 
 
 def _round(state: DataFrame, level: int, r: int, capacity: int) -> DataFrame:
-    """Each island evolves from its seeds; the elite is the bin number of every item."""
+    """Each island evolves from its seeds; the elite is the bin number of every item.
+
+    It is handed out for the island itself and, as a guest, for the next one of its shard.
+    """
 
     def run(frames):
         for f in frames:
@@ -243,17 +356,13 @@ def _round(state: DataFrame, level: int, r: int, capacity: int) -> DataFrame:
                 rng = np.random.default_rng([level, r, int(s), int(i)])
                 elite = evolve(sizes, capacity, [_bins([int(x) for x in seed]) for seed in seeds], rng)
                 bins, fill = fitness(elite, sizes, capacity)
-                out.append((s, i, rows, sizes, _encoded(elite, len(sizes)), {"bins": bins, "fill": fill}))
-            yield pd.DataFrame(out, columns=["shard", "island", "rows", "sizes", "elite", "fit"])
-
-    spread = state.repartition(F.col("shard"), F.col("island"))
-    return spread.mapInPandas(run, STATE)
-
+                made = rows, sizes, _encoded(elite, len(sizes)), {"bins": bins, "fill": fill}
+                out.append((s, i, False, *made))
+                if r < ROUNDS - 1:
+                    out.append((s, (i + 1) % ISLANDS, True, *made))
+            yield pd.DataFrame(out, columns=["shard", "island", "guest", "rows", "sizes", "elite", "fit"])
 
-def _migrated(state: DataFrame) -> DataFrame:
-    """Every island with two seeds: its own elite and that of the island before it."""
-    elites = state.select("shard", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island"), F.col("elite").alias("guest"))
-    return state.join(elites, ["shard", "island"]).select("shard", "island", "rows", "sizes", F.array("elite", "guest").alias("seeds"))
+    return state.mapInPandas(run, STATE)
 
 
 def _laid_out(capacity: int):
@@ -276,6 +385,7 @@ def _laid_out(capacity: int):
 
 def packed_documents(docs: DataFrame, ranks: str, pattern: str, vocabulary: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Every piece of every document with its sequence and its place there, gapless from 0."""
+    check_ranks(vocabulary, ranks)
     cut_up = pieces(docs, ranks, pattern, vocabulary, doc_id, text, capacity).withColumn("row", F.monotonically_increasing_id())
     held = checkpointed(cut_up)  # row numbers are fixed from here on
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -74,6 +75,65 @@ def test_crossover_keeps_every_item_once():
     assert sorted(k for x in child for k in x) == list(range(300))
     assert all(sum(sizes[k] for k in x) <= 100 for x in child)
     assert best in child
+    again = K.mutated(a, sizes, 100, rng)
+    assert sorted(k for x in again for k in x) == list(range(300)) and all(sum(sizes[k] for k in x) <= 100 for x in again)
+
+
+def test_sums_of_two_against_brute_force():
+    rng = np.random.default_rng(6)
+    sizes = rng.integers(1, 50, 12).tolist()
+    loose = K.Loose(range(12), sizes, 100)
+    for total in range(1, 101):
+        pairs = {tuple(sorted((sizes[i], sizes[j]))) for i in range(12) for j in range(i) if sizes[i] + sizes[j] == total}
+        found = loose.two(total)
+        assert (tuple(sorted(found)) in pairs) if found else not pairs
+        assert loose.largest(total) == max([s for s in sizes if s <= total], default=0)
+    assert sorted(loose.items()) == list(range(12))
+    taken = [loose.take(max(sizes)), loose.take(min(sizes))]
+    assert sorted([*loose.items(), *taken]) == list(range(12))
+
+
+@pytest.mark.parametrize("n", [20, 40, 83])
+def test_evolution_beats_best_fit_decreasing_where_it_is_poor(n):
+    """Triples that fill a bin exactly: best fit needs about a sixth more bins than there are triples."""
+    rng = np.random.default_rng(n)
+    sizes = []
+    for _ in range(n):
+        a = int(rng.integers(380, 490))
+        b = int(rng.integers(250, (1000 - a) // 2 + 1))
+        sizes += [a, b, 1000 - a - b]
+    best_fit = K.best_fit([], sorted(range(3 * n), key=lambda k: -sizes[k]), sizes, 1000)
+    made = K.evolve(sizes, 1000, [], np.random.default_rng(1))
+    assert sorted(k for b in made for k in b) == list(range(3 * n)) and all(sum(sizes[k] for k in b) <= 1000 for b in made)
+    assert len(made) <= n + 2 < n + (len(best_fit) - n) // 2 + 2 and len(made) < len(best_fit)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_evolution_is_never_worse_than_best_fit_decreasing(seed):
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(1, [1024, 300, 700, 1024, 64][seed], int(rng.integers(1, 600))).tolist()
+    best_fit = K.best_fit([], sorted(range(len(sizes)), key=lambda k: -sizes[k]), sizes, 1024)
+    assert len(K.evolve(sizes, 1024, [], rng)) <= len(best_fit)
+
+
+def test_a_round_is_one_pass(spark, monkeypatch):
+    """No round is read twice: two rounds a level are two passes in its plan."""
+    plans = []
+    kept = K.checkpointed
+    monkeypatch.setattr(K, "checkpointed", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), kept(df))[1])
+    K.pack(spark.range(50).select(F.col("id").alias("row"), (F.col("id") * 13 % 900 + 1).alias("length"))).count()
+    assert [p.count("MapInPandas") for p in plans] == [K.ROUNDS]
+
+
+def test_ids_are_those_of_the_tokenizers_library():
+    """All code points and odd mixtures of them, whatever the two libraries think of as letters and spaces."""
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    ids = K.encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN, P.path("byte_bpe_50k.json"))
+    points = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    rng = np.random.default_rng(2)
+    texts = [f"a{c} {c}b1" for c in points] + ["".join(rng.choice(points[:0x3000], 30)) for _ in range(3000)]
+    wrong = [x for x, e in zip(texts, t.encode_batch(texts, add_special_tokens=False)) if ids(x) != e.ids]
+    assert not wrong, (len(wrong), wrong[:5])
 
 
 def test_best_fit_against_brute_force():
