@@ -23,17 +23,33 @@ def nearest(samples: DataFrame, points: DataFrame, key: str, sample_time: str, p
     """(key, point_time, nearest sample_time) for each point; of two equally near the earlier. Keys without samples go.
 
     One sort of samples and points together instead of an as-of join: the last sample at or before each point and the
-    first after it are carried along the order.
+    first after it are carried along the order. Both frames grow from one end, so the work is linear in a key's rows;
+    the second order is the first one backwards.
     """
     both = samples.select(key, F.col(sample_time).alias("t"), F.col(sample_time).alias("s"), F.lit(0).alias("kind")).unionByName(points.select(key, F.col(point_time).alias("t"), F.lit(None).cast("long").alias("s"), F.lit(1).alias("kind")))
     order = W.partitionBy(key).orderBy("t", "kind")
     before = F.last("s", True).over(order.rowsBetween(W.unboundedPreceding, 0))
-    after = F.first("s", True).over(order.rowsBetween(0, W.unboundedFollowing))
+    after = F.last("s", True).over(W.partitionBy(key).orderBy(F.desc("t"), F.desc("kind")).rowsBetween(W.unboundedPreceding, 0))
     out = both.withColumn("b", before).withColumn("a", after).filter("kind = 1")
     near = F.when(F.col("b").isNull(), F.col("a")).when(F.col("a").isNull(), F.col("b")).when(F.col("a") - F.col("t") < F.col("t") - F.col("b"), F.col("a")).otherwise(F.col("b"))
     return out.select(key, F.col("t").alias(point_time), near.alias(sample_time)).filter(F.col(sample_time).isNotNull())
 
 
+def placed(samples: DataFrame, spans: DataFrame, key: str, time: str = "t") -> DataFrame:
+    """Each sample with every span (key, idx, start, end) that it is in.
+
+    A range join by buckets of time: a bucket is as long as the longest span, so a span is in two buckets at most and a
+    sample meets only the spans of its own.
+    """
+    width = F.greatest(F.max(F.col("end") - F.col("start")), F.lit(1)).alias("width")
+    own = F.floor(F.col(time) / F.col("width"))
+    widths = spans.groupBy(key).agg(width)
+    first, last = F.floor(F.col("start") / F.col("width")), F.floor((F.greatest(F.col("end") - 1, F.col("start"))) / F.col("width"))
+    laid = spans.join(widths, key).withColumn("bucket", F.explode(F.sequence(first, last))).drop("width")
+    dealt = samples.join(widths, key).withColumn("bucket", own).drop("width")
+    return dealt.join(laid, [key, "bucket"]).filter((F.col(time) >= F.col("start")) & (F.col(time) < F.col("end"))).drop("bucket")
+
+
 def window_samples(samples: DataFrame, spans: DataFrame, points: DataFrame, key: str, tolerance: int | None = None) -> DataFrame:
     """(key, idx, t, n): in each window the samples nearest to its points and how many points each has.
 
@@ -43,7 +59,7 @@ def window_samples(samples: DataFrame, spans: DataFrame, points: DataFrame, key:
     """
     first = points.groupBy(key, "idx").agg(F.min("p").alias("first"))
     bounds = spans.join(first, [key, "idx"])
-    inside = samples.join(bounds, key).filter((F.col("t") >= F.col("first")) & (F.col("t") < F.col("end"))).select(F.struct(key, "idx").alias("k"), "t")
+    inside = placed(samples, bounds, key).filter(F.col("t") >= F.col("first")).select(F.struct(key, "idx").alias("k"), "t")
     near = nearest(inside, points.select(F.struct(key, "idx").alias("k"), "p"), "k", "t", "p")
     if tolerance is not None:
         far = F.abs(F.col("t") - F.col("p")) > tolerance
@@ -54,9 +70,9 @@ def window_samples(samples: DataFrame, spans: DataFrame, points: DataFrame, key:
 
 def aligned(spans: DataFrame, readings: DataFrame, key: str, sensor: str, value: str) -> DataFrame:
     """One row for each window with a map from sensor to its sorted readings; absent sensors are left out of the map."""
-    placed = readings.join(spans, key).filter((F.col("t") >= F.col("start")) & (F.col("t") < F.col("end"))).groupBy(key, "idx", sensor).agg(F.array_sort(F.collect_list(F.struct("t", value))).alias("r"))
-    maps = placed.groupBy(key, "idx").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(sensor, "r")))).alias("frames"))
-    return spans.join(maps, [key, "idx"], "left").withColumn("frames", F.coalesce("frames", F.map_from_arrays(F.array().cast(f"array<{dict(readings.dtypes)[sensor]}>"), F.array().cast(dict(placed.groupBy().agg(F.collect_list('r').alias('x')).dtypes)["x"]))))
+    found = placed(readings, spans, key).groupBy(key, "idx", sensor).agg(F.array_sort(F.collect_list(F.struct("t", value))).alias("r"))
+    maps = found.groupBy(key, "idx").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(sensor, "r")))).alias("frames"))
+    return spans.join(maps, [key, "idx"], "left").withColumn("frames", F.coalesce("frames", F.map_from_arrays(F.array().cast(f"array<{dict(readings.dtypes)[sensor]}>"), F.array().cast(dict(found.groupBy().agg(F.collect_list('r').alias('x')).dtypes)["x"]))))
 
 
 def governing_key_frame(frames: DataFrame, key: str, order: list[str], is_key: str, frame: str) -> DataFrame:
