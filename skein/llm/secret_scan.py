@@ -1,10 +1,12 @@
 """Secret scans that look under encodings: a worklist of decoded layers, each rescanned, until nothing new decodes.
 
-The first layer is the text itself. Every layer is scanned for secrets and decoded further in three ways: percent-
-encoded bytes and backslash-u escapes are replaced where they stand, so that what is around them stays beside them, and
-base64 runs are decoded. A run goes on over single line breaks, and as a path, a prefix or a word may be glued to what
-was encoded, it is decoded from each of its first four characters: any start agrees with one of those. All readable
-stretches of the bytes, and those of the zlib and gzip streams that begin anywhere in them, become layers of their own.
+The first layer is the text itself. Every layer is scanned for secrets and decoded further in two ways. Percent and
+backslash-x bytes, backslash-u escapes (with braces too) and character references are replaced where they stand, so that
+what is around them stays beside them; of a run of bytes that is no UTF-8 the parts that are one are replaced. Base64
+runs are decoded. A run goes on over single line breaks, indented, quoted by ``>`` or written as backslash-n too, and as
+a path, a prefix or a word may be glued to what was encoded, it is decoded from each of its first four characters: any
+start agrees with one of those. All readable stretches of the bytes, as UTF-8 or as ASCII in UTF-16 of either order,
+and those of the zlib and gzip streams that begin anywhere in them, become layers of their own.
 Each character of a replaced layer keeps the span of the *original text* that it came from. A layer of its own has the
 span of its run or, in a run of many lines, of the lines that it takes at least half of and those that a find is in. So
 a find in any depth maps back to characters of the text. A layer seen before is not scanned again: this ends cycles,
@@ -14,20 +16,20 @@ A compressed layer of more than ``MAX_LAYER`` bytes is read in overlapping windo
 is not followed from one window to the next is a compressed stream in such a layer that is itself, as bytes or base64,
 longer than a window.
 
-Null texts read as empty and have no finds; repeated rows give repeated results; an empty table gives none; other
-columns pass through ``scan``. Ties between finds are ordered by start, then kind, then end.
+Null texts read as empty and have no finds; null ids stay null; repeated rows give repeated results; an empty table
+gives none; other columns pass through ``scan``, where a name of its own among them is an error. Ties between finds are ordered by start, then kind, then end.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import html
 import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
-from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,14 +47,19 @@ KINDS = ("assign", "access", "hex")
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}")
-LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+BACKSLASH_X = re.compile(r"(?:\\x[0-9A-Fa-f]{2})+")
+ESCAPE = re.compile(r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}")
+REFERENCE = re.compile(r"&(?:#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7}|amp|quot|apos|lt|gt|nbsp|equals|colon);")
+#: What stands between the lines of a run.
+BREAK = re.compile(r"(?:\r\n?|\n)[ \t>]{0,16}|\\r\\n|\\n")
 #: A line of 16 characters, or any one that another follows, and all lines after it.
-BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+|[A-Za-z0-9+/_-]++(?=(?:\r\n?|\n)[A-Za-z0-9+/_-]))(?:(?:\r\n?|\n)[A-Za-z0-9+/_-]++)*+={0,2}")
+BASE64 = re.compile(rf"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{{16,}}+|[A-Za-z0-9+/_-]++(?=(?:{BREAK.pattern})[A-Za-z0-9+/_-]))(?:(?:{BREAK.pattern})[A-Za-z0-9+/_-]++)*+={{0,2}}")
 LEAST_RUN = 16
 URL_SAFE = str.maketrans("-_", "+/")
 #: UTF-8 without control characters; no secret and no code of one has fewer bytes or a control character but line breaks.
 READABLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|\xed[\x80-\x9f][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){14,}+")
+#: The same for ASCII in UTF-16, low byte or high byte first.
+WIDE = ((re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){14,}+"), "utf-16-le"), (re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){14,}+"), "utf-16-be"))
 #: The first bytes of gzip streams and of zlib streams without a preset dictionary.
 HEADER = re.compile(b"|".join([rb"\x1f\x8b\x08", *(re.escape(bytes([a, b])) for a in range(0x08, 0x80, 0x10) for b in range(256) if (a * 256 + b) % 31 == 0 and not b & 0x20)]), re.DOTALL)
 #: Bytes that go to a decompressor at once; they give 4 MB at most.
@@ -60,8 +67,8 @@ STEP = 4096
 MAX_LAYER = 64 << 20
 OVERLAP = 1 << 16
 SPACES = re.compile(rb" {1024,}+")
-#: What base64 in lines, percent codes and backslash-u codes are made of.
-CODE_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\\r\n"
+#: What base64 in lines, percent codes, backslash codes and character references are made of.
+CODE_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\{}&#;> \t\r\n"
 
 
 class Find(NamedTuple):
@@ -136,10 +143,20 @@ def _windows(data: bytes, at: int) -> Iterator[bytes]:
     yield b"".join(parts)
 
 
+def _readable(data: bytes) -> Iterator[tuple[str, int, int]]:
+    """(text, start, end) of the readable stretches of bytes."""
+    for m in READABLE.finditer(data):
+        yield m[0].decode(), m.start(), m.end()
+    if b"\0" in data:
+        for pattern, code in WIDE:
+            for m in pattern.finditer(data):
+                yield m[0].decode(code), m.start(), m.end()
+
+
 def _texts(data: bytes) -> Iterator[tuple[str, int, int, bool]]:
     """(text, start, end, whether a layer passed MAX_LAYER) of what is readable in the bytes and in streams in them."""
-    for m in READABLE.finditer(data):
-        yield m[0].decode(), m.start(), m.end(), False
+    for text, start, end in _readable(data):
+        yield text, start, end, False
     for start, end, long in _streams(data):
         if long:
             yield "", start, end, True
@@ -149,8 +166,8 @@ def _texts(data: bytes) -> Iterator[tuple[str, int, int, bool]]:
                 work.pop()
             elif (key := hashlib.blake2b(part, digest_size=16).digest()) not in seen:  # a stream may hold itself
                 seen.add(key)
-                for m in READABLE.finditer(part):
-                    yield m[0].decode(), start, end, False
+                for text, _, _ in _readable(part):
+                    yield text, start, end, False
                 for at, _, long in _streams(part):
                     if long:
                         yield "", start, end, True
@@ -191,20 +208,37 @@ class Layer(NamedTuple):
         return (min(a, self.span[0]), max(b, self.span[1])) if self.span else (a, b)
 
 
+def _coded_bytes(code: str, data: bytes) -> list[tuple[int, str]]:
+    """(length of code, text) parts of a run of coded bytes: characters, and as they are the codes of bytes that are in none."""
+    width, out, at = len(code) // len(data), [], 0
+    for c in data.decode("utf-8", "surrogateescape"):
+        n = width if "\udc80" <= c <= "\udcff" else width * len(c.encode())
+        out.append((n, code[at : at + n] if "\udc80" <= c <= "\udcff" else c))
+        at += n
+    return out
+
+
 def _percent(code: str) -> list[tuple[int, str]]:
-    """(length of code, text) parts of a run of percent-encoded bytes; the run as one part if it is not all ASCII."""
-    data = unquote_to_bytes(code)
-    if all(b < 128 for b in data):
-        return [(3, chr(b)) for b in data]
-    try:
-        return [(len(code), data.decode())]
-    except UnicodeDecodeError:
-        return [(len(code), code)]
+    return _coded_bytes(code, bytes.fromhex(code.replace("%", "")))
+
+
+def _backslash_x(code: str) -> list[tuple[int, str]]:
+    return _coded_bytes(code, bytes.fromhex(code.replace("\\x", "")))
 
 
 def _escape(code: str) -> list[tuple[int, str]]:
-    units = bytes.fromhex(code[2:6] + code[8:12])
-    return [(len(code), units.decode("utf-16-be", "replace"))]
+    if code[1] == "u" and code[2] != "{":
+        return [(len(code), bytes.fromhex(code[2:6] + code[8:12]).decode("utf-16-be", "replace"))]
+    point = int(code[2:].strip("{}"), 16)
+    return [(len(code), chr(point) if point < 0x110000 and not 0xD800 <= point < 0xE000 else "\ufffd")]
+
+
+def _reference(code: str) -> list[tuple[int, str]]:
+    return [(len(code), html.unescape(code))]
+
+
+#: What is replaced in place: a string that the layer must hold, the pattern and the parts of a match.
+IN_PLACE = (("%", PERCENT, _percent), ("\\x", BACKSLASH_X, _backslash_x), ("\\", ESCAPE, _escape), ("&", REFERENCE, _reference))
 
 
 def _replaced(layer: Layer, pattern: re.Pattern, parts) -> Layer | None:
@@ -240,7 +274,9 @@ class Run:
 
     def __init__(self, layer: Layer, m: re.Match) -> None:
         self.layer = layer
-        self.places = [(x.start(), x.end()) for x in LINE.finditer(layer.text, *m.span())]
+        breaks = [x.span() for x in BREAK.finditer(layer.text, *m.span())]
+        last = m.end() - len(m[0]) + len(m[0].rstrip("="))
+        self.places = list(zip([m.start(), *(b for _, b in breaks)], [*(a for a, _ in breaks), last]))
         self.chars = "".join([layer.text[a:b] for a, b in self.places]).translate(URL_SAFE)
         self.at = [0]
         for a, b in self.places:
@@ -281,7 +317,7 @@ class Run:
 
 def _inner(layer: Layer) -> Iterator[tuple[Layer, bool]]:
     """The layers that a layer decodes to, and for each whether it stands for a stream of more than MAX_LAYER bytes."""
-    for hint, pattern, parts in (("%", PERCENT, _percent), ("\\u", ESCAPE, _escape)):
+    for hint, pattern, parts in IN_PLACE:
         if hint in layer.text and (made := _replaced(layer, pattern, parts)):
             yield made, False
     for m in BASE64.finditer(layer.text):

@@ -1,9 +1,11 @@
 import base64
 import gzip
 import hashlib
+import html
+import random
 import re
 import zlib
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pytest
 
@@ -55,6 +57,15 @@ def test_odd_rows(spark, odd, odd_dir, none_dir):
         lambda s: base64.urlsafe_b64encode(s.encode()).decode().rstrip("="),
         lambda s: base64.b64encode(zlib.compress(s.encode())).decode(),
         lambda s: base64.b64encode(base64.b64encode(s.encode())).decode(),
+        lambda s: "".join(f"\\x{ord(c):02x}" for c in s),
+        lambda s: "".join(f"\\u{{{ord(c):x}}}" for c in s),
+        lambda s: "".join(f"\\U{ord(c):08x}" for c in s),
+        lambda s: "".join(f"&#{ord(c)};" for c in s),
+        lambda s: "".join(f"&#x{ord(c):X};" for c in s),
+        lambda s: base64.b64encode(s.encode("utf-16-le")).decode(),
+        lambda s: base64.b64encode(s.encode("utf-16-be")).decode(),
+        lambda s: base64.b64encode(zlib.compress(("é" * 9 + s).encode("utf-16-le"))).decode(),
+        lambda s: base64.b64encode(bytes(range(128, 190)) + s.encode() + bytes(range(190, 250))).decode(),
         lambda s: quote(base64.b64encode(f"key {s} end".encode()).decode(), safe="").replace("a", "%61"),
     ],
 )
@@ -134,3 +145,59 @@ def test_long_layers_are_read_to_their_end(monkeypatch):
             coded = base64.b64encode(gzip.compress(text.encode())).decode()
             found, overflows = S.finds(coded)
             assert [f.order for f in found] == [kind] and overflows == 1
+
+
+def test_bytes_that_are_no_characters_keep_their_codes():
+    for wrap, bad in ((lambda s: "".join(f"%{b:02X}" for b in s.encode()), "%FF"), (lambda s: "".join(f"\\x{b:02x}" for b in s.encode()), "\\xff")):
+        text = f"see {bad}{wrap(KEY + ' é')}{bad} end"
+        found, _ = S.finds(text)
+        assert [f.show() for f in found] == [f"access:{4 + len(bad)}:{4 + len(bad) + len(wrap(KEY))}"]
+
+
+@pytest.mark.parametrize("between", ["\n    ", "\n> ", "\r\n\t", "\\n", "\\r\\n"])
+def test_lines_broken_in_other_ways(between):
+    lines = base64.encodebytes(_payload(3)).decode().strip().split("\n")
+    text = f"key: {between.join(lines)} and more"
+    found, _ = S.finds(text)
+    deep = [f for f in found if f.order == 1]
+    assert deep and deep[0].start <= text.index(lines[0]) and deep[0].end >= text.index(" and more")
+
+
+def test_character_references_in_context():
+    text = "api_key&#61;&quot;abcdefgh99&quot; and &amp;#65; done"
+    found, _ = S.finds(text)
+    assert [f.show() for f in found] == [f"assign:0:{text.index('&quot; and')}"]
+
+
+def plain_layers(text, depth=0, seen=None):
+    """Every text that whole-string decoding reaches: what a find must be among."""
+    seen = set() if seen is None else seen
+    if text in seen or depth > 14:
+        return seen
+    seen.add(text)
+    for made in (unquote(text), html.unescape(text), re.sub(r"\\u([0-9a-f]{4})", lambda m: chr(int(m[1], 16)), text)):
+        plain_layers(made, depth + 1, seen)
+    for m in re.finditer(r"[A-Za-z0-9+/]{16,}={0,2}", text):
+        try:
+            plain_layers(base64.b64decode(m[0] + "=" * (-len(m[0]) % 4)).decode(), depth + 1, seen)
+        except ValueError:
+            continue
+    return seen
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_random_nesting_against_brute_force(seed):
+    rng = random.Random(seed)
+    wraps = [lambda s: quote(s, safe="").replace("K", "%4b"), lambda s: base64.b64encode(s.encode()).decode(), lambda s: "".join(f"\\u{ord(c):04x}" if rng.random() < 0.5 else c for c in s), lambda s: "".join(f"&#{ord(c)};" if rng.random() < 0.5 else c for c in s)]
+    secret = rng.choice([f"the {KEY} end", "password = hunter2hunter2 end", f"x {'0123456789abcdef' * 2} end"])
+    coded = secret
+    for _ in range(rng.randint(1, 4)):
+        coded = rng.choice(wraps)(coded)
+    text = f"words before {coded} words after"
+    want = {(k, layer[a:b]) for layer in plain_layers(text) for a, k, b in S.base_finds(layer)}
+    found, _ = S.finds(text)
+    assert found and {k for k, _ in want} <= {f.order for f in found}
+    for f in found:
+        assert f.start >= len("words before ") and f.end <= len(text) - len(" words after")
+    left = plain_layers(S.redacted(text, found))
+    assert not any(S.base_finds(x) for x in left)
