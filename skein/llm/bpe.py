@@ -5,9 +5,9 @@ piece is encoded once in a worker (a bounded cache): the merges never cross piec
 text. A byte-level vocabulary writes each byte as one printable character; the table from bytes to characters is made
 here by its rule, and its reverse gives every id its bytes. Token offsets are sums of those lengths in bytes, and a
 map from bytes to characters turns them into character offsets; a token may begin or end inside a character, which
-its offsets then include whole. Decoding joins bytes, so split characters come together again.
+its offsets then include whole. Decoding joins the bytes of a document's ids, so split characters come together again.
 
-Nulls read as empty texts and give no ids. Repeated rows give repeated results. An empty table gives none. Other
+Nulls read as empty texts and give no ids; null ids of rows stay null. Repeated rows give repeated results. An empty table gives none. Other
 columns of the input pass through ``encode`` unchanged; its own columns are named by parameters.
 """
 
@@ -52,8 +52,7 @@ class Codec:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.pattern = regex.compile(pattern)
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.written: dict[str, tuple[str, bytes]] = {}
+        self.cache: dict[str, list[int]] = {}
         self.line_break = self.tokenizer.encode_batch_fast(["\n"], add_special_tokens=False)[0].ids[0]
         back = {c: b for b, c in byte_characters().items()}
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
@@ -61,7 +60,8 @@ class Codec:
         self.token_bytes: list[bytes] = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.token_bytes[i] = token.encode() if token in special else bytes(back[c] for c in token)
-        self.lengths = np.array([len(b) for b in self.token_bytes], np.int64)
+        self.lengths = np.array([len(b) for b in self.token_bytes], np.int32)
+        self.decimals = [str(i) for i in range(len(self.token_bytes))]
 
     def _ids_of(self, pieces: list[str]) -> list[list[int]]:
         """The ids of single pieces of the pattern.
@@ -83,46 +83,53 @@ class Codec:
             out[k] = e.ids
         return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
         cut = [self.pattern.findall(t) for t in texts]
-        of = self._lookup(cut, self.cache, tuple)
-        return [np.fromiter(chain.from_iterable(map(of, c)), np.int64) for c in cut]
+        of = self._lookup(cut)
+        return [list(chain.from_iterable(map(of, c))) for c in cut]
 
-    def _lookup(self, cut: list[list[str]], cache: dict, made):
-        """A function from piece to ``made(ids)`` for all pieces of the texts; short ones stay in the cache."""
+    def _lookup(self, cut: list[list[str]]):
+        """A function from piece to ids for all pieces of the texts; short ones stay in the cache."""
         pieces = set(chain.from_iterable(cut))
         short = [p for p in pieces if len(p) <= CACHE_CHARS]
-        new = [p for p in short if p not in cache]
-        if len(cache) + len(new) > CACHE_PIECES:
-            cache.clear()
+        new = [p for p in short if p not in self.cache]
+        if len(self.cache) + len(new) > CACHE_PIECES:
+            self.cache.clear()
             new = short
-        cache.update(zip(new, map(made, self._ids_of(new))))
+        self.cache.update(zip(new, self._ids_of(new)))
         if len(short) == len(pieces):
-            return cache.__getitem__
+            return self.cache.__getitem__
         long = [p for p in pieces if len(p) > CACHE_CHARS]
-        extra = dict(zip(long, map(made, self._ids_of(long))))
-        return lambda p: extra[p] if p in extra else cache[p]
+        extra = dict(zip(long, self._ids_of(long)))
+        return lambda p: extra[p] if p in extra else self.cache[p]
 
-    def digest(self, texts: list[str]) -> list[tuple[int, str, str]]:
-        """Number of ids, SHA-256 of the ids in decimal joined by spaces, SHA-256 of the decoded bytes, for each text."""
-        cut = [self.pattern.findall(t) for t in texts]
-        both = self._lookup(cut, self.written, lambda ids: (" ".join(map(str, ids)), self.decode_bytes(ids)))
+    def digest(self, texts: list[str]) -> list[tuple[int, str, str, str, int]]:
+        """For each text: number of ids; SHA-256 of the ids in decimal joined by spaces, of the bytes that they decode to
+        and of their character offsets (all starts, then all ends, as 32-bit numbers); and tokens that begin inside a
+        character."""
         out = []
-        for c in cut:
-            found = list(map(both, c))
-            ids = " ".join([w for w, _ in found])
-            out.append((ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(b"".join([d for _, d in found])).hexdigest()))
+        for text, ids in zip(texts, self.encode(texts)):
+            starts, ends, split = self.offsets(text, ids)
+            written = " ".join(map(self.decimals.__getitem__, ids))
+            sums = [hashlib.sha256(x).hexdigest() for x in (written.encode(), self.decode_bytes(ids), starts.tobytes() + ends.tobytes())]
+            out.append((len(ids), *sums, split))
         return out
 
-    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end of each token in characters; a character that a token has only in part counts whole."""
+    def offsets(self, text: str, ids: list[int]) -> tuple[np.ndarray, np.ndarray, int]:
+        """Start and end of each token in characters, and how many begin inside one; a character that a token has only in
+        part counts whole."""
+        n = self.lengths[np.array(ids, np.int64)]
+        ends = np.cumsum(n, dtype=np.int32)
+        starts = ends - n
+        if text.isascii():  # bytes are characters
+            return starts, ends, 0
         data = np.frombuffer(text.encode(), np.uint8)
-        ends = np.cumsum(self.lengths[ids])
-        starts = ends - self.lengths[ids]
         first = (data & 0xC0) != 0x80
-        number = np.concatenate((np.cumsum(first) - 1, [first.sum()]))  # of the character that a byte is part of
-        return number[starts], np.where(ends > starts, number[ends - 1] + 1, number[starts]) if len(ids) else ends
+        number = np.zeros(len(data) + 1, np.int32)  # of the character that a byte is part of
+        np.cumsum(first[1:], out=number[1:-1])
+        number[-1] = number[-2] + 1
+        return number[starts], np.where(ends > starts, number[ends - 1] + 1, number[starts]), int(np.count_nonzero(~first[starts]))
 
     def decode_bytes(self, ids) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids))
@@ -166,7 +173,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", i
             texts = filled(piece.column(text)).to_pylist()
             coded = own.encode(texts)
             spans = [own.offsets(t, i) for t, i in zip(texts, coded)]
-            lists = [pa.array([x.astype(np.int32) for x in col], pa.list_(pa.int32())) for col in (coded, [s for s, _ in spans], [e for _, e in spans])]
+            lists = [pa.array(col, pa.list_(pa.int32())) for col in (coded, [s for s, _, _ in spans], [e for _, e, _ in spans])]
             yield pa.RecordBatch.from_arrays([*piece.columns, *lists], names=schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -188,17 +195,17 @@ def decode(frame: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", te
 
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Number and digest of every text's ids, and the digest of what they decode to; the ids stay in the worker."""
+    """Every text's :meth:`Codec.digest`; ids and offsets stay in the worker."""
     small_batches(docs.sparkSession)
 
     def run(batches):
         own = codec(vocabulary, pattern)
         for piece in slices(batches, text):
             rows = own.digest(filled(piece.column(text)).to_pylist())
-            n, a, b = zip(*rows)
-            yield pa.RecordBatch.from_arrays([piece.column(doc_id), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            n, *sums, split = zip(*rows)
+            yield pa.RecordBatch.from_arrays([piece.column(doc_id), pa.array(n, pa.int64()), *map(pa.array, sums), pa.array(split, pa.int64())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "offsets_sha256", "n_split"])
 
-    return docs.select(doc_id, text).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(doc_id, text).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, offsets_sha256 string, n_split long")
 
 
 def _free(frame: DataFrame, *names: str) -> None:

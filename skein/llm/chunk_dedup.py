@@ -95,7 +95,9 @@ def copied_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pairs = _pairs(docs.filter(F.col(doc_id).isNotNull()), doc_id, text)
     shared = pairs.groupBy("digest").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("digest", "least")
     shared = checkpointed(shared)  # so that both sides of the join are shuffled for it and a hot chunk's share is split
-    return pairs.join(shared, "digest").groupBy("id").agg(F.collect_set(F.struct("digest", "least")).alias("copies"))
+    # Laid by id once for both steps; the first one leaves a repeated row's chunks once.
+    once = pairs.join(shared, "digest").repartition("id").groupBy("id", "digest").agg(F.min("least").alias("least"))
+    return once.groupBy("id").agg(F.collect_list(F.struct("digest", "least")).alias("copies"))
 
 
 STATS = "n_bytes long, n_chunks long, n_removed long, n_spans long, n_shared long, first_ids array<long>"

@@ -11,7 +11,7 @@ can be equal only if their segments' k-mers are.
    anchor's suffix: Spark samples the suffixes' leading ``KMER`` bytes for splitters. A bucket sorts its suffixes by a
    multikey quicksort whose characters are eight bytes, and the reversed text left of the anchors alike, and takes the
    longest common prefixes of neighbours from the sorted order, within the bucket and across the edges of the blocks
-   that it is compared in. Splitters never part suffixes that agree in the leading KMER bytes, so no pair of neighbours
+   that it is compared in. It streams through in parts of about ``PART`` bytes, laid by the leading bytes. Splitters never part suffixes that agree in the leading KMER bytes, so no pair of neighbours
    that matters lies across two buckets. A string repeats if its segment occurs twice, or another one has its class of
    left contexts and its class of right ones.
 3. K-mers with over ``HOT`` distinct segments would fill a bucket; their strings are counted by a 128-bit digest
@@ -26,6 +26,7 @@ hash of the text. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ WINDOW = LENGTH - KMER + 1
 HOT = 50_000
 #: Starts handled at once; a longer text is taken in pieces that overlap by LENGTH - 1 bytes.
 PIECE = 1 << 21
+#: Bytes of segments that are sorted at once; a bucket of more is taken in parts that end between two k-mers.
+PART = 16 << 20
 #: Rows of a bucket whose contexts are laid out as matrices at once.
 ROWS = 8192
 
@@ -244,21 +247,35 @@ RUNS = "kmer long, whole long, runs array<int>"
 
 def _bucketed(pieces: DataFrame) -> DataFrame:
     """Runs of repeated starts of every segment, by buckets of the anchors' suffixes."""
-    ranged = pieces.repartitionByRange("lead").drop("lead")
+    ranged = pieces.repartitionByRange("lead").sortWithinPartitions("lead").drop("lead")
 
-    def run(batches):
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        t = pa.Table.from_batches(held).combine_chunks()
+    def found(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        t = t.combine_chunks()
         large = t["bytes"].cast(pa.large_binary()).combine_chunks()
         off = np.frombuffer(large.buffers()[1], np.int64)[large.offset : large.offset + len(large) + 1]
         data = np.frombuffer(large.buffers()[2], np.uint8)[off[0] : off[-1]]
         kmer, n, m, count = (t[c].to_numpy().astype(np.int64) for c in ("kmer", "n", "m", "count"))
         flags = repeats(data, off - off[0], kmer, n, m, count)
         runs = pa.array([_runs(f) for f in flags], pa.list_(pa.int32()))
-        table = pa.table([t["kmer"], t["whole"], runs], names=["kmer", "whole", "runs"])
-        yield from table.to_batches(max_chunksize=4096)
+        yield from pa.table([t["kmer"], t["whole"], runs], names=["kmer", "whole", "runs"]).to_batches(max_chunksize=4096)
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(b)
+            size += b.nbytes
+            if size >= PART:
+                t = pa.Table.from_batches(held)
+                kmer = t["kmer"].to_numpy()
+                if len(other := np.flatnonzero(kmer != kmer[-1])):
+                    cut = int(other[-1]) + 1
+                    yield from found(t.slice(0, cut))
+                    t = t.slice(cut)
+                held, size = t.to_batches(), t.nbytes
+        if held:
+            yield from found(pa.Table.from_batches(held))
 
     return ranged.mapInArrow(run, RUNS)
 
@@ -294,6 +311,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         runs = _bucketed(_with_bytes(texts, once))
     else:
         runs = _bucketed(_with_bytes(texts, once.join(hot, "kmer", "left_anti"))).unionByName(_counted(_with_bytes(texts, once.join(hot, "kmer"))))
+    runs = checkpointed(runs)  # the texts' shuffle for it goes before that for the cut
     start = F.shiftright("at", 16).cast("long")
     pairs = F.sequence(F.lit(0), (F.size("runs") / 2).cast("int") - 1)
     each = known.join(runs.filter(F.size("runs") > 0), ["kmer", "whole"]).select("id", "sub", "at", "runs", F.explode(pairs).alias("k"))

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import struct
 
 import public_tokenizers as P
 import pytest
@@ -15,9 +16,27 @@ def tik():
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def brute_offsets(tik, text, ids):
+    """Starts, ends and the number of tokens that begin inside a character, byte by byte."""
+    of = [i for i, c in enumerate(text) for _ in c.encode()]
+    begins = [k == 0 for c in text for k, _ in enumerate(c.encode())]
+    starts, ends, split, at = [], [], 0, 0
+    for i in ids:
+        n = len(tik.decode_single_token_bytes(i))
+        starts.append(of[at])
+        ends.append(of[at + n - 1] + 1)
+        split += not begins[at]
+        at += n
+    assert at == len(of)
+    return starts, ends, split
+
+
 def brute(tik, text):
-    ids = tik.encode_ordinary(text or "")
-    return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+    text = text or ""
+    ids = tik.encode_ordinary(text)
+    starts, ends, split = brute_offsets(tik, text, ids)
+    offsets = hashlib.sha256(struct.pack(f"<{2 * len(ids)}i", *starts, *ends)).hexdigest()
+    return len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest(), offsets, split
 
 
 def test_query_against_library(spark, sf, tik):
@@ -25,7 +44,7 @@ def test_query_against_library(spark, sf, tik):
     got = bpe.op7_byte_bpe(spark, sf).collect()
     assert len(got) == len(docs)
     for r in got:
-        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == brute(tik, docs[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256, r.offsets_sha256, r.n_split) == brute(tik, docs[r.doc_id])
 
 
 def test_odd_rows(odd, odd_dir, none_dir, spark, tik):
@@ -52,10 +71,12 @@ def test_offsets_and_round_trip(odd):
 def test_split_characters_and_special_strings(spark, tik):
     c = bpe.codec(P.path("byte_bpe_50k.json"), P.PATTERN)
     for text in ["<|endoftext|> x", "𝒳𝒴", "é", "a\x1cb\x1d \x1e", " 　x​᠎", "don't  WE'LL", "\r\n \r\n", "x" * 300]:
-        ids = c.encode([text])[0].tolist()
+        ids = c.encode([text])[0]
         assert ids == tik.encode_ordinary(text)
+        starts, ends, split = c.offsets(text, ids)
+        assert (starts.tolist(), ends.tolist(), split) == brute_offsets(tik, text, ids)
         assert c.decode(ids) == text
-    ids = c.encode(["𝒳"])[0].tolist()
+    ids = c.encode(["𝒳"])[0]
     assert len(ids) > 1 and c.decode(ids[:1]) == "�"
 
 
@@ -66,7 +87,7 @@ def test_caches_and_joined_pieces(monkeypatch, tik):
     monkeypatch.setattr(bpe, "JOINED", 7)
     monkeypatch.setattr(bpe, "CACHE_CHARS", 6)
     for part in (texts, texts[:3], texts[3:]):
-        assert [i.tolist() for i in c.encode(part)] == [tik.encode_ordinary(t) for t in part]
+        assert c.encode(part) == [tik.encode_ordinary(t) for t in part]
         assert c.digest(part) == [brute(tik, t) for t in part]
 
 

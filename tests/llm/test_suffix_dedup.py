@@ -55,9 +55,10 @@ def tricky(seed):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("hot", [1, 50_000])
-def test_tricky_repeats(spark, monkeypatch, seed, hot):
+@pytest.mark.parametrize("hot, part", [(1, 1 << 24), (50_000, 1 << 24), (50_000, 1)])
+def test_tricky_repeats(spark, monkeypatch, seed, hot, part):
     monkeypatch.setattr(S, "HOT", hot)
+    monkeypatch.setattr(S, "PART", part)
     docs = tricky(seed)
     df = spark.createDataFrame(docs, "doc_id long, text string")
     made = S.cut_out(df).collect()
