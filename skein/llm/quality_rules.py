@@ -1,16 +1,23 @@
 """Quality rules by distribution divergence.
 
-A document's character-class histogram and common-word histogram are compared with those of each reference language by
-Jensen-Shannon distance (base 2, so from 0 to 1). The references are the histograms of all documents of a language in
-the corpus itself; only languages with a word list below are references, so their number is bounded. A document is
-rejected if its nearest reference is farther than a threshold, for either histogram or for the sum. A histogram is compared only if it
-counts enough (``MIN_CHARS``, ``MIN_WORDS``): short texts diverge by chance.
-
-Corpus histograms come from one pass whose per-document rows are written once to the shared checkpoint folder, so a
-lost executor costs its own tasks; what reaches the driver is one row for each reference language.
-
-Null and empty texts have no words and fail the base rule. Repeated rows are judged alike. If there is no document of
-any reference language, nothing is compared and the base rules decide. An empty table gives no rows.
+A document's character-class histogram and common-word histogram are compared with those of reference languages by
+Jensen-Shannon distance (base 2, so from 0 to 1). The references come from the corpus itself: a language is a value of
+the language column that at least one in ``LEAST_SHARE`` documents has, so there are that many at most; its common
+words are the ``COMMON`` commonest ones of its documents, and its histograms are the sums over them. Documents that fail
+the base rules count in neither. Words are known by one of ``BUCKETS`` hash values, lower-cased in ASCII: rare words that
+share a value with a common one add little to it.
+
+A document is rejected if its nearest reference is farther than a threshold, for either histogram or for their sum. A
+histogram is compared only if it counts enough (``MIN_CHARS``, ``MIN_WORDS``): short texts diverge by chance. A document
+of a language without a reference is not compared, nor is any if there is no reference: then the base rules decide. One
+of no language is compared with all references.
+
+Three passes read the texts or what was counted in them: word counts by language, both histograms of every document
+(written once to the shared checkpoint folder, so a lost executor costs its own tasks), and the verdicts. What reaches
+the driver is a row for each reference language and common word.
+
+Null and empty texts have no words and fail the base rule. Null ids stay null. Repeated rows are judged alike. An empty
+table gives no rows. Columns other than id, text and language are ignored.
 """
 
 from __future__ import annotations
@@ -23,20 +30,17 @@ from pyspark.sql import functions as F
 from skein.llm.text import MULTIPLIER, SEPARATORS, SpanHash, byte_view, filled, mix, per_row, slices, small_batches, words_of
 from skein.session import checkpointed
 
-# The commonest words of each reference language.
-COMMON_WORDS = {
-    "en": "the of and to in is it that for was on are with as be this by at from or an a",
-    "fr": "le la de des les et en un une du est que qui dans pour par sur pas au avec ce",
-    "de": "der die das und in zu den von mit sich des auf ist nicht ein eine als auch es im dem",
-    "es": "el la de que y en los se del las un por con no una su para es al lo como",
-}
+#: Common words of a language, hash values that words have, and the share of documents that makes a language a reference.
+COMMON = 24
+BUCKETS = 1 << 14
+LEAST_SHARE = 1000
 #: Names of the character classes, in the order of the histogram.
 CLASSES = ("lower", "upper", "digit", "space", "newline", "stop", "mark", "symbol", "latin", "other")
-MIN_CHARS, MIN_WORDS = 200, 80
+MIN_CHARS, MIN_WORDS = 200, 60
 #: Largest distance to the nearest reference that passes.
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.26, 0.335
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.26, 0.36
 #: Largest sum of both, where both histograms count enough.
-MAX_SUM_DISTANCE = 0.48
+MAX_SUM_DISTANCE = 0.52
 MIN_BASE_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -62,14 +66,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def vocabulary() -> list[str]:
-    """All common words in a fixed order; the word histogram has one more bin, for all other words."""
-    return sorted({w for words in COMMON_WORDS.values() for w in words.split()})
-
-
-def _word_hashes(words: list[str]) -> np.ndarray:
-    data, off = byte_view(pa.array(words))
-    return SpanHash(data)(off[:-1], off[1:])
+def word_buckets(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash value of each word."""
+    return (SpanHash(LOWER[data])(start, end) >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
 
 
 def _repeated_lines(text: str) -> int:
@@ -83,8 +82,15 @@ def _repeated_lines(text: str) -> int:
     return n
 
 
+def base_failed(n_words: np.ndarray, n_repeat: np.ndarray) -> np.ndarray:
+    return (n_words < MIN_BASE_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)
+
+
 def features(texts: pa.Array) -> dict[str, np.ndarray]:
-    """The base counts and both histograms of each text, by array work over all bytes of the texts."""
+    """The base counts and the character histogram of each text, by array work over all bytes of the texts.
+
+    ``word_row`` and ``word_bucket``: the text and the hash value of each word.
+    """
     data, off = byte_view(texts)
     n = len(off) - 1
     rows = np.repeat(np.arange(n), np.diff(off))
@@ -112,15 +118,8 @@ def features(texts: pa.Array) -> dict[str, np.ndarray]:
             repeat[begins + k] = True
     n_repeat = per_row(word_row[repeat], n)
 
-    known = vocabulary()
-    table = _word_hashes(known)
-    by = np.argsort(table)
-    lowered = SpanHash(LOWER[data])(start, end)
-    place = np.minimum(np.searchsorted(table[by], lowered), len(known) - 1)
-    bins = np.where(table[by][place] == lowered, by[place], len(known))
-    words = np.bincount(word_row * (len(known) + 1) + bins, minlength=n * (len(known) + 1)).reshape(n, -1)
     lines = np.array([_repeated_lines(t) for t in filled(texts).to_pylist()], np.int64)
-    return {"n_words": n_words, "word_chars": word_chars, "n_symbols": chars[:, CLASSES.index("symbol")], "n_dup_lines": lines, "n_repeat_words": n_repeat, "chars": chars, "words": words}
+    return {"n_words": n_words, "word_chars": word_chars, "n_symbols": chars[:, CLASSES.index("symbol")], "n_dup_lines": lines, "n_repeat_words": n_repeat, "chars": chars, "word_row": word_row, "word_bucket": word_buckets(data, start, end)}
 
 
 def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
@@ -136,28 +135,83 @@ def js_distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
 
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-FEATURES = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", chars array<int>, words array<int>"
+FEATURES = "doc_id long, lang string, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, chars array<int>, words array<int>"
+
 
+def common_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, list[int]]:
+    """The commonest words' hash values of each reference language."""
+    small_batches(docs.sparkSession)
 
-def extract(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Base counts and histograms of every document."""
+    def run(batches):
+        sums: dict[str, np.ndarray] = {}
+        for piece in slices(batches, text):
+            f = features(piece.column(text))
+            names = piece.column(lang).to_pylist()
+            good = ~base_failed(f["n_words"], f["n_repeat_words"])
+            index = {g: i for i, g in enumerate(dict.fromkeys(names))}
+            of = np.array([index[g] for g in names], np.int64)
+            # One value more than there are words: the number of documents, failed ones too.
+            rows = np.concatenate((of[f["word_row"]][good[f["word_row"]]] * (BUCKETS + 1) + f["word_bucket"][good[f["word_row"]]], of * (BUCKETS + 1) + BUCKETS))
+            counts = np.bincount(rows, minlength=len(index) * (BUCKETS + 1)).reshape(len(index), -1)
+            for g, i in index.items():
+                sums[g] = sums[g] + counts[i] if g in sums else counts[i]
+            if len(sums) > 64:  # many values are no languages; the sums then leave the task as they are
+                yield from _sum_rows(sums)
+                sums = {}
+        yield from _sum_rows(sums)
+
+    summed = docs.select(text, lang).mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    summed = checkpointed(summed)  # a row for each language and word value
+    total = summed.filter(F.col("bucket") == BUCKETS).agg(F.sum("n")).first()[0] or 0
+    often = summed.filter((F.col("bucket") == BUCKETS) & F.col("lang").isNotNull() & (F.col("n") * LEAST_SHARE >= total)).select("lang")
+    words = summed.filter(F.col("bucket") < BUCKETS).join(F.broadcast(often), "lang")  # LEAST_SHARE rows at most
+    top = words.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "bucket"))), 1, COMMON)["bucket"].alias("b"))  # BUCKETS entries at most
+    return {r.lang: list(r.b) for r in top.orderBy("lang").collect()}
+
+
+def _sum_rows(sums: dict[str, np.ndarray]):
+    for g, n in sums.items():
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array([g] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())], names=["lang", "bucket", "n"])
+
+
+def bins(common: dict[str, list[int]]) -> np.ndarray:
+    """The bin of each hash value: one for each that is common in any language, the last one for all other words."""
+    known = sorted({b for words in common.values() for b in words})
+    table = np.full(BUCKETS, len(known), np.int64)
+    table[known] = np.arange(len(known))
+    return table
+
+
+def extract(docs: DataFrame, common: dict[str, list[int]], doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """Base counts and both histograms of every document."""
     small_batches(docs.sparkSession)
+    table = bins(common)
+    width = int(table.max(initial=0)) + 1
 
     def run(batches):
         for piece in slices(batches, text):
             f = features(piece.column(text))
-            lists = [pa.array(list(f[k].astype(np.int32)), pa.list_(pa.int32())) for k in ("chars", "words")]
-            yield pa.RecordBatch.from_arrays([piece.column(doc_id), piece.column(lang), *(pa.array(f[c], pa.int64()) for c in COUNTS), *lists], names=["doc_id", "lang", *COUNTS, "chars", "words"])
+            n = len(piece)
+            words = np.bincount(f["word_row"] * width + table[f["word_bucket"]], minlength=n * width).reshape(n, width)
+            lists = [pa.array(list(x.astype(np.int32)), pa.list_(pa.int32())) for x in (f["chars"], words)]
+            failed = base_failed(f["n_words"], f["n_repeat_words"])
+            yield pa.RecordBatch.from_arrays([piece.column(doc_id), piece.column(lang), *(pa.array(f[c], pa.int64()) for c in COUNTS), pa.array(failed), *lists], names=["doc_id", "lang", *COUNTS, "base_failed", "chars", "words"])
 
     return docs.select(doc_id, text, lang).mapInArrow(run, FEATURES)
 
 
-def references(found: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
-    """Summed histograms of all documents of each language that has a word list."""
-    sums = [F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(len(CLASSES))] + [F.sum(F.col("words")[i]).alias(f"w{i}") for i in range(len(vocabulary()) + 1)]
-    rows = found.filter(F.col("lang").isin(sorted(COMMON_WORDS))).groupBy("lang").agg(*sums).collect()  # at most one a word list
-    split = {r.lang: ([r[f"c{i}"] for i in range(len(CLASSES))], [r[f"w{i}"] for i in range(len(vocabulary()) + 1)]) for r in rows}
-    return {k: v for k, v in split.items() if sum(v[0]) and sum(v[1])}
+def references(found: DataFrame, common: dict[str, list[int]]) -> dict[str, tuple[list[int], list[int]]]:
+    """Summed histograms of the documents of each reference language that pass the base rules."""
+    width = int(bins(common).max(initial=0)) + 1
+    sums = [F.sum(F.col("chars")[i]).alias(f"c{i}") for i in range(len(CLASSES))]
+    good = found.filter(~F.col("base_failed") & F.col("lang").isin(sorted(common)))
+    chars = {r.lang: [r[f"c{i}"] for i in range(len(CLASSES))] for r in good.groupBy("lang").agg(*sums).collect()}  # a row a reference
+    words = {g: [0] * width for g in chars}
+    each = good.select("lang", F.posexplode("words").alias("i", "n")).groupBy("lang", "i").agg(F.sum("n").alias("n"))
+    for r in each.collect():  # a row for each reference and common word
+        words[r.lang][r.i] = r.n
+    return {g: (chars[g], words[g]) for g in sorted(chars) if sum(chars[g]) and sum(words[g])}
 
 
 def judge(found: DataFrame, refs: dict[str, tuple[list[int], list[int]]]) -> DataFrame:
@@ -174,16 +228,18 @@ def judge(found: DataFrame, refs: dict[str, tuple[list[int], list[int]]]) -> Dat
             w = np.stack(b.column("words").to_numpy(zero_copy_only=False)).astype(float)
             far_c = np.min([js_distance(c, r) for r in chars], axis=0) if chars else np.zeros(len(c))
             far_w = np.min([js_distance(w, r) for r in words], axis=0) if words else np.zeros(len(c))
-            n, repeat = (b.column(k).to_numpy() for k in ("n_words", "n_repeat_words"))
-            failed = (n < MIN_BASE_WORDS) | (100 * repeat > MAX_REPEAT_PERCENT * n)
+            failed = b.column("base_failed").to_numpy(zero_copy_only=False)
             few_c, few_w = c.sum(1) < MIN_CHARS, w.sum(1) < MIN_WORDS
             near = (few_c | (far_c <= MAX_CHAR_DISTANCE)) & (few_w | (far_w <= MAX_WORD_DISTANCE)) & (few_c | few_w | (far_c + far_w <= MAX_SUM_DISTANCE))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(b.column(k) for k in COUNTS), pa.array(failed), pa.array(near & ~failed), pa.array(far_c), pa.array(far_w)], names=["doc_id", *COUNTS, "base_failed", "kept", "char_distance", "word_distance"])
+            unknown = np.array([g is not None and g not in refs for g in b.column("lang").to_pylist()], bool)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(b.column(k) for k in COUNTS), pa.array(failed), pa.array((near | unknown) & ~failed), pa.array(far_c), pa.array(far_w)], names=["doc_id", *COUNTS, "base_failed", "kept", "char_distance", "word_distance"])
 
     return found.mapInArrow(run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, kept boolean, char_distance double, word_distance double")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract of op2: base counts and the verdict by divergence for every whole document."""
-    found = checkpointed(extract(spark.read.parquet(f"{sf_dir}/documents.parquet")))
-    return judge(found, references(found))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    common = common_words(docs)
+    found = checkpointed(extract(docs, common))
+    return judge(found, references(found, common))
