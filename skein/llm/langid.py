@@ -2,13 +2,15 @@
 
 Each language has a codeword of +-1 bits; a binary classifier over hashed byte n-grams predicts each bit. A classifier
 is a linear one: the smoothed log-odds of an n-gram between the languages with and without the bit, averaged over the
-text's n-grams, then calibrated by a logistic fit of slope and offset on the same sample. Decoding adds up each bit's
-logistic loss against every codeword, bits weighted by how well they were learned, and takes the codeword of least
+text's n-grams, then calibrated by a logistic fit of slope and offset. That fit, and how far each bit is trusted, come
+from a fourth of the sample that the log-odds of this step have not seen; the final log-odds are of all of it. Decoding
+adds up each bit's logistic loss against every codeword, bits weighted by their trust, and takes the codeword of least
 loss. The score is the softmax of the losses; ``ambiguous`` tells that the runner-up is within ``MARGIN``.
 
-The fit takes at most ``TRAIN_ROWS`` labelled documents, those with the least hash of their id, so it does not depend
-on the order or partitioning of the rows; n-gram counts are summed by the executors, and the driver gets one row for
-each language and occupied bucket. The number of languages is bounded by ``MAX_LANGUAGES`` (more is an error).
+The fit takes about ``TRAIN_ROWS`` labelled documents, those whose hashed id is below a bound, so it does not depend on
+the order or partitioning of the rows. Their texts are read once; n-gram counts are summed by the executors, and the
+driver gets a row for each language and occupied bucket of the sample, which so bounds the languages too, and at most
+twice ``TRAIN_ROWS`` rows of margins.
 
 Null texts and texts without a letter are ``und`` with score 0. Repeated rows get equal predictions. With no row to
 learn from every text is ``und``. An empty table gives no rows. Ties between codewords go to the earlier language.
@@ -23,9 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm.text import byte_view, slices, small_batches
+from skein.session import checkpointed
 
 TRAIN_ROWS = 8000
-MAX_LANGUAGES = 64
 BUCKETS = 1 << 14
 SIZES = (2, 3)
 MARGIN = 0.1
@@ -38,7 +40,7 @@ def codewords(n: int, bits: int | None = None, seed: int = 7) -> np.ndarray:
     """A row of +-1 bits for each of n languages: every split of few languages, else random ones far apart.
 
     Up to five languages get the exhaustive code of 2**(n-1) - 1 bits (distance 2**(n-2)). More get ``bits`` columns,
-    the best of 200 draws by the least distance between rows.
+    the best of up to 200 draws by the least distance between rows.
     """
     if n == 1:
         return np.ones((1, 1), np.int8)
@@ -47,10 +49,13 @@ def codewords(n: int, bits: int | None = None, seed: int = 7) -> np.ndarray:
         return np.array([[1] * len(columns), *([1 if c >> i & 1 == 0 else -1 for c in columns] for i in range(n - 1))], np.int8)
     bits = bits or 4 * int(np.ceil(np.log2(n))) + 7
     rng, best, far = np.random.default_rng(seed), None, -1
-    for _ in range(200):
+    for _ in range(max(2, min(200, 4_000_000 // n**2))):
         code = rng.choice(np.array([-1, 1], np.int8), (n, bits))
         code[:, np.abs(code.sum(0)) == n] *= np.where(np.arange(n) % 2, 1, -1)[:, None].astype(np.int8)
-        least = min((code[i] != code[j]).sum() for i in range(n) for j in range(i))
+        wide = code.astype(np.float32)
+        agree = wide @ wide.T
+        np.fill_diagonal(agree, -bits)
+        least = int(bits - agree.max()) // 2
         if least > far:
             best, far = code, least
     return best
@@ -81,17 +86,21 @@ def grams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Languages, codewords, bit weights by bucket, calibration and trust in each bit."""
 
-    def __init__(self, counts: dict[str, np.ndarray]) -> None:
-        self.languages = sorted(counts)
+    def __init__(self, languages: list[str], counts: dict[str, np.ndarray]) -> None:
+        """``counts``: n-grams by bucket of each language; one without any has no say."""
+        self.languages = sorted(languages)
         self.code = codewords(max(1, len(self.languages)))
         bits = self.code.shape[1]
-        self.weights = np.zeros((BUCKETS, bits), np.float32)
         self.slope, self.offset, self.trust = np.ones(bits), np.zeros(bits), np.ones(bits)
-        if len(self.languages) > 1:
-            share = np.stack([(counts[g] + 0.5) / (counts[g].sum() + 0.5 * BUCKETS) for g in self.languages])
-            for b in range(bits):
-                with_bit, without = share[self.code[:, b] > 0].mean(0), share[self.code[:, b] < 0].mean(0)
-                self.weights[:, b] = np.log(with_bit / without)
+        with_bit, without = (np.full((BUCKETS, bits), 1e-12) for _ in range(2))
+        for code, g in zip(self.code, self.languages):
+            if g in counts and len(self.languages) > 1:
+                share = (counts[g] + 0.5) / (counts[g].sum() + 0.5 * BUCKETS)
+                with_bit += share[:, None] * (code > 0)
+                without += share[:, None] * (code < 0)
+        has = np.array([g in counts for g in self.languages], bool)
+        sizes = [np.maximum((self.code[has] * sign > 0).sum(0), 1) for sign in (1, -1)] if len(has) else [1, 1]
+        self.weights = np.log((with_bit / sizes[0]) / (without / sizes[1])).astype(np.float32)
 
     def margins(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Mean log-odds of every text's n-grams, a column for each bit; texts without n-grams have zeros."""
@@ -130,42 +139,50 @@ class Model:
         return best, p[np.arange(len(best)), best], close
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", limit: int = TRAIN_ROWS) -> Model:
-    """A model of at most ``limit`` rows of ``docs``, which are the rows to learn from; null labels are left out."""
-    labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    order = F.xxhash64(doc_id)
-    cut = labelled.select(order.alias("h")).orderBy("h").limit(limit).agg(F.max("h")).first()[0]
-    if cut is None:
-        return Model({})
-    sample = labelled.filter(order <= cut).select(text, lang)
-    names = [r[0] for r in sample.select(lang).distinct().limit(MAX_LANGUAGES + 1).collect()]
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    at = {g: i for i, g in enumerate(sorted(names))}
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = TRAIN_ROWS) -> Model:
+    """A model of about ``rows`` rows of ``docs``, which are the rows to learn from; null labels are left out.
+
+    Rows of null ids have one hash like all others of one id; rows that repeat a sampled id all count.
+    """
+    labelled = docs.filter(F.col(lang).isNotNull())
+    n = labelled.count()
+    part, parts = F.pmod(F.xxhash64(doc_id), F.lit(1 << 40)), 1 << 40
+    chosen = labelled.filter(part < (parts if n <= rows else int(parts * rows / n)))
+    sample = checkpointed(chosen.select(F.col(text).alias("text"), F.col(lang).alias("lang"), (part % 4 == 0).alias("later")).filter("text is not null"))
+    names = sorted(r[0] for r in sample.select("lang").distinct().collect())  # no more than the sample has rows
+    at = {g: i for i, g in enumerate(names)}
 
     def count(batches):
-        sums = np.zeros((len(at), BUCKETS), np.int64)
-        for piece in slices(batches, text):
-            data, off = byte_view(piece.column(text))
-            bucket, row = grams(data, off)
-            langs = np.array([at[g] for g in piece.column(lang).to_pylist()], np.int64)
-            sums += np.bincount(langs[row] * BUCKETS + bucket, minlength=sums.size).reshape(sums.shape)
-        g, b = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(b, pa.int64()), pa.array(sums[g, b], pa.int64())], names=["g", "b", "n"])
+        for piece in slices(batches, "text"):
+            bucket, row = grams(*byte_view(piece.column("text")))
+            langs = np.array([at[g] for g in piece.column("lang").to_pylist()], np.int64)
+            later = piece.column("later").to_numpy(zero_copy_only=False).astype(np.int64)
+            key, times = np.unique((langs[row] * 2 + later[row]) * BUCKETS + bucket, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(times.astype(np.int64))], names=["key", "n"])
 
     small_batches(docs.sparkSession)
-    summed = sample.mapInArrow(count, "g long, b long, n long").groupBy("g", "b").agg(F.sum("n").alias("n")).toPandas()  # at most languages x buckets
-    counts = {name: np.bincount(summed.b[summed.g == i], summed.n[summed.g == i], minlength=BUCKETS) for name, i in at.items()}
-    model = Model(counts)
-
-    def margins(batches):
-        for piece in slices(batches, text):
-            m = model.margins(*byte_view(piece.column(text)))
-            yield pa.RecordBatch.from_arrays([piece.column(lang), pa.array(list(m), pa.list_(pa.float64()))], names=["lang", "m"])
-
-    if len(at) > 1:
-        made = sample.mapInArrow(margins, "lang string, m array<double>").toPandas()  # a row of bits for each sampled document
-        model.calibrate(np.stack(made.m.to_list()), made.lang.to_list())
+    summed = sample.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()  # at most two a language and bucket of the sample
+    key, times = summed["key"].to_numpy(), summed["n"].to_numpy()
+    bucket, later, of = key % BUCKETS, key // BUCKETS % 2, key // BUCKETS // 2
+
+    def counts(chosen: np.ndarray) -> dict[str, np.ndarray]:
+        by = np.argsort(of[chosen], kind="stable")
+        b, w, g = bucket[chosen][by], times[chosen][by], of[chosen][by]
+        edge = np.searchsorted(g, np.arange(len(names) + 1))
+        return {name: np.bincount(b[x:y], w[x:y], minlength=BUCKETS) for name, x, y in zip(names, edge, edge[1:]) if y > x}
+
+    model = Model(names, counts(np.ones(len(of), bool)))
+    if len(names) > 1:
+        seen = Model(names, counts(later == 0))
+
+        def margins(batches):
+            for piece in slices(batches, "text"):
+                m = seen.margins(*byte_view(piece.column("text")))
+                yield pa.RecordBatch.from_arrays([piece.column("lang"), pa.array(list(m), pa.list_(pa.float64()))], names=["lang", "m"])
+
+        made = sample.filter("later").mapInArrow(margins, "lang string, m array<double>").limit(2 * rows).toPandas()
+        if len(made):
+            model.calibrate(np.stack(made.m.to_list()), made.lang.to_list())
     return model
 
 
