@@ -1,17 +1,20 @@
 """A quality classifier by nearest-neighbour voting in a latent-semantic space.
 
-Terms are hashed byte trigrams of the text with letters folded to their case class plus marks of repetition (a word
-equal to the one before, a word seen before in the text): quality shows in layout, symbols and repetition, in any
-language alike, and not in spelling. A document is its log-scaled, idf-weighted term vector of unit length, projected on the leading singular
-vectors of the labelled sample. Every document is compared exactly, by blocked matrix products, with all broadcast
-labelled vectors; the labels of the nearest ``NEIGHBOURS`` vote with their cosine to the power ``SHARPNESS``.
+Terms are of three kinds: hashed byte trigrams of the text with letters folded to their case class (layout and symbols,
+in any language alike), hashed lower-cased words (what it is about), and marks of repetition (a word equal to the one
+before, a word seen before in the text). A document is its log-scaled, idf-weighted term vector of unit length,
+projected on the leading singular vectors of the labelled sample. Every document is compared exactly, by blocked matrix
+products, with all broadcast labelled vectors; the labels of the nearest ``NEIGHBOURS`` vote with their cosine to the
+power ``SHARPNESS``.
 
 The labelled sample holds at most ``PER_LABEL`` rows of each label, those with the least hash of their id; the rarer
 label so gets as many votes as the other. It bounds the broadcast (``2 * PER_LABEL * RANK`` floats and the projection) and what
 the driver collects (``2 * PER_LABEL * TERMS``), whatever the corpus.
 
-Null texts read as empty. A text without terms gets the share of label 1. Repeated rows get equal scores. Null labels
-are left out; a document labelled twice counts twice. With no labels every score is 0.5. An empty table gives no rows.
+Null texts read as empty. A text without terms gets the share of label 1. Null ids are scored too. Repeated rows get equal
+scores; of several texts of a labelled id the greatest is learned from. Null labels are left out; equal labels of a
+document count once, unlike ones both. With no labels every score is 0.5. An empty table gives no rows. Columns other
+than those named are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm.text import SpanHash, byte_view, slices, small_batches, words_of
+from skein.session import checkpointed
 
 PER_LABEL = 1500
 TERMS = 1 << 11
@@ -29,8 +33,9 @@ RANK = 32
 NEIGHBOURS = 15
 SHARPNESS = 32
 THRESHOLD = 0.3
-#: Terms kept for marks of repetition, ahead of the hashed trigrams.
+#: Terms kept for marks of repetition, ahead of the hashed trigrams; words have the other half of the terms.
 MARKS = 2
+WORDS = TERMS // 2
 BLOCK = 1024
 
 
@@ -46,6 +51,8 @@ def fold_table() -> np.ndarray:
 
 
 FOLD = fold_table()
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 
 
 def term_counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -57,10 +64,12 @@ def term_counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
         f = FOLD[data]
         code = (f[:-2] << np.uint32(16) | f[1:-1] << np.uint32(8) | f[2:]) * np.uint32(0x9E3779B1)
         inside = rows[:-2] == rows[2:]
-        bucket = (code >> np.uint32(8)) % np.uint32(TERMS - MARKS) + np.uint32(MARKS)
+        bucket = (code >> np.uint32(8)) % np.uint32(TERMS - WORDS - MARKS) + np.uint32(MARKS)
         out += np.bincount(rows[:-2][inside] * TERMS + bucket[inside], minlength=n * TERMS)
     start, end, row = words_of(data, off)
-    if len(start) > 1:
+    if len(start):
+        word = (SpanHash(LOWER[data])(start, end) >> np.uint64(20)).astype(np.int64) % WORDS
+        out += np.bincount(row * TERMS + TERMS - WORDS + word, minlength=n * TERMS)
         h = SpanHash(data)(start, end)
         again = (h[1:] == h[:-1]) & (row[1:] == row[:-1])
         out += np.bincount(row[1:][again] * TERMS, minlength=n * TERMS)
@@ -114,21 +123,23 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", per_label: int = PER_LABEL) -> Model:
     """A model of at most ``per_label`` rows of ``labels`` for each of the labels 0 and 1."""
-    usable = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(doc_id, F.col(label).cast("int").alias("y"))
+    usable = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(doc_id, F.col(label).cast("int").alias("y")).distinct()
     total = {r.y: r.n for r in usable.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not total:
         return Model(np.zeros((0, TERMS)), np.zeros(0), 0.5)
     prior = total.get(1, 0) / sum(total.values())
     parts = [usable.filter(F.col("y") == y).orderBy(F.xxhash64(doc_id), doc_id).limit(per_label) for y in sorted(total)]
     chosen = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
-    sample = docs.select(doc_id, text).join(F.broadcast(chosen), doc_id)  # at most two rows for each of per_label
+    chosen = checkpointed(chosen.select(F.col(doc_id).alias("id"), "y"))  # at most two rows for each of per_label
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen.select("id").distinct()), "id")
+    sample = texts.groupBy("id").agg(F.max("text").alias("text")).join(F.broadcast(chosen), "id")
     small_batches(docs.sparkSession)
 
     def run(batches):
-        for piece in slices(batches, text):
-            counts = term_counts(*byte_view(piece.column(text)))
+        for piece in slices(batches, "text"):
+            counts = term_counts(*byte_view(piece.column("text")))
             packed = [c.astype(np.int32).tobytes() for c in counts]
-            yield pa.RecordBatch.from_arrays([piece.column(doc_id), piece.column("y"), pa.array(packed, pa.binary())], names=["id", "y", "c"])
+            yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("y"), pa.array(packed, pa.binary())], names=["id", "y", "c"])
 
     rows = sorted(sample.mapInArrow(run, "id long, y int, c binary").collect())
     counts = np.array([np.frombuffer(r.c, np.int32) for r in rows]).reshape(len(rows), TERMS)

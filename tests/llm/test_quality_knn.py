@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from skein.llm import quality_knn as Q
 
@@ -25,7 +26,7 @@ def test_votes_against_brute_force(spark, sf):
     model = Q.fit(docs, labels)
     assert len(model.labels) == labels.count()
     got = {r.doc_id: r.score for r in Q.score(docs, model).collect()}
-    for r in rows[:40]:
+    for r in rows:
         data = np.frombuffer(r.text.encode(), np.uint8)
         v = model._unit(model._weighted(Q.term_counts(data, np.array([0, len(data)]))) @ model.basis)[0]
         ranked = sorted(((float(u @ v), i) for i, u in enumerate(model.vectors)), reverse=True)[: Q.NEIGHBOURS]
@@ -38,7 +39,7 @@ def test_repetition_marks():
     data = np.frombuffer(b"aa aa bb aa", np.uint8)
     c = Q.term_counts(data, np.array([0, 5, 11]))
     assert c[0, :2].tolist() == [1, 1] and c[1, :2].tolist() == [0, 0]
-    assert c[0, 2:].sum() == 3
+    assert c[0, 2 : Q.TERMS - Q.WORDS].sum() == 3 and c[:, Q.TERMS - Q.WORDS :].sum(1).tolist() == [2, 2]
 
 
 def test_odd_rows(spark, odd, odd_dir, none_dir):
@@ -48,3 +49,13 @@ def test_odd_rows(spark, odd, odd_dir, none_dir):
     assert {r.score for r in Q.score(odd, Q.fit(odd, spark.createDataFrame([], "doc_id long, quality int"))).collect()} == {0.5}
     model = Q.fit(odd, spark.createDataFrame([(6, 0), (6, 0), (5, 1), (5, None)], "doc_id long, quality int"))
     assert Q.keep_good(odd, model).columns == odd.columns
+
+
+def test_repeated_ids_are_learned_once(spark):
+    text = lambda k: f"a text of plain words number {k} " * 4
+    docs = spark.createDataFrame([(1, text(1))] * 3000 + [(1, None), (2, text(2)), (3, "### $$ %% " * 9), (None, text(4))], "doc_id long, text string").withColumn("y", F.lit(0)).withColumn("id", F.lit("x"))
+    labels = spark.createDataFrame([(1, 1)] * 500 + [(2, 1), (3, 0), (None, 0), (3, None)], "doc_id long, quality int")
+    model = Q.fit(docs, labels)
+    assert model.labels.tolist() == [1, 1, 0] and model.prior == 2 / 3
+    made = Q.score(docs, model).collect()
+    assert len(made) == 3004 and {r.predicted for r in made if r.doc_id == 3} == {0}
