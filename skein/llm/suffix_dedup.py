@@ -316,7 +316,8 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pairs = F.sequence(F.lit(0), (F.size("runs") / 2).cast("int") - 1)
     each = known.join(runs.filter(F.size("runs") > 0), ["kmer", "whole"]).select("id", "sub", "at", "runs", F.explode(pairs).alias("k"))
     part = each.select("id", "sub", (start + F.get("runs", 2 * F.col("k"))).alias("a"), (start + F.get("runs", 2 * F.col("k") + 1) - 1 + LENGTH).alias("b"))
-    return part.groupBy("id", "sub").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    once = part.repartition("id", "sub").distinct()  # laid once for both steps; repeated rows give equal spans
+    return once.groupBy("id", "sub").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
 def merged(spans: np.ndarray) -> list[tuple[int, int]]:
