@@ -17,8 +17,24 @@ def uuid5(text: Column) -> Column:
 
 
 def float_text(x: Column) -> Column:
-    """A double as Python writes it (1.0, 0.5), exact from 0.001 to ten million."""
-    return x.cast("double").cast("string")
+    """A double as Python writes it: 1.0, 12345678.5, 0.00012, 1e+16, 1.5e-05.
+
+    The digits are the fewest that read back as the same number; there is an exponent from 1e16 on and below 0.0001.
+    """
+    x = x.cast("double")
+    tried = [F.format_string(f"%.{n}e", x) for n in (14, 15, 16)]
+    written = F.when(tried[0].cast("double") == x, tried[0]).when(tried[1].cast("double") == x, tried[1]).otherwise(tried[2])
+    part = lambda i: F.regexp_extract(written, r"^(-?)(\d)\.(\d*?)0*e([+-]\d+)$", i)
+    sign, digits, power = part(1), F.concat(part(2), part(3)), part(4).cast("int")
+    n = F.length(digits)
+    whole = F.when(power + 1 >= n, F.concat(F.rpad(digits, power + 1, "0"), F.lit(".0"))).otherwise(F.concat(F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2)))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    tail = F.when(n > 1, F.concat(F.lit("."), part(3))).otherwise(F.lit(""))
+    size = F.abs(power).cast("string")
+    exponent = F.concat(F.when(power < 0, "-").otherwise("+"), F.lpad(size, F.greatest(F.lit(2), F.length(size)), "0"))
+    laid = F.when((power >= 0) & (power < 16), whole).when((power < 0) & (power >= -4), small).otherwise(F.concat(part(2), tail, F.lit("e"), exponent))
+    odd = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf")
+    return F.when(x.isNotNull(), F.coalesce(odd, F.concat(sign, laid)))
 
 
 def clip_uuid(session: Column, start: Column, end: Column) -> Column:

@@ -55,16 +55,16 @@ def keyword_in_caption(caption: Column, keyword: str) -> Column:
     return F.coalesce(low.contains(KEYWORD_NEEDS) & low.rlike("|".join(KEYWORD_PHRASES)), F.lit(False))
 
 
-# The headings of the three conditions that a caption names, in order, and the tags they give.
-CONDITIONS = (("visibility condition", "visibility"), ("road surface condition", "road_condition"), ("illumination condition", "illumination"))
+# The pattern of the three conditions that a caption names, in order, and the tags that its groups give.
+CONDITIONS = "visibility condition(.+)road surface condition(.+)illumination condition(.+)"
+CONDITION_TAGS = ("visibility", "road_condition", "illumination")
 
 
 def condition_tags(caption: Column) -> Column:
     """A struct of the three conditions of a caption, lower-cased without ``*``, ``:`` and trailing dots; null if it lacks any."""
     low = F.translate(F.lower(F.regexp_replace(caption, r"\r\n|[\n\r]", " ")), "*:", "")
-    pattern = "".join(f"{heading}(.+)" for heading, _ in CONDITIONS)
-    part = lambda i: F.regexp_replace(F.trim(F.regexp_extract(low, pattern, i)), r"\.+$", "")
-    return F.when(low.rlike(pattern), F.struct(*(part(i + 1).alias(name) for i, (_, name) in enumerate(CONDITIONS))))
+    part = lambda i: F.regexp_replace(F.trim(F.regexp_extract(low, CONDITIONS, i)), r"\.+$", "")
+    return F.when(low.rlike(CONDITIONS), F.struct(*(part(i + 1).alias(name) for i, name in enumerate(CONDITION_TAGS))))
 
 
 def events_payload(answer: Column) -> Column:

@@ -1,7 +1,8 @@
 """Order-dependent grouping: greedy packing by bytes, chunks that close on reach, near-equal chunks, part numbers.
 
 A fold over one group is inherently sequential. ``packed`` sorts each group inside the shuffle and folds it in a stream
-of Arrow batches, so a task holds one batch however large a group is.
+of Arrow batches, so a task holds one batch however large a group is. Give it narrow rows (key, order, size) and join
+what is heavy to the numbers.
 """
 
 from __future__ import annotations

@@ -59,19 +59,22 @@ def with_kernel(df: DataFrame, kernel: Kernel, batch_rows: int = 256, attempts:
 
 
 class HashEmbedding:
-    """A deterministic stand-in for an embedding model: numbers in [-1, 1) from a digest of the text."""
+    """A deterministic stand-in for an embedding model: up to 32 numbers in [-1, 1), the bytes of the text's SHA-256."""
 
     output = "embedding array<float>"
 
-    def __init__(self, column: str, size: int = 16) -> None:
-        self.column, self.size = column, size
+    def __init__(self, column: str, size: int = 16, refuses: tuple[str, str] | None = None) -> None:
+        """``refuses``: a column and a value of it that the kernel fails on."""
+        self.column, self.size, self.refuses = column, size, refuses
 
     def setup(self) -> None: ...
 
     def destroy(self) -> None: ...
 
     def run(self, batch: pa.RecordBatch) -> list[pa.Array]:
-        made = [np.frombuffer(hashlib.shake_128((t or "").encode()).digest(self.size), np.uint8).astype(np.float32) / 128 - 1 for t in batch.column(self.column).to_pylist()]
+        if self.refuses and self.refuses[1] in batch.column(self.refuses[0]).to_pylist():
+            raise ValueError(f"no {self.refuses[1]}")
+        made = [np.frombuffer(hashlib.sha256((t or "").encode()).digest()[: self.size], np.uint8).astype(np.float32) / 128 - 1 for t in batch.column(self.column).to_pylist()]
         return [pa.array(made, pa.list_(pa.float32()))]
 
 

@@ -99,10 +99,14 @@ def finite(values: Column) -> Column:
 
 
 def trace_spans(lines: DataFrame) -> DataFrame:
-    """name, ids and times in ns of JSON trace lines; lines that do not parse are left out."""
+    """name, ids and times in ns of JSON trace lines; lines that do not parse are left out.
+
+    Times keep all nine digits of their fraction: the JVM's timestamps have six.
+    """
     j = F.from_json("value", "name string, context struct<trace_id:string,span_id:string>, start_time string, end_time string")
     hexed = lambda c: F.when(c.isNull() | (c == ""), "0").otherwise(F.regexp_replace(F.lower(c), "^0x0*(?=.)", ""))
-    ns = lambda c: F.unix_micros(F.try_to_timestamp(c)) * 1000
+    whole = lambda c: F.unix_seconds(F.try_to_timestamp(F.regexp_replace(c, r"\.\d+", "")))
+    ns = lambda c: whole(c) * 1_000_000_000 + F.rpad(F.regexp_extract(c, r"\.(\d{1,9})", 1), 9, "0").cast("long")
     rows = lines.withColumn("j", j).filter(F.col("j.name").isNotNull())
     return rows.select(F.col("j.name").alias("name"), hexed(F.col("j.context.trace_id")).alias("trace_id"), F.conv(hexed(F.col("j.context.span_id")), 16, 10).alias("span_id"), ns(F.col("j.start_time")).alias("start_ns"), ns(F.col("j.end_time")).alias("end_ns"))
 
@@ -110,7 +114,8 @@ def trace_spans(lines: DataFrame) -> DataFrame:
 def sampled(rows: DataFrame, key: str, rate: float, seed: int = 0) -> DataFrame:
     """Rows whose key's hash falls below the rate, held to [0, 1]: the same rows whatever the partitioning."""
     share = min(1.0, max(0.0, rate))
-    return rows.filter(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+    drawn = F.conv(F.substring(F.md5(F.concat_ws("/", F.lit(str(seed)), F.col(key).cast("string"))), 1, 8), 16, 10).cast("long")
+    return rows.filter(drawn < int(share * (1 << 32)))
 
 
 def nested_bytes(*columns: Column) -> Column:

@@ -21,10 +21,13 @@ TILE = 1024
 
 
 def centroids(rows: DataFrame, cluster: str, vector: str) -> DataFrame:
-    """(cluster, centroid) as the unit vector of the mean of each cluster's unit vectors."""
-    spread = rows.select(cluster, F.posexplode(unit(F.col(vector))).alias("__i", "__x"))
-    means = spread.groupBy(cluster, "__i").agg(F.avg("__x").alias("__x"))
-    return means.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", "__x"))), lambda s: s["__x"]).alias("__c")).select(cluster, unit(F.col("__c")).alias("centroid"))
+    """(cluster, centroid) as the unit vector of the mean of each cluster's unit vectors; one vector a task and cluster is shuffled."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    units = rows.select(cluster, array_to_vector(unit(F.col(vector))).alias("__u"))
+    means = units.groupBy(cluster).agg(Summarizer.mean(F.col("__u")).alias("__c"))
+    return means.select(cluster, unit(vector_to_array("__c")).alias("centroid"))
 
 
 def ranked(rows: DataFrame, key: str, cluster: str, vector: str, middles: DataFrame, digits: int = 9) -> DataFrame:

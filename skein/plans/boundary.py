@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import ids
 from skein.operators import grouping, kernels, routing, spans, summary
-from skein.plans.tables import table
+from skein.plans.tables import joined, table
 from skein.session import shared_folder
 from skein.sources import sinks
 from skein.streaming import arrivals
@@ -39,9 +39,14 @@ SELECT user_id, min(t) AS first, max(t) AS last, count(*) AS n_rows FROM g GROUP
 
 
 def kernel_embedding(spark: SparkSession, d: str) -> DataFrame:
-    """Embeddings of a stub kernel for every document, by their length and errors."""
-    made = kernels.with_kernel(table(spark, d, "documents").select("doc_id", "text"), kernels.HashEmbedding("text", 8))
-    return made.select("doc_id", F.size("embedding").cast("long").alias("n"), F.col("kernel_error").alias("error"))
+    """Embeddings of a deterministic kernel for every document, which fails on some languages: rows stay, with the error."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    made = kernels.with_kernel(docs, kernels.HashEmbedding("text", 8, refuses=("lang", "fr")), batch_rows=1)
+    return made.select("doc_id", joined(F.transform("embedding", lambda x: ((x + 1) * 128).cast("int"))).alias("embedding"), F.col("kernel_error").alias("error"))
+
+
+EMBEDDING_SQL = """SELECT doc_id, CASE WHEN lang <> 'fr' THEN array_to_string(list_transform(range(8), lambda i: ('0x' || sha256(text)[2 * i + 1 : 2 * i + 2])::INT), ',') END AS embedding,
+  CASE WHEN lang = 'fr' THEN 'ValueError: no fr' END AS error FROM documents"""
 
 
 def stage_compare(spark: SparkSession, d: str) -> DataFrame:
@@ -61,7 +66,7 @@ UNION ALL SELECT f, n, 0 FROM (SELECT count(*) AS n FROM part) t, (VALUES ('p_na
 def shard_archives(spark: SparkSession, d: str) -> DataFrame:
     """Documents of each source as tars of about 20,000 characters: keys and bytes of each archive."""
     docs = table(spark, d, "documents").select("source", "doc_id", "text", "n_chars")
-    grouped = grouping.packed(docs, "source", ["doc_id"], "n_chars", 20_000)
+    grouped = grouping.packed(docs.drop("text"), "source", ["doc_id"], "n_chars", 20_000).join(docs.select("doc_id", "text"), "doc_id")
     path = F.concat_ws("/", "source", ids.part_path(F.floor(F.col("group_no") / 3)), ids.tar_path(F.col("group_no") % 3))
     rows = grouped.select(path.alias("path"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), F.encode("text", "utf-8").alias("data"))
     return sinks.archives(rows, "path", "name", "data").select("path", "n_keys", F.octet_length("content").cast("long").alias("n_bytes"))
@@ -97,19 +102,20 @@ SELECT source, count(*) AS n_clips, count(*) FILTER (why IS NULL) AS n_kept, cou
 
 
 def image_summary(spark: SparkSession, d: str) -> DataFrame:
-    """Labelled documents as images: counts and ids of rejected ones, in slices of their hash, added up."""
+    """Labelled documents as images: the counts, and every rejected one's id, from slices of their hash."""
     rows = table(spark, d, "labels").select("doc_id", (F.col("quality") == 1).alias("ok"))
     made = summary.outcome_lists(rows, "doc_id", "ok")
-    return made.agg(F.sum("n").alias("n"), F.sum("n_passed").alias("n_passed"), F.sum(F.size("rejected")).alias("n_rejected"), F.sum(F.aggregate("rejected", F.lit(0).cast("long"), lambda a, x: a + x)).alias("id_sum"))
+    counts = made.agg(F.sum("n").alias("all"), F.sum("n_passed").alias("passed")).select(F.inline(F.array(F.struct(F.lit("all").alias("what"), F.col("all").alias("n")), F.struct(F.lit("passed").alias("what"), F.col("passed").alias("n")))))
+    return counts.unionByName(made.select(F.lit("rejected").alias("what"), F.explode("rejected").alias("n")))
 
 
-IMAGE_SQL = "SELECT count(*) AS n, count(*) FILTER (quality = 1) AS n_passed, count(*) FILTER (quality <> 1) AS n_rejected, coalesce(sum(doc_id) FILTER (quality <> 1), 0)::BIGINT AS id_sum FROM labels"
+IMAGE_SQL = """SELECT 'all' AS what, count(*) AS n FROM labels UNION ALL SELECT 'passed', count(*) FILTER (quality = 1) FROM labels UNION ALL SELECT 'rejected', doc_id FROM labels WHERE quality <> 1"""
 
 QUERIES = {f.__name__: f for f in (stream_windows, event_sessions, kernel_embedding, stage_compare, shard_archives, split_program, image_summary)}
 ORACLES = {
     "stream_windows": STREAM_SQL,
     "event_sessions": SESSIONS_SQL,
-    "kernel_embedding": "SELECT doc_id, 8::BIGINT AS n, NULL::VARCHAR AS error FROM documents",
+    "kernel_embedding": EMBEDDING_SQL,
     "stage_compare": COMPARE_SQL,
     "shard_archives": ARCHIVE_SQL,
     "split_program": SPLIT_SQL,

@@ -17,7 +17,7 @@ def duration():
 def fixed_stride_clips(spark: SparkSession, d: str) -> DataFrame:
     """Documents as recordings (a second for each 100 characters) cut into clips of 10 s; ids by name."""
     docs = table(spark, d, "documents")
-    cut = spans.fixed_stride(F.lit(0.0), duration(), 10.0, 10.0, 2.0, 50)
+    cut = spans.fixed_stride(F.lit(0.0), duration(), 10.0, 10.0, 2.0)
     clips = docs.select("doc_id", "source", F.posexplode(cut).alias("clip_idx", "s"))
     start, end = F.col("s.start"), F.col("s.end")
     return clips.select("doc_id", F.col("clip_idx").cast("long").alias("clip_idx"), start.alias("start_s"), end.alias("end_s"), ids.clip_uuid(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")), start, end).alias("clip_uuid"))
@@ -31,11 +31,20 @@ def _uuid_sql(name: str) -> str:
 
 CLIPS_SQL = """
 SELECT doc_id, source, i AS clip_idx, i * 10.0::DOUBLE AS start_s, least(i * 10.0::DOUBLE + 10.0, n_chars / 100.0::DOUBLE) AS end_s
-FROM documents, generate_series(0, 49) AS g(i)
+FROM documents, generate_series(0, 100000) AS g(i)
 WHERE i * 10.0 < n_chars / 100.0::DOUBLE AND least(i * 10.0::DOUBLE + 10.0, n_chars / 100.0::DOUBLE) - i * 10.0::DOUBLE >= 2.0"""
 FIXED_STRIDE_SQL = f"SELECT doc_id, clip_idx, start_s, end_s, {_uuid_sql('$n')} AS clip_uuid FROM ({CLIPS_SQL}) t".replace("$n", "('doc-' || doc_id || '_' || start_s::VARCHAR || '_' || end_s::VARCHAR)")
 
 
+def limited_clips(spark: SparkSession, d: str) -> DataFrame:
+    """The first 50 clips of each recording at most, a limit that a run may set: how many, and where the last ends."""
+    cut = spans.fixed_stride(F.lit(0.0), duration(), 10.0, 10.0, 2.0, 50)
+    return table(spark, d, "documents").select("doc_id", cut.alias("s")).filter(F.size("s") > 0).select("doc_id", F.size("s").cast("long").alias("n_clips"), F.element_at("s", -1)["end"].alias("last_s"))
+
+
+LIMITED_SQL = f"SELECT doc_id, count(*) AS n_clips, max(end_s) AS last_s FROM ({CLIPS_SQL}) t WHERE clip_idx < 50 GROUP BY doc_id"
+
+
 def overlapping_clips(spark: SparkSession, d: str) -> DataFrame:
     """Clips of 8 s every 4 s, at least 3 s long: how many a recording has and how many seconds they come to."""
     docs = table(spark, d, "documents")
@@ -53,7 +62,7 @@ GROUP BY doc_id"""
 def clip_summary(spark: SparkSession, d: str) -> DataFrame:
     """Clips, seconds and longest clip of each source."""
     docs = table(spark, d, "documents")
-    clips = docs.select("source", F.inline(spans.fixed_stride(F.lit(0.0), duration(), 10.0, 10.0, 2.0, 50)))
+    clips = docs.select("source", F.inline(spans.fixed_stride(F.lit(0.0), duration(), 10.0, 10.0, 2.0)))
     return summary.clip_stats(clips, "source", "start", "end")
 
 
@@ -166,14 +175,14 @@ FROM w GROUP BY conv_id"""
 
 
 def tolerant_json(spark: SparkSession, d: str) -> DataFrame:
-    """Event properties inside a noisy model answer, parsed again; a seventh of them is cut off."""
-    ev = table(spark, d, "events").withColumn("noisy", F.expr("'<think>{</think><answer>\\n  ' || CASE WHEN event_id % 7 = 0 THEN substr(props, 1, length(props) - 1) ELSE props END || '</answer> and so on }'"))
+    """Event properties inside a noisy model answer, parsed again; a seventh of them lacks its brace, another is no JSON."""
+    ev = table(spark, d, "events").withColumn("noisy", F.expr("'<think>{</think><answer>\\n  ' || CASE WHEN event_id % 7 = 0 THEN substr(props, 1, length(props) - 1) || '</answer> and so on' WHEN event_id % 7 = 1 THEN '{\"a\": b c}</answer>' ELSE props || '</answer> and so on }' END"))
     m = text.tolerant_map(F.col("noisy"))
-    return ev.select("event_id", (m.isNotNull() & (F.col("event_id") % 7 != 0)).alias("parsed"), F.when(F.col("event_id") % 7 != 0, F.array_join(F.array_sort(F.map_keys(m)), ",")).alias("keys"))
+    return ev.select("event_id", m.isNotNull().alias("parsed"), F.array_join(F.array_sort(F.map_keys(m)), ",").alias("keys"))
 
 
 TOLERANT_SQL = """
-SELECT event_id, event_id % 7 <> 0 AS parsed, CASE WHEN event_id % 7 <> 0 THEN array_to_string(list_sort(json_keys(props::JSON)), ',') END AS keys FROM events"""
+SELECT event_id, event_id % 7 > 1 AS parsed, CASE WHEN event_id % 7 > 1 THEN array_to_string(list_sort(json_keys(props::JSON)), ',') END AS keys FROM events"""
 
 
 def keyword_filter(spark: SparkSession, d: str) -> DataFrame:
@@ -231,10 +240,20 @@ def iou_tracks(spark: SparkSession, d: str) -> DataFrame:
     return found.join(share, "user_id")
 
 
-QUERIES = {f.__name__: f for f in (clip_summary, fixed_stride_clips, overlapping_clips, split_summary, caption_windows, scene_islands, route_filters, semantic_filter, classifier_filter, tolerant_json, keyword_filter, bin_assign, resized, iou_tracks)}
+# Boxes of the query overlap by 0.9 only if they are the same, so a track is a run of one box without a gap of over 120.
+TRACKS_SQL = """WITH b AS (SELECT DISTINCT user_id, epoch_us(ts) // 3600000000 AS f, event_id % 5 AS x, event_id % 3 AS y FROM events),
+g AS (SELECT *, coalesce(f - lag(f) OVER (PARTITION BY user_id, x, y ORDER BY f), 1000) > 120 AS new FROM b), r AS (SELECT *, sum(new::INT) OVER (PARTITION BY user_id, x, y ORDER BY f) AS k FROM g),
+t AS (SELECT user_id, max(f) - min(f) AS long, count(*) AS n FROM r GROUP BY user_id, x, y, k), u AS (SELECT user_id, count(*) AS n_tracks, sum(n)::BIGINT AS n_boxes, max(long) AS longest FROM t GROUP BY user_id),
+c AS (SELECT user_id, f, bool_or((x * 20 + 20 <= 25 OR x * 20 >= 75) AND (y * 30 + 15 <= 18.75 OR y * 30 >= 56.25)) AS corner FROM b GROUP BY user_id, f),
+s AS (SELECT user_id, count(*) FILTER (corner) / count(*)::DOUBLE AS share FROM c GROUP BY user_id)
+SELECT user_id, n_tracks, n_boxes, longest, round(share, 4) AS share, share > 0.1 AS rejected FROM u JOIN s USING (user_id)"""
+
+
+QUERIES = {f.__name__: f for f in (clip_summary, fixed_stride_clips, limited_clips, overlapping_clips, split_summary, caption_windows, scene_islands, route_filters, semantic_filter, classifier_filter, tolerant_json, keyword_filter, bin_assign, resized, iou_tracks)}
 ORACLES = {
     "clip_summary": CLIP_SUMMARY_SQL,
     "fixed_stride_clips": FIXED_STRIDE_SQL,
+    "limited_clips": LIMITED_SQL,
     "overlapping_clips": OVERLAPPING_SQL,
     "split_summary": SPLIT_SUMMARY_SQL,
     "caption_windows": CAPTION_WINDOWS_SQL,
@@ -246,4 +265,5 @@ ORACLES = {
     "keyword_filter": KEYWORD_SQL,
     "bin_assign": BIN_SQL,
     "resized": RESIZED_SQL,
+    "iou_tracks": TRACKS_SQL,
 }

@@ -63,11 +63,11 @@ GRID_SQL = "SELECT doc_id, n_chars * 8 // 100 + 1 AS n, 1000000000 + (n_chars *
 
 def trace_spans(spark: SparkSession, d: str) -> DataFrame:
     """Events as trace lines, each eleventh broken, parsed again."""
-    line = F.expr("""CASE WHEN event_id % 11 = 0 THEN '{' ELSE '{"name": "' || event_type || '", "context": {"trace_id": "0x00ff", "span_id": "0x' || lower(hex(event_id + 1)) || '"}, "start_time": "2024-01-01T00:00:' || lpad(CAST(event_id % 60 AS STRING), 2, '0') || '.000001Z", "end_time": null}' END""")
+    line = F.expr("""CASE WHEN event_id % 11 = 0 THEN '{' ELSE '{"name": "' || event_type || '", "context": {"trace_id": "0x00ff", "span_id": "0x' || lower(hex(event_id + 1)) || '"}, "start_time": "2024-01-01T00:00:' || lpad(CAST(event_id % 60 AS STRING), 2, '0') || '.123456' || lpad(CAST(event_id % 1000 AS STRING), 3, '0') || 'Z", "end_time": null}' END""")
     return records.trace_spans(table(spark, d, "events").select(line.alias("value")))
 
 
-TRACE_SQL = """SELECT event_type AS name, 'ff' AS trace_id, (event_id + 1)::VARCHAR AS span_id, (1704067200 + event_id % 60) * 1000000000 + 1000 AS start_ns, NULL::BIGINT AS end_ns FROM events WHERE event_id % 11 <> 0"""
+TRACE_SQL = """SELECT event_type AS name, 'ff' AS trace_id, (event_id + 1)::VARCHAR AS span_id, (1704067200 + event_id % 60) * 1000000000 + 123456000 + event_id % 1000 AS start_ns, NULL::BIGINT AS end_ns FROM events WHERE event_id % 11 <> 0"""
 
 
 def metadata_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -85,5 +85,7 @@ def sampled_checkpoint(spark: SparkSession, d: str) -> DataFrame:
     return records.sampled(table(spark, d, "orders"), "o_orderkey", 0.1).groupBy("o_orderpriority").agg(F.count("*").alias("n_rows"))
 
 
+SAMPLED_SQL = f"""SELECT o_orderpriority, count(*) AS n_rows FROM orders WHERE ('0x' || left(md5('0/' || o_orderkey), 8))::BIGINT < {int(0.1 * (1 << 32))} GROUP BY o_orderpriority"""
+
 QUERIES = {f.__name__: f for f in (clip_validity, image_filter, decode_support, prompt_choice, sample_grid, trace_spans, metadata_rows, sampled_checkpoint)}
-ORACLES = {"clip_validity": VALIDITY_SQL, "image_filter": IMAGE_SQL, "decode_support": DECODE_SQL, "prompt_choice": PROMPT_SQL, "sample_grid": GRID_SQL, "trace_spans": TRACE_SQL, "metadata_rows": METADATA_SQL}
+ORACLES = {"clip_validity": VALIDITY_SQL, "image_filter": IMAGE_SQL, "decode_support": DECODE_SQL, "prompt_choice": PROMPT_SQL, "sample_grid": GRID_SQL, "trace_spans": TRACE_SQL, "metadata_rows": METADATA_SQL, "sampled_checkpoint": SAMPLED_SQL}

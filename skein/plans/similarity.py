@@ -73,9 +73,16 @@ SELECT vec_id, text_id, round(p, 4) AS probability, rank FROM p WHERE rank <= 3"
 
 
 def kmeans_assign(spark: SparkSession, d: str) -> DataFrame:
-    """Clusters of an MLlib k-means with cosine distance, with their sizes."""
-    model, features = semdedup.kmeans_fit(table(spark, d, "embeddings"), "embedding", 8)
-    return model.transform(features).groupBy(F.col("prediction").alias("cluster")).agg(F.count("*").alias("n_rows"))
+    """An MLlib k-means with cosine distance, held against exact assignment: rows, rows whose cluster is not the nearest by
+    more than rounding, and whether the clusters are tighter than one cluster of all rows."""
+    rows = table(spark, d, "embeddings")
+    model, features = semdedup.kmeans_fit(rows, "embedding", 8)
+    middles = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "k int, centroid array<double>")  # eight
+    own = model.transform(features).select("vec_id", F.col("prediction").alias("k"), vectors.unit(F.col("embedding")).alias("u")).join(middles.select("k", vectors.unit(F.col("centroid")).alias("c")), "k")
+    own = own.select("vec_id", vectors.dot(F.col("u"), F.col("c")).alias("own"))
+    best = semdedup.nearest_centroid(rows, "vec_id", "embedding", middles.select("k", vectors.unit(F.col("centroid")).alias("centroid")), "k").select("vec_id", F.col("score").alias("best"))
+    one = semdedup.nearest_centroid(rows, "vec_id", "embedding", semdedup.centroids(rows.withColumn("k", F.lit(0)), "k", "embedding"), "k").select("vec_id", F.col("score").alias("one"))
+    return own.join(best, "vec_id").join(one, "vec_id").agg(F.count("*").alias("n_rows"), F.count_if(F.col("best") - F.col("own") > 1e-6).alias("n_wrong"), (F.avg("own") > F.avg("one")).alias("tighter"))
 
 
 def vector_norms(spark: SparkSession, d: str) -> DataFrame:
@@ -89,5 +96,6 @@ ORACLES = {
     "semdedup_prune": PRUNE_SQL,
     "nearest_centroid": CENTROID_SQL,
     "text_match": MATCH_SQL,
+    "kmeans_assign": "SELECT count(*) AS n_rows, 0::BIGINT AS n_wrong, true AS tighter FROM embeddings",
     "vector_norms": "SELECT vec_id, round(sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 4) AS norm FROM embeddings",
 }

@@ -304,3 +304,15 @@ def test_records(spark):
     assert one(spark, records.envelope("events", F.array(F.lit(1)))) == '{"events":[1]}'
     assert records.sampled(spark.range(1000), "id", 5.0).count() == 1000 and records.sampled(spark.range(1000), "id", -1).count() == 0
     assert one(spark, records.nested_bytes(F.lit("é"), F.lit(None).cast("string"))) == 2
+
+
+def test_floats_are_written_as_in_python(spark):
+    import random
+
+    from skein.functions import ids
+
+    rng = random.Random(4)
+    values = [0.0, -0.0, 1.0, 0.5, 1e7, 12345678.5, -98765432.125, 1e15, 1234567890123456.0, 1e16, 1.5e16, 1e22, 0.001, 0.0001, 0.00012345, 0.00001, 1.5e-5, -2.5e-7, 1e-100, 1.7e308, float("nan"), float("inf"), float("-inf")]
+    values += [rng.choice([-1, 1]) * rng.random() * 10.0 ** rng.randint(-3, 20) for _ in range(300)]
+    rows = spark.createDataFrame([(x,) for x in values], "x double").select("x", ids.float_text(F.col("x")).alias("t")).collect()
+    assert [r.t for r in rows] == [repr(r.x) for r in rows]
