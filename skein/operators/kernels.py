@@ -78,6 +78,25 @@ class HashEmbedding:
         return [pa.array(made, pa.list_(pa.float32()))]
 
 
+class Rowwise:
+    """A kernel of one function from a row's columns to a row of answers; for stand-ins and light work."""
+
+    def __init__(self, output: str, function: Callable, *columns: str) -> None:
+        """``function`` gets the columns' values and returns one value for each output column."""
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        self.output, self.function, self.columns = output, function, columns
+        self.kinds = [to_arrow_type(f.dataType) for f in T.StructType.fromDDL(output).fields]
+
+    def setup(self) -> None: ...
+
+    def destroy(self) -> None: ...
+
+    def run(self, batch: pa.RecordBatch) -> list[pa.Array]:
+        rows = [self.function(*values) for values in zip(*(batch.column(c).to_pylist() for c in self.columns))]
+        return [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(self.kinds)]
+
+
 class AsyncCalls:
     """Calls an async function for every value, at most ``width`` at once; each failure is its row's own error."""
 
