@@ -123,9 +123,13 @@ def nested_bytes(*columns: Column) -> Column:
     return sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(0))
 
 
-def append_run(df: DataFrame, url: str, table: str, run: str, **options: str) -> None:
-    """Appends rows to a database table under a run id, unless the run is there already: a retry changes nothing."""
+def append_run(df: DataFrame, url: str, table: str, run: str, limit: str = "LIMIT 1", **options: str) -> None:
+    """Appends rows to a database table under a run id, unless the run is there already: a retry changes nothing.
+
+    ``limit`` is how the database's dialect asks for one row. The run id is a value, quoted as such.
+    """
     spark: SparkSession = df.sparkSession
     reader = spark.read.format("jdbc").option("url", url).options(**options)
-    if reader.option("query", f"SELECT 1 AS x FROM {table} WHERE run_uuid = '{run.replace(chr(39), chr(39) * 2)}' LIMIT 1").load().isEmpty():
+    value = run.replace("'", "''")
+    if reader.option("query", f"SELECT 1 AS x FROM {table} WHERE \"run_uuid\" = '{value}' {limit}").load().isEmpty():
         df.withColumn("run_uuid", F.lit(run)).write.format("jdbc").option("url", url).option("dbtable", table).options(**options).mode("append").save()

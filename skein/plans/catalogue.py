@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from skein.plans import boundary, cutting, framing, recording, sessions, similarity, staging, timing
+from skein.plans import boundary, cutting, framing, recording, sessions, similarity, staging, storage, timing
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for part in (cutting, sessions, similarity, timing, framing, recording, staging, boundary):
+for part in (cutting, sessions, similarity, timing, framing, recording, staging, storage, boundary):
     QUERIES |= part.QUERIES
     ORACLES |= part.ORACLES

@@ -7,12 +7,15 @@ reads and need no driver-side loop.
 from __future__ import annotations
 
 import io
+import json
 import tarfile
+import time
 import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skein.functions.text import has_extension, is_uuid, parent_folder, relative_path
 
@@ -73,6 +76,48 @@ def embeddings(spark: SparkSession, paths: list[str] | None, folder: str) -> Dat
     return spark.read.option("recursiveFileLookup", "true").parquet(*(paths or [folder])).select("id", "embedding")
 
 
+def parquet_files(spark: SparkSession, folder: str, limit: int = 0) -> DataFrame:
+    """Listing of the Parquet files below a folder, by path; ``limit`` keeps the first ones only."""
+    found = listed(spark, folder, "parquet").orderBy("path")
+    return found.limit(limit) if limit else found
+
+
+def read(paths: DataFrame, path: str = "path", attempts: int = 3, kind: str = "bytes") -> DataFrame:
+    """``paths`` with ``content`` (bytes, or text for kinds text and json) and ``errors``, each file tried ``attempts`` times.
+
+    Reads go through Arrow's file systems. A file that cannot be read, or json that does not parse, keeps its row.
+    """
+    out = "binary" if kind == "bytes" else "string"
+    schema = T.StructType([*paths.schema.fields, *T.StructType.fromDDL(f"content {out}, errors map<string,string>").fields])
+
+    def one(name: str):
+        from pyarrow import fs
+
+        from skein.sources.sinks import uri
+
+        for k in range(attempts):
+            try:
+                system, at = fs.FileSystem.from_uri(uri(name))
+                with system.open_input_stream(at) as f:
+                    data = f.read()
+                if kind == "bytes":
+                    return data, []
+                if kind == "json":
+                    json.loads(data)
+                return data.decode(), []
+            except (OSError, ValueError) as e:  # a file that cannot be read is data here
+                error = type(e).__name__
+                time.sleep(0.01 * 2**k)
+        return None, [("read", error)]
+
+    def run(batches):
+        for b in batches:
+            made = [one(p) for p in b.column(path).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([c for c, _ in made], pa.binary() if kind == "bytes" else pa.string()), pa.array([e for _, e in made], pa.map_(pa.string(), pa.string()))], names=schema.names)
+
+    return paths.mapInArrow(run, schema)
+
+
 def members(kind: str, data: bytes) -> list[tuple[str, bytes]]:
     """Names and contents of a tar or zip archive's files."""
     if kind == "zip":

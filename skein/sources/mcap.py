@@ -64,6 +64,30 @@ def messages(data: bytes, topic: str, start: int, end: int, topics: dict[int, st
                 yield from messages(inner, topic, start, end, topics)
 
 
+def written(topic: str, rows: list[tuple[int, int, bytes]]) -> bytes:
+    """A recording of one topic's (log time, sequence, payload) messages in one zstd chunk."""
+    import zstandard
+
+    text = lambda t: struct.pack("<I", len(t.encode())) + t.encode()
+    record = lambda op, body: struct.pack("<BQ", op, len(body)) + body
+    inner = record(CHANNEL, struct.pack("<HH", 1, 0) + text(topic) + text("raw") + struct.pack("<I", 0)) + b"".join(record(MESSAGE, struct.pack("<HIQQ", 1, seq, log, log) + data) for log, seq, data in rows)
+    times = [r[0] for r in rows] or [0]
+    packed = zstandard.ZstdCompressor().compress(inner)
+    return MAGIC + record(CHUNK, struct.pack("<QQQI", min(times), max(times), len(inner), 0) + text("zstd") + struct.pack("<Q", len(packed)) + packed)
+
+
+def recorded(rows: DataFrame, key: str, topic: str, log_time: str, payload: str) -> DataFrame:
+    """(path, content): a recording for each key, messages numbered in log-time order. A key is one recording."""
+    packed = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(log_time).alias("t"), F.col(payload).alias("p")))).alias("m"))
+
+    def run(batches):
+        for b in batches:
+            made = [written(topic, [(x["t"], i, x["p"]) for i, x in enumerate(m)]) for m in b.column("m").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(made, pa.binary())], names=["path", "content"])
+
+    return packed.select(F.concat(F.col(key).cast("string"), F.lit(".mcap")).alias("path"), "m").mapInArrow(run, "path string, content binary")
+
+
 def scanned(spark: SparkSession, path: str, topic: str, start: int = 0, end: int = 2**63 - 1) -> DataFrame:
     """file, log_time_ns, sequence and data of a topic's messages in [start, end), in log-time order within a file."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.mcap").load(path).select("path", "content")

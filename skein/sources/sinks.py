@@ -98,6 +98,11 @@ def archives(rows: DataFrame, path: str, name: str, data: str) -> DataFrame:
     return laid.mapInArrow(run, "path string, content binary, n_keys long")
 
 
+def uri(path: str) -> str:
+    """A path as Arrow's file systems read it."""
+    return path if "://" in path else f"file://{path.removeprefix('file:')}"
+
+
 def write_files(files: DataFrame, base: str) -> None:
     """Each row (path, content) as a file below ``base``, through Arrow's file systems (local, s3, hdfs, gs).
 
@@ -109,7 +114,9 @@ def write_files(files: DataFrame, base: str) -> None:
 
         from pyarrow import fs
 
-        system, root = fs.FileSystem.from_uri(base if "://" in base else f"file://{base}")
+        from skein.sources.sinks import uri
+
+        system, root = fs.FileSystem.from_uri(uri(base))
         for r in rows:
             target = f"{root}/{r.path}"
             system.create_dir(target.rsplit("/", 1)[0], recursive=True)
