@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -81,3 +81,35 @@ def assert_unique(df: DataFrame, *keys: str) -> None:
 def schema_changes(have: dict[str, str], want: dict[str, str]) -> list[tuple[str, str, str]]:
     """(action, column, type) that turn one table schema into another."""
     return [("add", c, t) for c, t in want.items() if c not in have] + [("drop", c, have[c]) for c in have if c not in want] + [("alter", c, want[c]) for c in want if c in have and have[c] != want[c]]
+
+
+def evolved(rows: DataFrame, want: dict[str, str]) -> DataFrame:
+    """``rows`` under another schema: columns dropped, added as nulls and cast; a value that does not fit is an error."""
+    have = dict(rows.dtypes)
+    return rows.select(*((F.col(c).cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in want.items()))
+
+
+def described(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """(table, column, type) of all tables of a database."""
+    rows = [(t.name, c.name, c.dataType) for t in spark.catalog.listTables(database) for c in spark.catalog.listColumns(t.name)]
+    return spark.createDataFrame(rows, "table string, column string, type string")
+
+
+def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Rows that name a parent that is not there: a foreign key's violations; null keys name none."""
+    return child.filter(F.col(key).isNotNull()).join(parent.select(key).distinct(), key, "left_anti")
+
+
+def deleted(tables: dict[str, DataFrame], links: list[tuple[str, str, str]], table: str, key: str, gone: DataFrame) -> dict[str, DataFrame]:
+    """The tables without the rows of ``table`` that ``gone`` (key) names, and without what refers to those.
+
+    ``links``: (child, parent, key), of each parent its own key in the child; parents before children.
+    """
+    left = dict(tables)
+    lost = {table: left[table].join(gone.select(key), key, "left_semi")}
+    left[table] = left[table].join(gone.select(key), key, "left_anti")
+    for child, parent, via in links:
+        if parent in lost:
+            lost[child] = left[child].join(lost[parent].select(via).distinct(), via, "left_semi")
+            left[child] = left[child].join(lost[parent].select(via).distinct(), via, "left_anti")
+    return left

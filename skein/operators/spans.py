@@ -80,3 +80,10 @@ def middle_frame(frames: Column) -> Column:
     """The middle element; of an even number the earlier one."""
     n = F.size(frames)
     return F.when(n > 0, F.get(frames, F.floor((n - 1) / 2).cast("int")))
+
+
+def batched(items: Column, size: int) -> Column:
+    """An array cut into batches of ``size`` items, the last one as long as what is left."""
+    n = F.ceil(F.size(items) / size).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.slice(items, i * size + 1, F.lit(size)))
+    return F.when(n > 0, cut).otherwise(F.filter(F.array(items), lambda x: F.lit(False)))

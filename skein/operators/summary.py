@@ -76,3 +76,10 @@ def video_hours_per_day(rows: DataFrame, seconds: str, minutes: str, nodes: int,
 def top_rows(rows: DataFrame, by: str, tie: str, n: int) -> DataFrame:
     """The n rows of greatest ``by``, ties by ``tie``: a report, not a filter."""
     return rows.orderBy(F.col(by).desc(), tie).limit(n)
+
+
+def folded_profiles(sessions: DataFrame, stack: str, samples: str) -> DataFrame:
+    """Samples of each call stack added up over all profiling sessions, with the share of all and the stack's depth."""
+    sums = sessions.groupBy(stack).agg(F.sum(samples).alias("samples"))
+    whole = sums.agg(F.sum("samples").alias("all"))
+    return sums.select(stack, "samples", F.round(F.col("samples") / whole.scalar(), 6).alias("share"), F.size(F.split(stack, ";")).cast("long").alias("depth"))

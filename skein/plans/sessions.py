@@ -234,8 +234,51 @@ def top_profile(spark: SparkSession, d: str) -> DataFrame:
     return summary.top_rows(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey", 20)
 
 
-QUERIES = {f.__name__: f for f in (resume_anti, sessions_not_clipped, caption_tasks, trajectory_tasks, sharding_tasks, trajectory_lookup, camera_order, camera_alignment, parent_dir_counts, pack_tars, chunk_close_on_reach, near_equal_chunks, caption_chain, even_chains, captions_doc, stage_perf, av_session_summary, completion_rollup, catalog_rows, top_profile)}
+def schema_evolution(spark: SparkSession, d: str) -> DataFrame:
+    """Parts under a changed schema, beside the changes that lead to it."""
+    parts = table(spark, d, "part").select(F.col("p_partkey").cast("long").alias("p_partkey"), "p_name", F.col("p_size").cast("int").alias("p_size"))
+    want = {"p_partkey": "bigint", "p_size": "bigint", "note": "string"}
+    changes = ";".join(" ".join(c) for c in sorted(catalog.schema_changes(dict(parts.dtypes), want)))
+    return catalog.evolved(parts, want).withColumn("changes", F.lit(changes))
+
+
+EVOLUTION_SQL = "SELECT p_partkey::BIGINT AS p_partkey, p_size::BIGINT AS p_size, NULL::VARCHAR AS note, 'add note string;alter p_size bigint;drop p_name string' AS changes FROM part"
+
+
+def cascaded_delete(spark: SparkSession, d: str) -> DataFrame:
+    """Customers of one nation deleted with their orders and line items: what is left, and what then names no parent."""
+    tables = {
+        "customer": table(spark, d, "customer").select(F.col("c_custkey").alias("cust"), "c_nationkey"),
+        "orders": table(spark, d, "orders").select(F.col("o_orderkey").alias("ord"), F.col("o_custkey").alias("cust")),
+        "lineitem": table(spark, d, "lineitem").select(F.col("l_orderkey").alias("ord"), "l_linenumber"),
+    }
+    gone = tables["customer"].filter("c_nationkey = 3").select("cust")
+    left = catalog.deleted(tables, [("orders", "customer", "cust"), ("lineitem", "orders", "ord")], "customer", "cust", gone)
+    counts = [left[t].agg(F.count("*").alias("n_rows")).select(F.lit(t).alias("name"), "n_rows") for t in left]
+    counts.append(catalog.orphans(left["orders"], left["customer"], "cust").agg(F.count("*").alias("n_rows")).select(F.lit("orphans").alias("name"), "n_rows"))
+    counts.append(catalog.orphans(tables["orders"], left["customer"], "cust").agg(F.count("*").alias("n_rows")).select(F.lit("orphans before").alias("name"), "n_rows"))
+    return counts[0].union(counts[1]).union(counts[2]).union(counts[3]).union(counts[4])
+
+
+CASCADE_SQL = """WITH c AS (SELECT c_custkey AS k FROM customer WHERE c_nationkey <> 3 OR c_nationkey IS NULL), g AS (SELECT c_custkey AS k FROM customer WHERE c_nationkey = 3), o AS (SELECT o_orderkey AS k FROM orders WHERE o_custkey NOT IN (SELECT k FROM g)), go AS (SELECT o_orderkey AS k FROM orders WHERE o_custkey IN (SELECT k FROM g))
+SELECT 'customer' AS name, count(*) AS n_rows FROM c UNION ALL SELECT 'orders', count(*) FROM o UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT k FROM go)
+UNION ALL SELECT 'orphans', (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) UNION ALL SELECT 'orphans before', (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT k FROM c))"""
+
+
+def profile_fold(spark: SparkSession, d: str) -> DataFrame:
+    """Event types by user as call stacks of profiling sessions, folded over all sessions."""
+    ev = table(spark, d, "events").groupBy("user_id", F.concat_ws(";", F.lit("main"), "event_type").alias("stack")).agg(F.count("*").alias("samples"))
+    return summary.folded_profiles(ev, "stack", "samples")
+
+
+FOLD_SQL = "SELECT 'main;' || event_type AS stack, count(*) AS samples, round(count(*) / (SELECT count(*) FROM events)::DOUBLE, 6) AS share, 2::BIGINT AS depth FROM events GROUP BY event_type"
+
+
+QUERIES = {f.__name__: f for f in (schema_evolution, cascaded_delete, profile_fold, resume_anti, sessions_not_clipped, caption_tasks, trajectory_tasks, sharding_tasks, trajectory_lookup, camera_order, camera_alignment, parent_dir_counts, pack_tars, chunk_close_on_reach, near_equal_chunks, caption_chain, even_chains, captions_doc, stage_perf, av_session_summary, completion_rollup, catalog_rows, top_profile)}
 ORACLES = {
+    "schema_evolution": EVOLUTION_SQL,
+    "cascaded_delete": CASCADE_SQL,
+    "profile_fold": FOLD_SQL,
     "resume_anti": RESUME_SQL,
     "sessions_not_clipped": NOT_CLIPPED_SQL,
     "caption_tasks": CAPTION_TASKS_SQL,

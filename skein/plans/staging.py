@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators import kernels, shots, stages
+from skein.operators import kernels, shots, spans, stages
 from skein.plans.cutting import CAPTION_WINDOWS_SQL
 from skein.plans.framing import SAMPLING_SQL
 from skein.plans.tables import joined, micros, table
@@ -279,8 +279,35 @@ def assembled_program(spark: SparkSession, d: str) -> DataFrame:
 PROGRAM_SQL = """SELECT CASE WHEN s < 0.5 THEN 'aesthetic' ELSE 'kept' END AS outcome, count(*) AS n_rows
 FROM (SELECT list_sum(list_transform(range(4), lambda i: ('0x' || sha256(text)[2 * i + 1 : 2 * i + 2])::INT / 255.0::DOUBLE)) / 4 AS s FROM documents) t GROUP BY 1"""
 
-QUERIES = {f.__name__: f for f in (shot_windows, shot_stage, aesthetic_stage, caption_stage, text_encoder_stage, tracking_stage, event_stage, remux_stage, frame_rates_stage, window_split_stage, exact_decode_stage, overlay_text_stage, byte_stages, embedding_stages, camera_caption_stage, text_stages, assembled_program)}
+async def _called(prompt):
+    if len(prompt) % 11 == 0:
+        raise TimeoutError("no answer")
+    return prompt[:3].upper()
+
+
+def async_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Turns sent to an asynchronous service, a few at once; a call that fails twice is its row's own error."""
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "text")
+    made = kernels.with_kernel(rows, kernels.AsyncCalls("text", _called, width=16, attempts=2))
+    return made.select("conv_id", "turn", "answer", "answer_error", "kernel_error")
+
+
+ASYNC_SQL = "SELECT conv_id, turn, CASE WHEN length(text) % 11 > 0 THEN upper(text[1:3]) END AS answer, CASE WHEN length(text) % 11 = 0 THEN 'TimeoutError: no answer' END AS answer_error, NULL::VARCHAR AS kernel_error FROM conversations"
+
+
+def render_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Turns of each conversation in batches of three, as render work goes to a pool: their turns in order."""
+    turns = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("t"))
+    return turns.select("conv_id", F.posexplode(spans.batched(F.col("t"), 3)).alias("batch", "b")).select("conv_id", F.col("batch").cast("long").alias("batch"), joined(F.col("b")).alias("turns"))
+
+
+BATCHES_SQL = """WITH r AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations)
+SELECT conv_id, i // 3 AS batch, string_agg(turn::VARCHAR, ',' ORDER BY i) AS turns FROM r GROUP BY conv_id, i // 3"""
+
+QUERIES = {f.__name__: f for f in (async_answers, render_batches, shot_windows, shot_stage, aesthetic_stage, caption_stage, text_encoder_stage, tracking_stage, event_stage, remux_stage, frame_rates_stage, window_split_stage, exact_decode_stage, overlay_text_stage, byte_stages, embedding_stages, camera_caption_stage, text_stages, assembled_program)}
 ORACLES = {
+    "async_answers": ASYNC_SQL,
+    "render_batches": BATCHES_SQL,
     "shot_windows": SHOT_WINDOWS_SQL,
     "shot_stage": SHOT_STAGE_SQL,
     "aesthetic_stage": AESTHETIC_SQL,
