@@ -175,14 +175,15 @@ def element_sets(texts: DataFrame, weights: str) -> DataFrame:
 
 
 def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose Jaccard similarity reaches the threshold.
+    """The pairs (a, b, size) whose Jaccard similarity reaches the threshold; an a has no more b than the greatest size.
 
     The sets of all b of an a come in blocks, each after the set of a, which so is sent once a block and not with every
-    pair.
+    pair. There are as many blocks as the size asks for, in powers of two, so that a block stays small whatever pairs of
+    smaller sizes fall into it.
     """
-    blocks = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    heads = blocks.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("a", "block", F.lit(0).alias("kind"), F.col("a").alias("id"))
-    tails = pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("kind"), F.col("b").alias("id"))
+    blocks = F.greatest(F.lit(1), F.pow(F.lit(2), F.ceil(F.log2(F.col("size") / BLOCK)))).cast("int")
+    tails = pairs.select("a", F.pmod(F.xxhash64("b"), blocks).cast("int").alias("block"), F.lit(1).alias("kind"), F.col("b").alias("id"))
+    heads = tails.select("a", "block").distinct().select("a", "block", F.lit(0).alias("kind"), F.col("a").alias("id"))
     laid = heads.union(tails).join(sets, "id").repartition("a", "block").sortWithinPartitions("a", "block", "kind")
 
     def run(batches):
@@ -265,9 +266,9 @@ def _by_task(spread: DataFrame, group, schema: str) -> DataFrame:
 
 
 def _partners(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each member of a task with the likeliest few in other components, by signature.
+    """Pairs (a, b, size) of each member of a task with the likeliest few in other components, by signature.
 
-    ``rows``: key, i, j, block, id, label, sig.
+    ``rows``: key, i, j, block, id, label, sig, n (members of the bucket).
     """
 
     def group(t: pa.Table) -> pa.RecordBatch:
@@ -284,9 +285,10 @@ def _partners(rows: DataFrame) -> DataFrame:
                 best = np.argsort(-agree, kind="stable")[:PARTNERS]
                 out += [(ids[p], ids[right[q]]) for q in best if agree[q] >= 0]
         pairs = np.array(out, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(pairs.min(1)), pa.array(pairs.max(1))], names=["a", "b"])
+        size = pa.array([PARTNERS * t["n"][0].as_py()] * len(pairs), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(pairs.min(1)), pa.array(pairs.max(1)), size], names=["a", "b", "size"])
 
-    return _by_task(rows, group, "a long, b long").distinct()
+    return _by_task(rows, group, "a long, b long, size long").groupBy("a", "b").agg(F.max("size").alias("size"))
 
 
 def _intersections(parts: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -356,7 +358,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str, threshold: float, weights:
     wanted = nodes.join(shared.select("id").distinct(), "id", "left_semi").select(F.col("rep").alias("id"), "sub", F.col("id").alias("node"))
     once = texts.join(wanted, ["id", "sub"]).dropDuplicates(["node"]).select(F.col("node").alias("id"), "text")
     sets = checkpointed(element_sets(once, weights))
-    tried = shared.join(leader, "key").filter("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    tried = shared.join(leader, "key").filter("id != leader").groupBy(F.col("leader").alias("a"), F.col("id").alias("b")).agg(F.max("size").alias("size"))
     links = checkpointed(similar(checkpointed(tried), sets, threshold))
     labels = components(links)
     for step in ("partners", "all"):
@@ -366,7 +368,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str, threshold: float, weights:
             break
         members = named.join(mixed, "key")
         if step == "partners":
-            rows = _tasks(members, "id", "label").join(nodes.select("id", "sig"), "id")
+            rows = _tasks(members.withColumn("n", F.col("n_main") + F.col("n_rest")), "id", "label", "n").join(nodes.select("id", "sig"), "id")
             found = similar(checkpointed(_partners(rows)), sets, threshold)
         else:
             found = _links(_tasks(members, "id", "label").join(sets, "id"), threshold).distinct()
