@@ -6,7 +6,8 @@ where the top ``MASK_BITS`` bits are zero, the next byte begins a character and
 Stretches without a cut are split every ``MAX_CHUNK`` bytes. A chunk is known by the 64-bit digest of its bytes.
 
 The document with the least id keeps a chunk; in all others it is a copy, and so is a later one in the same document.
-Runs of neighbouring copies of ``MIN_RUN`` bytes or more are cut out. A chance agreement of digests therefore does
+Runs of neighbouring copies of ``MIN_RUN`` bytes or more are cut out: chunks are small, so that a passage is found up to
+a few bytes from its ends, but a shorter run is phrases and no passage. A chance agreement of digests therefore does
 nothing unless its neighbours agree too.
 
 Only (digest, id) pairs, one for each chunk and document, are shuffled: counts and least ids are combined before the
@@ -34,7 +35,7 @@ from skein.session import checkpointed
 WINDOW = 16
 MASK_BITS = 4
 MIN_CHUNK, MAX_CHUNK = 12, 512
-MIN_RUN = 64
+MIN_RUN = 128
 GEAR = (BYTE_CODES >> np.uint64(48)).astype(np.uint16)
 
 
