@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skein.llm import minhash
+from skein.llm import checks, minhash
 from skein.llm.bpe import op7_byte_bpe
 from skein.llm.chunk_dedup import op9_chunk_dedup
 from skein.llm.langid import op3_language_id
@@ -25,5 +25,5 @@ QUERIES = {
     "op8_ga_packing": op8_ga_packing,
     "op9_chunk_dedup": op9_chunk_dedup,
     "op10_secret_scan": op10_secret_scan,
-}
-ORACLES: dict[str, str] = {"op1_dart_minhash": minhash.ORACLE_SQL}
+} | checks.QUERIES
+ORACLES: dict[str, str] = {"op1_dart_minhash": minhash.ORACLE_SQL} | checks.ORACLES
