@@ -1,8 +1,9 @@
 """Semantic dedup: clusters of embeddings, distance ranks, and each row's greatest similarity to an earlier row.
 
 The comparison inside a cluster is quadratic by nature. It runs as tiles: a cluster's ranked rows are cut into blocks,
-each pair of blocks is a task that multiplies two small matrices, and only the best neighbour of each row leaves it.
-So a large cluster is many tasks of bounded size, and no pairs are emitted.
+each pair of blocks is a task that multiplies matrices of ``STEP`` rows at a time, and only the best neighbour of each row
+leaves it. So a large cluster is many tasks of bounded size, and no pairs are emitted; a row goes to as many tasks as its
+cluster has blocks, so blocks are as large as a task can hold.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from skein.functions.vectors import clipped_cosine, dot, let, unit
 from skein.session import checkpointed
 
-#: Rows of a tile's side.
-TILE = 1024
+#: Rows of a tile's side, and of the part of it that is multiplied at once.
+TILE = 8192
+STEP = 1024
 
 
 def centroids(rows: DataFrame, cluster: str, vector: str) -> DataFrame:
@@ -68,16 +70,19 @@ def max_earlier(rows: DataFrame, key: str, cluster: str) -> DataFrame:
 
     def tile(_, t: pa.Table) -> pa.Table:
         left = t.filter(t["left"])
-        right = t.filter(pa.compute.invert(t["left"]))
-        a = np.array(left["u"].to_pylist(), float)
-        b = np.array(right["u"].to_pylist(), float)
+        right = t.filter(pa.compute.invert(t["left"])).sort_by("rank")
+        a, b = (np.stack(x["u"].combine_chunks().to_numpy(zero_copy_only=False)) if len(x) else np.zeros((0, 0)) for x in (left, right))
         ra, rb = left["rank"].to_numpy(), right["rank"].to_numpy()
-        score = np.where(rb[None, :] < ra[:, None], np.clip(a @ b.T, -1, 1), -2.0)
-        order = np.argsort(rb, kind="stable")
-        best = order[score[:, order].argmax(1)]
-        there = score[np.arange(len(a)), best] > -2
-        rows_ = np.flatnonzero(there)
-        return pa.table({key: left[key].take(rows_), "max_id": right[key].take(best[rows_]), "score": score[rows_, best[rows_]], "rank": rb[best[rows_]]})
+        best, top = np.full(len(a), -1), np.full(len(a), -2.0)
+        for x in range(0, len(a), STEP):
+            for y in range(0, len(b), STEP):
+                score = np.where(rb[None, y : y + STEP] < ra[x : x + STEP, None], np.clip(a[x : x + STEP] @ b[y : y + STEP].T, -1, 1), -2.0)
+                at = score.argmax(1)  # of equal ones the earliest, for the right side is in order of rank
+                high = score[np.arange(len(score)), at]
+                better = high > top[x : x + STEP]
+                best[x : x + STEP][better], top[x : x + STEP][better] = at[better] + y, high[better]
+        rows_ = np.flatnonzero(best >= 0)
+        return pa.table({key: left[key].take(rows_), "max_id": right[key].take(best[rows_]), "score": top[rows_], "rank": rb[best[rows_]]})
 
     found = spread.groupBy(cluster, "i", "j").applyInArrow(lambda k, t: tile(k, t), schema)
     best = found.groupBy(key).agg(F.max_by(F.struct("max_id", "score"), F.struct("score", (-F.col("rank")).alias("r"))).alias("b")).select(key, "b.*")

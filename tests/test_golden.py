@@ -190,6 +190,7 @@ def test_routing_keeps_the_first_reason(spark):
 
 def test_semdedup_tiles_and_ties(spark, monkeypatch):
     monkeypatch.setattr(semdedup, "TILE", 3)
+    monkeypatch.setattr(semdedup, "STEP", 2)
     rows = [(i, 0 if i < 8 else 1, [math.cos(i % 4), math.sin(i % 4)]) for i in range(11)]
     df = spark.createDataFrame(rows, "id long, c int, v array<double>")
     made = semdedup.ranked(df, "id", "c", "v", semdedup.centroids(df, "c", "v"))
