@@ -10,7 +10,7 @@ at every ``SHORT_HOP`` samples up to its end, every candidate is a peak, zeros a
 distances are written as ``FAN`` more. The work of a payload goes through blocks of frames, so its length does
 not matter for memory.
 
-Null texts read as empty, an empty payload is 64 zero bytes, equal texts give equal values, ties between bins go to
+Null texts read as empty, null ids stay null, repeated rows are stored alike, an empty payload is 64 zero bytes, equal texts give equal values, ties between bins go to
 the lower one, and an empty table gives no rows. Other columns pass through ``with_fingerprints``.
 """
 
