@@ -346,6 +346,32 @@ SELECT k AS o_orderkey, CASE WHEN ok THEN (640 + k % 5)::INT END AS width, CASE
   CASE WHEN ok THEN (n - 1) * 1000000000 // 30 END::BIGINT AS last_ns, CASE WHEN ok THEN n * (k % 7 + 1) END::BIGINT AS bytes, NOT ok AS failed FROM t"""
 
 
+def _zipped(names):
+    import io
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for n in [*names, "../outside"]:
+            z.writestr(n, n[:1])
+    return (out.getvalue(),)
+
+
+def collected_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """A zip of nations for each region unpacked below a folder and collected in another: names and sizes there."""
+    from skein.operators import kernels
+
+    base = shared_folder(spark, "zips")
+    names = table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.concat_ws("/", F.col("n_regionkey").cast("string"), F.concat(F.replace("n_name", F.lit(" "), F.lit("_")), F.lit(".mp4"))))).alias("names"))
+    zips = kernels.with_kernel(names, kernels.Rowwise("content binary", _zipped, "names"))
+    sinks.write_files(files.unpacked(zips), f"{base}/in")
+    sinks.collected(files.listed(spark, f"{base}/in"), f"{base}/all")
+    return files.listed(spark, f"{base}/all").select("relative", "length")
+
+
+COLLECTED_SQL = "SELECT n_regionkey || '/' || replace(n_name, ' ', '_') || '.mp4' AS relative, 1::BIGINT AS length FROM nation"
+
+
 def _pictures(key):
     import numpy as np
 
@@ -406,7 +432,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         file_listing, session_files, retried_reads, input_lists, clip_metadata_rows, embedding_files, saved_tasks, sqlite_rows, mcap_messages, session_stamps, archive_round_trip, sink_formats, routed_clips, committed_fragments,
-        vector_store_rows, annotation_envelopes, error_maps, input_checks, path_parts, caption_statuses, frame_picks, scattered_answers, time_blobs, stream_arrivals, jdbc_catalog, packet_index, image_sizes, shard_packages, session_archives, dataset_files,
+        vector_store_rows, annotation_envelopes, error_maps, input_checks, path_parts, caption_statuses, frame_picks, scattered_answers, time_blobs, stream_arrivals, jdbc_catalog, packet_index, image_sizes, collected_inputs, shard_packages, session_archives, dataset_files,
     )
 }
 ORACLES = {
@@ -437,6 +463,7 @@ ORACLES = {
     "jdbc_catalog": JDBC_SQL,
     "packet_index": PACKET_SQL,
     "image_sizes": IMAGES_SQL,
+    "collected_inputs": COLLECTED_SQL,
     "shard_packages": SHARDS_SQL,
     "session_archives": SESSIONS_SQL,
     "dataset_files": DATASET_SQL,

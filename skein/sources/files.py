@@ -127,6 +127,18 @@ def members(kind: str, data: bytes) -> list[tuple[str, bytes]]:
         return [(m.name, t.extractfile(m).read()) for m in t.getmembers() if m.isfile()]
 
 
+def unpacked(archives: DataFrame, kind: str = "zip") -> DataFrame:
+    """(path, content) of every member of archives (content): for a sink of files, so that a zip of inputs becomes inputs."""
+
+    def run(batches):
+        for b in batches:
+            for data in b.column("content").to_pylist():
+                rows = [m for m in members(kind, data) if not m[0].startswith("/") and ".." not in m[0].split("/")]  # none outside the folder
+                yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in rows], pa.string()), pa.array([c for _, c in rows], pa.binary())], names=["path", "content"])
+
+    return archives.select("content").mapInArrow(run, "path string, content binary")
+
+
 def archive_samples(spark: SparkSession, folder: str, kind: str = "tar") -> DataFrame:
     """archive, key (member path without suffix) and a map from suffix to content; a suffix twice is an error."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{kind}").load(folder).select("path", "content")

@@ -98,6 +98,15 @@ def archives(rows: DataFrame, path: str, name: str, data: str) -> DataFrame:
     return laid.mapInArrow(run, "path string, content binary, n_keys long")
 
 
+def collected(files: DataFrame, base: str) -> None:
+    """Copies listed files (path, relative) below one folder: artifacts that runs left in several places."""
+    from skein.sources.files import read
+
+    got = read(files.select("path", "relative"))
+    missing = F.raise_error(F.concat(F.lit("not collected: "), F.col("path"))).cast("binary")
+    write_files(got.select(F.col("relative").alias("path"), F.coalesce("content", missing).alias("content")), base)
+
+
 def uri(path: str) -> str:
     """A path as Arrow's file systems read it."""
     return path if "://" in path else f"file://{path.removeprefix('file:')}"
