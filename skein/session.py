@@ -66,8 +66,10 @@ def _base(spark: SparkSession) -> str:
             _delete_at_exit(spark, named)
         context.setCheckpointDir(named)
     base = context.getCheckpointDir()
-    if named is not None and base.startswith(named):
-        _delete_at_exit(spark, base)
+    if named is not None:
+        path, fs = _path(spark, named)
+        if base.startswith(fs.makeQualified(path).toString()):
+            _delete_at_exit(spark, base)
     return base
 
 
@@ -78,15 +80,17 @@ def _path(spark: SparkSession, folder: str):
 
 
 def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Lets a folder go with the JVM; it is made for that, as Hadoop takes note of none that is not there."""
     path, fs = _path(spark, folder)
+    fs.mkdirs(path)
     fs.deleteOnExit(path)
 
 
 def shared_folder(spark: SparkSession, prefix: str) -> str:
-    """The name of a new folder beside the checkpoints; it goes when the session's JVM ends."""
+    """The name of a folder beside the checkpoints that is not there yet; it goes when the session's JVM ends."""
     folder = f"{_base(spark).rstrip('/')}/{prefix}-{uuid.uuid4()}"
     _delete_at_exit(spark, folder)
-    return folder
+    return f"{folder}/data"
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:
