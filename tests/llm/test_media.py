@@ -47,9 +47,15 @@ def test_query_against_plain_bytes(spark, sf):
 
 
 def test_fingerprints_against_brute_force(spark, sf):
-    for r in spark.read.parquet(f"{sf}/documents.parquet").limit(12).collect():
-        t, c = media.fingerprints(media.padded(r.text.encode()))
-        assert list(zip(t.tolist(), c.tolist())) == brute_fingerprints(media.padded(r.text.encode()))
+    made = {r.doc_id: r.feature for r in media.op6_wav_fingerprints(spark, sf).collect()}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        payload = media.padded(r.text.encode())
+        t, c = media.fingerprints(payload)
+        want = brute_fingerprints(payload)
+        assert list(zip(t.tolist(), c.tolist())) == want
+        if len(payload) > media.FRAME:
+            times, codes = (np.array(x, np.int32).tobytes() for x in (zip(*want) if want else ((), ())))
+            assert made[r.doc_id] == f"{len(want)}:{hashlib.sha256(times + codes).hexdigest()}"
 
 
 def test_blocks_do_not_matter(monkeypatch):
