@@ -11,16 +11,19 @@ can be equal only if their segments' k-mers are.
    anchor's suffix: Spark samples the suffixes' leading ``KMER`` bytes for splitters. A bucket sorts its suffixes by a
    multikey quicksort whose characters are eight bytes, and the reversed text left of the anchors alike, and takes the
    longest common prefixes of neighbours from the sorted order, within the bucket and across the edges of the blocks
-   that it is compared in. It streams through in parts of about ``PART`` bytes, laid by the leading bytes. Splitters never part suffixes that agree in the leading KMER bytes, so no pair of neighbours
-   that matters lies across two buckets. A string repeats if its segment occurs twice, or another one has its class of
-   left contexts and its class of right ones.
+   that it is compared in. It streams through in parts of about ``PART`` bytes, laid by the leading bytes. Splitters do
+   not part suffixes that agree in the leading KMER bytes, so no pair of neighbours that matters lies across two buckets:
+   every bucket also hands out its first and last suffix's leading bytes, and these are compared across the boundaries.
+   A string repeats if its segment occurs twice, or another one has its class of left contexts and its class of right
+   ones.
 3. K-mers with over ``HOT`` distinct segments would fill a bucket; their strings are counted by a 128-bit digest
    instead, combined before the shuffle, which takes any number of them.
 
 Spans of repeats are gathered for each document and cut where they are joined to its text.
 
-Null texts read as empty. Repeated rows repeat each other; their segments are fetched and sorted once. Rows of one id with different texts are told apart by a
-hash of the text. An empty table gives no rows.
+Null texts read as empty. Repeated rows repeat each other; their segments are fetched and sorted once. Rows of one id with
+different texts are told apart by a hash of the text. An empty table gives no rows. Columns other than id and text are
+ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +33,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from skein.llm.text import MULTIPLIER, SpanHash, byte_view, mix, slices, small_batches
@@ -242,11 +247,14 @@ def _with_bytes(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, PIECES)
 
 
-RUNS = "kmer long, whole long, runs array<int>"
+RUNS = "kmer long, whole long, runs array<int>, edge array<binary>"
 
 
 def _bucketed(pieces: DataFrame) -> DataFrame:
-    """Runs of repeated starts of every segment, by buckets of the anchors' suffixes."""
+    """Runs of repeated starts of every segment, by buckets of the anchors' suffixes.
+
+    A row with an ``edge`` is a bucket's first and last leading bytes, ``whole`` the bucket's number.
+    """
     ranged = pieces.repartitionByRange("lead").sortWithinPartitions("lead").drop("lead")
 
     def found(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -257,13 +265,18 @@ def _bucketed(pieces: DataFrame) -> DataFrame:
         kmer, n, m, count = (t[c].to_numpy().astype(np.int64) for c in ("kmer", "n", "m", "count"))
         flags = repeats(data, off - off[0], kmer, n, m, count)
         runs = pa.array([_runs(f) for f in flags], pa.list_(pa.int32()))
-        yield from pa.table([t["kmer"], t["whole"], runs], names=["kmer", "whole", "runs"]).to_batches(max_chunksize=4096)
+        yield from pa.table([t["kmer"], t["whole"], runs, pa.nulls(len(t), pa.list_(pa.binary()))], names=["kmer", "whole", "runs", "edge"]).to_batches(max_chunksize=4096)
+
+    def lead(b: pa.RecordBatch, i: int) -> bytes:
+        at = b.column("m")[i].as_py()
+        return b.column("bytes")[i].as_py()[at : at + KMER]
 
     def run(batches):
-        held, size = [], 0
+        held, size, edge = [], 0, []
         for b in batches:
             if not b.num_rows:
                 continue
+            edge = [edge[0] if edge else lead(b, 0), lead(b, b.num_rows - 1)]
             held.append(b)
             size += b.nbytes
             if size >= PART:
@@ -276,10 +289,20 @@ def _bucketed(pieces: DataFrame) -> DataFrame:
                 held, size = t.to_batches(), t.nbytes
         if held:
             yield from found(pa.Table.from_batches(held))
+            bucket = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([bucket]), pa.nulls(1, pa.list_(pa.int32())), pa.array([edge], pa.list_(pa.binary()))], names=["kmer", "whole", "runs", "edge"])
 
     return ranged.mapInArrow(run, RUNS)
 
 
+def compare_boundaries(runs: DataFrame) -> None:
+    """Error if the last suffix of a bucket and the first of the next one agree in their leading bytes."""
+    edges = runs.filter("edge is not null")  # a row for each bucket
+    both = edges.select(F.col("edge")[1].alias("last"), F.lead(F.col("edge")[0]).over(W.orderBy("whole")).alias("next"))
+    if not both.filter(F.col("last") == F.col("next")).isEmpty():
+        raise RuntimeError("a splitter parts suffixes that agree in their leading bytes")
+
+
 def _counted(pieces: DataFrame) -> DataFrame:
     """The same as :func:`_bucketed` by counting a digest of each string, for k-mers with very many segments."""
 
@@ -310,8 +333,9 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     if hot.isEmpty():
         runs = _bucketed(_with_bytes(texts, once))
     else:
-        runs = _bucketed(_with_bytes(texts, once.join(hot, "kmer", "left_anti"))).unionByName(_counted(_with_bytes(texts, once.join(hot, "kmer"))))
+        runs = _bucketed(_with_bytes(texts, once.join(hot, "kmer", "left_anti"))).unionByName(_counted(_with_bytes(texts, once.join(hot, "kmer"))), allowMissingColumns=True)
     runs = checkpointed(runs)  # the texts' shuffle for it goes before that for the cut
+    compare_boundaries(runs)
     start = F.shiftright("at", 16).cast("long")
     pairs = F.sequence(F.lit(0), (F.size("runs") / 2).cast("int") - 1)
     each = known.join(runs.filter(F.size("runs") > 0), ["kmer", "whole"]).select("id", "sub", "at", "runs", F.explode(pairs).alias("k"))

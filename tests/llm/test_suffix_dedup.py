@@ -116,3 +116,19 @@ def test_many_repeated_rows_with_clashing_columns(spark):
         df = df.withColumn(name, F.lit("x"))
     made = S.cut_out(df, "doc_id", "text").select("doc_id", F.size("spans").alias("n"), F.length("kept").alias("left")).collect()
     assert len(made) == 2001 and {(r.n, r.left) for r in made if r.doc_id == 3} == {(1, 0)} and [(r.n, r.left) for r in made if r.doc_id == 4] == [(0, 120)]
+
+
+def test_boundaries_are_compared(spark):
+    runs = lambda *edges: spark.createDataFrame([(1, 5, [0, 2], None), *((None, k, None, [bytearray(x) for x in e]) for k, e in edges)], S.RUNS)
+    S.compare_boundaries(runs((0, (b"a", b"c")), (3, (b"d", b"d")), (10, (b"e", b"f"))))
+    with pytest.raises(RuntimeError, match="parts suffixes"):
+        S.compare_boundaries(runs((10, (b"c", b"f")), (2, (b"a", b"c"))))
+
+
+def test_every_bucket_hands_out_its_edges(spark, sf, monkeypatch):
+    seen = []
+    kept = S.compare_boundaries
+    monkeypatch.setattr(S, "compare_boundaries", lambda runs: (seen.extend(runs.filter("edge is not null").collect()), kept(runs))[1])
+    S.op5_suffix_dedup(spark, sf).count()
+    leads = [bytes(x) for r in sorted(seen, key=lambda r: r.whole) for x in r.edge]
+    assert leads and leads == sorted(leads) and all(len(x) == S.KMER for x in leads)
