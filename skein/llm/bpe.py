@@ -28,7 +28,7 @@ from skein.llm.text import filled, slices, small_batches
 
 #: Pieces of text whose ids a worker remembers, then starts anew; about 100 MB.
 CACHE_PIECES = 400_000
-#: Longer pieces are encoded each time.
+#: Longer pieces are forgotten after the texts they are in.
 CACHE_CHARS = 64
 #: Pieces that go to the library in one text.
 JOINED = 512
@@ -86,23 +86,20 @@ class Codec:
     def encode(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
         cut = [self.pattern.findall(t) for t in texts]
-        of = self._lookup(cut)
-        return [list(chain.from_iterable(map(of, c))) for c in cut]
-
-    def _lookup(self, cut: list[list[str]]):
-        """A function from piece to ids for all pieces of the texts; short ones stay in the cache."""
+        long = self._learn(cut)
+        made = [list(chain.from_iterable(map(self.cache.__getitem__, c))) for c in cut]
+        for p in long:
+            del self.cache[p]
+        return made
+
+    def _learn(self, cut: list[list[str]]) -> list[str]:
+        """Puts the ids of all pieces of the texts into the cache; the long ones among them, which are not to stay."""
         pieces = set(chain.from_iterable(cut))
-        short = [p for p in pieces if len(p) <= CACHE_CHARS]
-        new = [p for p in short if p not in self.cache]
-        if len(self.cache) + len(new) > CACHE_PIECES:
+        if len(self.cache) + len(pieces) > CACHE_PIECES:
             self.cache.clear()
-            new = short
+        new = [p for p in pieces if p not in self.cache]
         self.cache.update(zip(new, self._ids_of(new)))
-        if len(short) == len(pieces):
-            return self.cache.__getitem__
-        long = [p for p in pieces if len(p) > CACHE_CHARS]
-        extra = dict(zip(long, self._ids_of(long)))
-        return lambda p: extra[p] if p in extra else self.cache[p]
+        return [p for p in new if len(p) > CACHE_CHARS]
 
     def digest(self, texts: list[str]) -> list[tuple[int, str, str, str, int]]:
         """For each text: number of ids; SHA-256 of the ids in decimal joined by spaces, of the bytes that they decode to
