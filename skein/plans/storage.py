@@ -418,6 +418,24 @@ UNION ALL SELECT 'raw/' || s || '.tar', s || '.' || c || '.json', length('[{"fra
 UNION ALL SELECT 'default/' || s || '.tar', s || '.' || c || '.json', length('["' || s || '-' || n || '", ["' || c || '"], [0], [0]]') FROM w"""
 
 
+def clip_files(spark: SparkSession, d: str) -> DataFrame:
+    """All files of documents as clips of two cameras, kept or rejected, and the markers of their videos, by digest."""
+    docs = table(spark, d, "documents").select("doc_id", "source", (F.col("doc_id") % 2).alias("rank"), F.when(F.col("n_chars") < 500, "motion").alias("stage_rejected"), F.encode("text", "utf-8").alias("video"), F.transform(F.sequence(F.lit(1), F.least(F.lit(3), F.col("n_chars")).cast("int")), lambda i: F.encode(i.cast("string"), "utf-8")).alias("previews"), F.array(F.lit(0.5)).alias("e"), "n_chars")
+    made = packages.clip_files(docs, "doc_id", "source", "rank", "video", "previews", "e", F.to_json(F.struct("doc_id", "n_chars")), "vectors")
+    chunks = table(spark, d, "lineitem").filter("l_linenumber <= 2").select(F.concat(F.lit("v"), F.col("l_orderkey").cast("string")).alias("v"), (F.col("l_linenumber") - 1).alias("c")).groupBy("v", "c").agg(F.lit(2).alias("n"))
+    marks = packages.marker_files(chunks, "v", "c", "n", F.to_json(F.struct("v", "c")))
+    return made.unionByName(marks).select("path", F.when(F.endswith("path", F.lit(".pickle")), F.lit(None)).otherwise(F.md5("content")).alias("digest"))
+
+
+CLIP_FILES_SQL = """WITH t AS (SELECT doc_id, source, n_chars, text, n_chars >= 500 AS kept, doc_id % 2 = 0 AS main FROM documents)
+SELECT CASE WHEN kept THEN 'clips/' ELSE 'filtered_clips/' END || source || '/' || doc_id || '.mp4' AS path, md5(text) AS digest FROM t
+UNION ALL SELECT 'metas/v0/' || doc_id || '.json', md5('{"doc_id":' || doc_id || ',"n_chars":' || n_chars || '}') FROM t WHERE main
+UNION ALL SELECT 'vectors/' || doc_id || '.pickle', NULL FROM t WHERE main AND kept
+UNION ALL SELECT 'previews/' || doc_id || '_' || i || '.webp', md5((i + 1)::VARCHAR) FROM t, range(3) r(i) WHERE main AND kept
+UNION ALL SELECT DISTINCT 'processed_clip_chunks/v' || l_orderkey || '_' || (l_linenumber - 1) || '.json', md5('{"v":"v' || l_orderkey || '","c":' || (l_linenumber - 1) || '}') FROM lineitem WHERE l_linenumber <= 2
+UNION ALL SELECT DISTINCT 'processed_videos/v' || l_orderkey || '.json', md5('{"num_clip_chunks":2}') FROM lineitem WHERE l_linenumber = 1"""
+
+
 def dataset_files(spark: SparkSession, d: str) -> DataFrame:
     """Documents as a dataset of single files by source, those without a video keeping the rest."""
     docs = table(spark, d, "documents").select("doc_id", "source", F.when(F.col("doc_id") % 4 > 0, F.encode("text", "utf-8")).alias("video"), "lang", F.array(F.lit(0.5)).alias("e"))
@@ -432,7 +450,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         file_listing, session_files, retried_reads, input_lists, clip_metadata_rows, embedding_files, saved_tasks, sqlite_rows, mcap_messages, session_stamps, archive_round_trip, sink_formats, routed_clips, committed_fragments,
-        vector_store_rows, annotation_envelopes, error_maps, input_checks, path_parts, caption_statuses, frame_picks, scattered_answers, time_blobs, stream_arrivals, jdbc_catalog, packet_index, image_sizes, collected_inputs, shard_packages, session_archives, dataset_files,
+        vector_store_rows, annotation_envelopes, error_maps, input_checks, path_parts, caption_statuses, frame_picks, scattered_answers, time_blobs, stream_arrivals, jdbc_catalog, packet_index, image_sizes, collected_inputs, shard_packages, session_archives, clip_files, dataset_files,
     )
 }
 ORACLES = {
@@ -466,5 +484,6 @@ ORACLES = {
     "collected_inputs": COLLECTED_SQL,
     "shard_packages": SHARDS_SQL,
     "session_archives": SESSIONS_SQL,
+    "clip_files": CLIP_FILES_SQL,
     "dataset_files": DATASET_SQL,
 }

@@ -93,6 +93,29 @@ def numbered_members(clips: DataFrame, part: str, session: str, variants: list[s
     return rows.select(path.alias("path"), F.concat_ws(".", F.col(session).cast("string"), "camera_name", F.lit("bin")).alias("name"), F.col("e").alias("data"))
 
 
+def clip_files(clips: DataFrame, clip: str, relative: str, camera_rank: str, video: str, previews: str, embedding: str, metadata: Column, vectors: str = "embeddings") -> DataFrame:
+    """(path, content) of every file of a run's clips, rejected ones (``stage_rejected``) in a folder of their own.
+
+    Every camera's clip has its video below its own relative path. The rest is shared by the cameras of a session, so only
+    the primary one writes it: metadata of all clips, previews of each window and the embedding of kept ones.
+    """
+    kept, primary = F.col("stage_rejected").isNull(), F.col(camera_rank) == 0
+    rows = pickled(clips.withColumn("__meta", metadata), embedding)
+    name = F.col(clip).cast("string")
+    own = F.struct(F.concat_ws("/", F.when(kept, "clips").otherwise("filtered_clips"), relative, F.concat(name, F.lit(".mp4"))).alias("path"), F.col(video).alias("content"))
+    meta = F.struct(F.concat(F.lit("metas/v0/"), name, F.lit(".json")).alias("path"), F.when(primary, F.encode("__meta", "utf-8")).alias("content"))
+    vector = F.struct(F.concat(F.lit(f"{vectors}/"), name, F.lit(".pickle")).alias("path"), F.when(primary & kept, F.col(embedding)).alias("content"))
+    windows = F.transform(F.when(primary & kept, F.col(previews)).otherwise(F.array().cast("array<binary>")), lambda p, i: F.struct(F.concat(F.lit("previews/"), name, F.lit("_"), i.cast("string"), F.lit(".webp")).alias("path"), p.alias("content")))
+    return rows.select(F.inline(F.filter(F.concat(F.array(own, meta, vector), windows), lambda x: x["content"].isNotNull())))
+
+
+def marker_files(chunks: DataFrame, video: str, chunk: str, n_chunks: str, record: Column) -> DataFrame:
+    """(path, content) of the markers that tell finished videos: one for each chunk, and the video's own from its first."""
+    own = F.struct(F.concat(F.lit("processed_clip_chunks/"), F.col(video), F.lit("_"), F.col(chunk).cast("string"), F.lit(".json")).alias("path"), F.encode(record, "utf-8").alias("content"))
+    whole = F.struct(F.concat(F.lit("processed_videos/"), F.col(video), F.lit(".json")).alias("path"), F.when(F.col(chunk) == 0, F.encode(F.to_json(F.struct(F.col(n_chunks).alias("num_clip_chunks"))), "utf-8")).alias("content"))
+    return chunks.select(F.inline(F.filter(F.array(own, whole), lambda x: x["content"].isNotNull())))
+
+
 def exported(clips: DataFrame, dataset: str, clip: str, view: str, video: str, caption: str, embedding: str) -> DataFrame:
     """(path, content) of a dataset of single files: each clip's video, caption text and pickled embedding, by view."""
     rows = pickled(clips.select(clip, view, video, caption, embedding), embedding)
