@@ -31,10 +31,16 @@ def _window_probabilities(frames, windows):
     return ([[0.9 if x else 0.1 for x in part] for part in filled],)
 
 
+def _flags(content):
+    return ([b - 48 for b in content],)
+
+
 def shot_stage(spark: SparkSession, d: str) -> DataFrame:
-    """Transitions that a detector finds in each user's events, errors being transitions, through its windows and back."""
+    """Transitions that a detector finds in each user's events, errors being transitions: decoded to frames, through the
+    detector's windows and back."""
     ev = table(spark, d, "events").select("user_id", F.struct("ts", "event_id", (F.col("event_type") == "error").cast("int").alias("e")).alias("x"))
-    rows = ev.groupBy("user_id").agg(F.array_sort(F.collect_list("x"))["e"].alias("frames"))
+    rows = ev.groupBy("user_id").agg(F.encode(joined(F.array_sort(F.collect_list("x"))["e"], ""), "utf-8").alias("content"))
+    rows = stages.DECODE_SMALL(rows, kernels.Rowwise(stages.DECODE_SMALL.answer, _flags, "content"))
     made = stages.DETECT_SHOTS(rows, kernels.Rowwise(stages.DETECT_SHOTS.answer, _window_probabilities, "frames", "windows"), threshold=0.5)
     return made.select("user_id", joined(F.col("transitions"), "").alias("transitions"))
 
