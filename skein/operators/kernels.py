@@ -27,31 +27,50 @@ class Kernel(Protocol):
     def destroy(self) -> None: ...
 
 
+#: Bytes of answers that are handed on at once.
+PART_BYTES = 1 << 20
+
+
 def with_kernel(df: DataFrame, kernel: Kernel, batch_rows: int = 256, attempts: int = 1) -> DataFrame:
-    """``df`` with the kernel's columns and ``kernel_error``: a batch that fails has nulls and the message there."""
+    """``df`` with the kernel's columns and ``kernel_error``: a batch that fails has nulls and the message there.
+
+    The kernel gets ``batch_rows`` rows at a time; what it answers goes on in Arrow batches of their own size, so a
+    kernel of single rows costs no batch a row. Only between two attempts is there a pause.
+    """
     added = T.StructType.fromDDL(kernel.output)
     schema = T.StructType([*df.schema.fields, *added.fields, T.StructField("kernel_error", T.StringType())])
-    kinds = [f.dataType for f in added.fields]
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_type
 
+        kinds = [to_arrow_type(f.dataType) for f in added.fields]
+
+        def answered(b):
+            for k in range(attempts):
+                try:
+                    made = kernel.run(b)
+                    break
+                except Exception as e:  # noqa: BLE001  failures of a kernel are data here
+                    error = f"{type(e).__name__}: {e}"
+                    if k + 1 < attempts:
+                        time.sleep(0.01 * 2**k)
+            else:
+                return [*(pa.nulls(b.num_rows, k) for k in kinds), pa.array([error] * b.num_rows, pa.string())]
+            if any(len(c) != b.num_rows for c in made):
+                raise ValueError(f"{b.num_rows} rows went to the kernel, {[len(c) for c in made]} answers came back")
+            return [*(c if c.type == k else c.cast(k) for c, k in zip(made, kinds, strict=True)), pa.nulls(b.num_rows, pa.string())]
+
         kernel.setup()
         try:
             for whole in batches:
+                start, held, n_bytes = 0, [], 0
                 for lo in range(0, whole.num_rows, batch_rows):
-                    b = whole.slice(lo, batch_rows)
-                    error = None
-                    for k in range(attempts):
-                        try:
-                            made, error = kernel.run(b), None
-                            break
-                        except Exception as e:  # noqa: BLE001  failures of a kernel are data here
-                            error = f"{type(e).__name__}: {e}"
-                            time.sleep(0.01 * 2**k)
-                    if error is not None:
-                        made = [pa.nulls(b.num_rows, to_arrow_type(k)) for k in kinds]
-                    yield pa.RecordBatch.from_arrays([*b.columns, *made, pa.array([error] * b.num_rows, pa.string())], names=schema.names)
+                    held.append(answered(whole.slice(lo, batch_rows)))
+                    n_bytes += sum(c.nbytes for c in held[-1])
+                    end = min(lo + batch_rows, whole.num_rows)
+                    if n_bytes >= PART_BYTES or end == whole.num_rows:
+                        yield pa.RecordBatch.from_arrays([*whole.slice(start, end - start).columns, *(pa.concat_arrays(c) for c in zip(*held))], names=schema.names)
+                        start, held, n_bytes = end, [], 0
         finally:
             kernel.destroy()
 
@@ -117,7 +136,8 @@ class AsyncCalls:
                         return await self.call(value), None
                     except Exception as e:  # noqa: BLE001  failures of a call are data here
                         error = f"{type(e).__name__}: {e}"
-                        await asyncio.sleep(0.01 * 2**k)
+                        if k + 1 < self.attempts:
+                            await asyncio.sleep(0.01 * 2**k)
                 return None, error
 
         async def all_():

@@ -1,5 +1,8 @@
 """Stages, registries and programs: what is an error, what is data, and what a configuration leaves out."""
 
+import time
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,3 +55,49 @@ def test_catalog_administration(spark):
     spark.catalog.dropTempView("administered")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         catalog.evolved(spark.createDataFrame([("x",)], "s string"), {"s": "int"}).collect()
+
+
+class Failing(kernels.Rowwise):
+    """Fails on every row that is no multiple of ``step``; ``calls`` are the sizes of what it was given."""
+
+    def __init__(self, step):
+        super().__init__("x bigint", lambda i: (i,), "id")
+        self.step, self.calls = step, []
+
+    def run(self, batch):
+        self.calls.append(batch.num_rows)
+        if batch.column("id")[0].as_py() % self.step:
+            raise ValueError("odd")
+        return super().run(batch)
+
+
+def ran(df, kernel, batches, **options):
+    """What the function that with_kernel hands to Spark yields for Arrow batches."""
+
+    class Caught:
+        schema = df.schema
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return list(run(iter(batches)))
+
+    return kernels.with_kernel(Caught(), kernel, **options)
+
+
+def test_single_rows_go_on_in_whole_batches_and_last_failures_do_not_wait(spark):
+    batch, kernel = pa.RecordBatch.from_pydict({"id": pa.array(range(1000), pa.int64())}), Failing(2)
+    began = time.monotonic()
+    made = ran(spark.range(1), kernel, [batch, batch.slice(0, 0)], batch_rows=1)
+    assert time.monotonic() - began < 2.5  # 500 pauses of 10 ms took 5 s
+    assert kernel.calls == [1] * 1000 and [b.num_rows for b in made] == [1000]
+    assert made[0].column("x").to_pylist() == [None if i % 2 else i for i in range(1000)]
+    assert made[0].column("kernel_error").to_pylist() == ["ValueError: odd" if i % 2 else None for i in range(1000)]
+    large = ran(spark.range(1), kernels.Rowwise("x binary", lambda i: (bytes(400_000),), "id"), [batch.slice(0, 7)], batch_rows=1)
+    assert [b.num_rows for b in large] == [3, 3, 1] and [x for b in large for x in b.column("id").to_pylist()] == list(range(7))
+
+
+def test_answers_of_another_number_are_an_error(spark):
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(4), pa.int64())})
+    kernel = kernels.Rowwise("x bigint", lambda i: (i,), "id")
+    kernel.run = lambda b: [pa.array(range(1 if b.column("id")[0].as_py() else 3), pa.int64())]
+    with pytest.raises(ValueError, match="2 rows went to the kernel"):
+        ran(spark.range(1), kernel, [batch], batch_rows=2)
