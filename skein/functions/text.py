@@ -125,3 +125,11 @@ def with_error(errors: Column, key: str, message: Column) -> Column:
     """An error map with one more entry where the message is not null."""
     base = F.coalesce(errors, F.create_map().cast("map<string,string>"))
     return F.when(message.isNull(), base).otherwise(F.map_concat(F.map_filter(base, lambda k, _: k != key), F.create_map(F.lit(key), message)))
+
+
+def upper(text: str) -> str:
+    """Upper case one character for one, as SQL has it: sharp s is a capital sharp s, ligatures stay."""
+    made = text.upper()
+    if len(made) == len(text):  # a case mapping never drops a character
+        return made
+    return "".join(u if len(u := c.upper()) == 1 else t if len(t := c.title()) == 1 else "\u1e9e" if c == "\u00df" else c for c in text)

@@ -7,6 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.functions import text
 from skein.operators import kernels, shots, spans, stages
 from skein.plans.cutting import CAPTION_WINDOWS_SQL
 from skein.plans.framing import SAMPLING_SQL
@@ -227,8 +228,8 @@ def embedding_stages(spark: SparkSession, d: str) -> DataFrame:
     kernel = kernels.Rowwise("embedding array<float>", _first_bytes, "content")
     rows = stages.EMBED_IMAGE(_documents(spark, d), kernel, model="small").withColumnRenamed("embeddings", "images")
     made = stages.EMBED_CLIP(rows, kernel)
-    text = lambda v: joined(F.transform(v, lambda x: x.cast("int")))
-    return made.select("doc_id", text(F.col("embedding")).alias("clip"), text(F.col("images")["small"]).alias("image"))
+    shown = lambda v: joined(F.transform(v, lambda x: x.cast("int")))
+    return made.select("doc_id", shown(F.col("embedding")).alias("clip"), shown(F.col("images")["small"]).alias("image"))
 
 
 EMBEDDINGS_SQL = """SELECT doc_id, x AS clip, x AS image FROM (SELECT doc_id, array_to_string(list_transform(range(3), lambda i: ('0x' || sha256(text)[2 * i + 1 : 2 * i + 2])::INT), ',') AS x FROM documents) t"""
@@ -286,9 +287,11 @@ PROGRAM_SQL = """SELECT CASE WHEN s < 0.5 THEN 'aesthetic' ELSE 'kept' END AS ou
 FROM (SELECT list_sum(list_transform(range(4), lambda i: ('0x' || sha256(text)[2 * i + 1 : 2 * i + 2])::INT / 255.0::DOUBLE)) / 4 AS s FROM documents) t GROUP BY 1"""
 
 async def _called(prompt):
+    if prompt is None:
+        return None
     if len(prompt) % 11 == 0:
         raise TimeoutError("no answer")
-    return prompt[:3].upper()
+    return text.upper(prompt[:3])
 
 
 def async_answers(spark: SparkSession, d: str) -> DataFrame:

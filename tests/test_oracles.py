@@ -1,3 +1,4 @@
+import duckdb
 import oracle
 import pytest
 
@@ -27,3 +28,18 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(catalogue.QUERIES) <= set(entry.queries()) and set(catalogue.ORACLES) <= set(entry.oracle_sql())
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def odd(spark, tmp_path, table, rows, schema):
+    """A folder with that one table, and a connection that sees it."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/rows")
+    next((tmp_path / "rows").glob("*.parquet")).rename(tmp_path / f"{table}.parquet")
+    made = duckdb.connect()
+    made.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{tmp_path}/{table}.parquet')")
+    return made
+
+
+def test_async_answers_of_letters_without_a_single_capital(spark, tmp_path):
+    texts = ["Enßau dem", "ßßßx", "\ufb01n", "\u0149ab", "\u1fb3bc", "\u01c6b", "\u0131i\u0130", "", "x" * 11, None]
+    con = odd(spark, tmp_path, "conversations", [(i, 0, "user", t) for i, t in enumerate(texts)], "conv_id long, turn int, role string, text string")
+    assert oracle.compare(spark, con, str(tmp_path), catalogue.QUERIES["async_answers"], catalogue.ORACLES["async_answers"]) == len(texts)
