@@ -2,6 +2,8 @@ import io
 import json
 import sqlite3
 import struct
+import subprocess
+import sys
 import tarfile
 import zipfile
 
@@ -9,6 +11,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
+from skein.operators import records
 from skein.sources import files, mcap, sinks, sqlite
 from skein.streaming import arrivals
 
@@ -160,3 +163,32 @@ def test_session_timestamps(spark):
     lines = spark.createDataFrame([("2, 100",), ("bad",), ("7,5",), (None,)], "value string")
     assert sorted(tuple(r) for r in mcap.session_timestamps(lines).collect()) == [(2, 100), (7, 5)]
     assert [tuple(r) for r in mcap.session_timestamps(lines, {2: 20}).collect()] == [(20, 100)]
+
+
+CLUSTER = """
+import sys
+from pyspark.sql import SparkSession
+from skein.plans import catalogue
+from skein.session import ship
+conf = {"spark.ui.enabled": "false", "spark.driver.host": "127.0.0.1", "spark.executor.memory": "512m", "spark.checkpoint.dir": f"file://{sys.argv[1]}/shared"}
+spark = SparkSession.builder.master("local-cluster[2,1,600]").config(map=conf).getOrCreate()
+ship(spark)
+print(catalogue.QUERIES["jdbc_catalog"](spark, sys.argv[2]).distinct().count())
+spark.stop()
+"""
+
+
+def test_jdbc_catalog_where_executors_are_other_processes(sf, tmp_path):
+    said = subprocess.run([sys.executable, "-c", CLUSTER, str(tmp_path), sf], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert said.returncode == 0, said.stderr[-3000:]
+    assert said.stdout.split()[-1] == "40"
+
+
+def test_database_files_take_all_kinds_of_values(spark, tmp_path):
+    url = f"jdbc:derby:;databaseName={tmp_path}/d;create=true"
+    rows = spark.createDataFrame([(1, 2.5, True, "it's", bytearray(b"\0\1"), "2024-02-29"), (None,) * 6], "i int, x double, b boolean, s string, c binary, d string").withColumn("d", F.to_date("d"))
+    rows.limit(0).withColumn("run_uuid", F.lit("")).write.format("jdbc").option("url", url).option("dbtable", "t").option("createTableColumnTypes", "run_uuid VARCHAR(64)").mode("append").save()
+    for _ in range(2):
+        records.append_run(rows, url, "t", "o'ne", limit="FETCH FIRST 1 ROWS ONLY")
+        got = files.jdbc_query(spark, url, 'SELECT "i", "x", "b", "s", "c", "d" FROM t')
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, rows.collect()))
