@@ -172,3 +172,29 @@ def test_fragments_are_committed_once(spark, tmp_path):
     fragments.stage(spark.range(3).withColumn("x", F.lit(1)), staging, "odd")
     with pytest.raises(ValueError, match="other columns"):
         fragments.consolidated(spark, staging, done, final)
+
+
+def test_index_of_many_files_in_one_batch(spark):
+    """Packets of files laid end to end: those of a file stay its own, also beside files that are none, and over parts."""
+
+    def video(n, step=1):
+        return packets.muxed([(bytes(i % 5 + 1), (i ^ 1 if i ^ 1 < n else i) * step, i * step, i % 4 == 0) for i in range(n)], 1_000_000, 6, 4)
+
+    made = [video(1), b"none", video(7, 2_000_000_000 // 7), None, video(packets.AT_ONCE + 3), video(2), video(0), video(3)[:-9]]
+    df = spark.createDataFrame([(i, None if x is None else bytearray(x)) for i, x in enumerate(made)], "k int, content binary").coalesce(1)
+    got = {r.k: r for r in packets.indexed(df).collect()}
+    assert sorted(got) == list(range(8)) and [k for k, r in got.items() if r.errors] == [1, 3, 6, 7] == [k for k, r in got.items() if r.packets is None and r.metadata is None]
+    for k in (0, 2, 4, 5):
+        t = packets.mp4_track(made[k])
+        want = sorted(t.packets, key=lambda p: p.pts)
+        assert [tuple(p) for p in got[k].packets] == [(p.pts, p.dts, p.pts * 1000, p.offset, p.size, p.is_key) for p in want]
+        assert [made[k][p.offset : p.offset + p.size] for p in t.packets] == [bytes(i % 5 + 1) for i in range(len(want))]
+        assert got[k].metadata.num_frames == len(want) and got[k].metadata.width == 6
+
+
+def test_a_timescale_of_0_is_the_file_s_error(spark):
+    data = bytearray(packets.muxed([(b"x", 0, 0, True)], 30))
+    at = data.index(b"mdhd") + 4 + 12
+    data[at : at + 4] = bytes(4)
+    row = packets.indexed(spark.createDataFrame([(data,)], "content binary")).first()
+    assert row.packets is None and "timescale" in row.errors["probe"]
