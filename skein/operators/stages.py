@@ -128,11 +128,9 @@ def _detected(df: DataFrame, rate: float = 8.0, **_) -> DataFrame:
 
 
 def _boxed(df: DataFrame, interval: int = 1, **_) -> DataFrame:
-    """Tracks of overlay text and the share of frames with a corner box, as verdicts (text_tracks, corner_share)."""
-    boxes = df.select("clip_uuid", F.inline("boxes"))
-    found = tracks.text_tracks(boxes, "clip_uuid", interval).groupBy("clip_uuid").agg(F.count("*").alias("n_tracks"))
-    share = tracks.corner_share(boxes, "clip_uuid", 1.0, 1.0)
-    return df.drop("boxes").join(found, "clip_uuid", "left").join(share, "clip_uuid", "left").fillna({"n_tracks": 0, "share": 0.0})
+    """Tracks of overlay text and the share of frames with a corner box, as verdicts (n_tracks, corner_share_of) of each row."""
+    made = df.withColumns({"n_tracks": tracks.n_tracks(F.col("boxes"), interval), "share": tracks.corner_share_of(F.col("boxes"), 1.0, 1.0)})
+    return made.drop("boxes").fillna({"n_tracks": 0, "share": 0.0})
 
 
 def _events(df: DataFrame, template: str = "{instances} {duration}", **_) -> DataFrame:

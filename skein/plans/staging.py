@@ -190,6 +190,7 @@ DECODE_SQL = f"SELECT user_id, sum(n)::BIGINT AS n, sum(idx * n)::BIGINT AS chec
 
 
 def _corner(content):
+    content = content or b""
     at = len(content) % 4 * 0.25
     return ([{"frame": f, "x0": at, "y0": at, "x1": at + 0.25, "y1": at + 0.25} for f in range(len(content) % 3)],)
 

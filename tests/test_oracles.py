@@ -43,3 +43,11 @@ def test_async_answers_of_letters_without_a_single_capital(spark, tmp_path):
     texts = ["Enßau dem", "ßßßx", "\ufb01n", "\u0149ab", "\u1fb3bc", "\u01c6b", "\u0131i\u0130", "", "x" * 11, None]
     con = odd(spark, tmp_path, "conversations", [(i, 0, "user", t) for i, t in enumerate(texts)], "conv_id long, turn int, role string, text string")
     assert oracle.compare(spark, con, str(tmp_path), catalogue.QUERIES["async_answers"], catalogue.ORACLES["async_answers"]) == len(texts)
+
+
+def test_overlay_text_of_rows_of_one_id_and_of_none(spark, tmp_path):
+    """A row's verdict is its own, and is found without a shuffle."""
+    rows = [(k, "x" * n) for n in range(13) for k in (1, 2 + n, None)] + [(99, None)]
+    con = odd(spark, tmp_path, "documents", rows, "doc_id long, text string")
+    assert oracle.compare(spark, con, str(tmp_path), catalogue.QUERIES["overlay_text_stage"], catalogue.ORACLES["overlay_text_stage"]) == 40
+    assert "Exchange" not in catalogue.QUERIES["overlay_text_stage"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()

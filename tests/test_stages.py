@@ -1,12 +1,13 @@
 """Stages, registries and programs: what is an error, what is data, and what a configuration leaves out."""
 
+import random
 import time
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skein.operators import catalog, kernels, spans, stages
+from skein.operators import catalog, kernels, spans, stages, tracks
 
 
 def echo(**options):
@@ -101,3 +102,30 @@ def test_answers_of_another_number_are_an_error(spark):
     kernel.run = lambda b: [pa.array(range(1 if b.column("id")[0].as_py() else 3), pa.int64())]
     with pytest.raises(ValueError, match="2 rows went to the kernel"):
         ran(spark.range(1), kernel, [batch], batch_rows=2)
+
+
+def greedy(boxes, interval):
+    """Tracks as text_tracks words them, every track looked at for every box."""
+    made = []
+    for f, *box in sorted(boxes):
+        for t in made:
+            if f - t[1] <= tracks.GAP * interval and tracks.box_iou(t[3], box) >= tracks.MIN_IOU:
+                t[1:] = f, t[2] + 1, box
+                break
+        else:
+            made.append([f, f, 1, box])
+    return [tuple(t[:3]) for t in made]
+
+
+def test_tracks_of_rows_and_of_groups(spark):
+    rng = random.Random(5)
+    clips = {k: [(rng.randrange(60), x := rng.choice([0.0, 0.02, 0.5]), 0.0, x + 0.4, 0.2) for _ in range(k * 9)] for k in range(7)}
+    rows = spark.createDataFrame(list(clips.items()), "clip_uuid int, boxes array<struct<frame:bigint,x0:double,y0:double,x1:double,y1:double>>")
+    each = rows.select("clip_uuid", F.inline("boxes"))
+    found = {}
+    for r in tracks.text_tracks(each, "clip_uuid", 2).orderBy("clip_uuid", "track").collect():
+        found.setdefault(r.clip_uuid, []).append((r.first, r.last, r.n))
+    assert found == {k: greedy(b, 2) for k, b in clips.items() if b}
+    share = {r.clip_uuid: r.share for r in tracks.corner_share(each, "clip_uuid", 1.0, 1.0).collect()}
+    got = rows.select("clip_uuid", tracks.n_tracks(F.col("boxes"), 2).alias("n"), tracks.corner_share_of(F.col("boxes"), 1.0, 1.0).alias("share")).collect()
+    assert {r.clip_uuid: (r.n, r.share) for r in got} == {k: (len(greedy(b, 2)), share.get(k)) for k, b in clips.items()}
