@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import struct
 import tarfile
 
 import pyarrow as pa
@@ -61,41 +62,57 @@ def append_new(df: DataFrame, path: str, key: str) -> None:
     fresh.write.mode("append").parquet(path)
 
 
-def tar_bytes(samples: list[tuple[str, bytes]]) -> bytes:
-    """A tar of (name, content), times and owners left out so that equal samples make equal archives."""
-    out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w") as t:
-        for name, data in samples:
-            info = tarfile.TarInfo(name)
-            info.size = len(data)
-            t.addfile(info, io.BytesIO(data))
-    return out.getvalue()
+#: Rows of a batch that are Python objects at once.
+ROWS = 64
 
 
-def archives(rows: DataFrame, path: str, name: str, data: str) -> DataFrame:
+def archives(rows: DataFrame, path: str, name: str, data: str, limit: int = 0) -> DataFrame:
     """(path, content, n_keys): a tar for each value of ``path``, members by name.
 
-    The caller's packing bounds an archive's bytes; rows are sorted inside the shuffle and streamed, one archive held.
+    Rows are sorted inside the shuffle and streamed, one archive held. The caller's packing bounds an archive's bytes, or
+    ``limit`` does: then a path's members are dealt out by ranges of keys (names without suffix), and an archive that has so
+    many bytes is closed before the next key. Their paths say which range they come from and which of it they are.
     """
-    laid = rows.select(F.col(path).alias("path"), F.col(name).alias("name"), F.col(data).alias("data")).repartition("path").sortWithinPartitions("path", "name")
+    laid = rows.select(F.col(path).alias("path"), F.col(name).alias("name"), F.col(data).alias("data"))
+    if limit:
+        key = F.regexp_replace("name", r"\.[^./]*$", "")
+        laid = laid.withColumn("key", key).repartitionByRange("path", "key").sortWithinPartitions("path", "key", "name")
+    else:
+        laid = laid.withColumn("key", F.lit("")).repartition("path").sortWithinPartitions("path", "name")
 
     def run(batches):
-        at, held = None, []
+        from pyspark import TaskContext
+
+        at, last, n_members, n_made, held, tar = None, None, 0, 0, None, None
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array([at]), pa.array([tar_bytes(held)], pa.binary()), pa.array([len(held)], pa.int64())], names=["path", "content", "n_keys"])
-
-        for b in batches:
-            for p, n, d in zip(b.column("path").to_pylist(), b.column("name").to_pylist(), b.column("data").to_pylist()):
-                if held and p != at:
-                    yield out()
-                    held = []
-                at = p
-                held.append((n, d))
-        if held:
+            nonlocal n_made, held, tar
+            tar.close()
+            stem, dot, suffix = at.rpartition(".") if "." in at.rsplit("/", 1)[-1] else (at, "", "")
+            name = f"{stem}-{TaskContext.get().partitionId():06d}-{n_made:06d}{dot}{suffix}" if limit else at
+            n_made += 1
+            made = pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(struct.pack("=ii", 0, held.tell())), pa.py_buffer(held.getbuffer())])
+            held = tar = None
+            return pa.RecordBatch.from_arrays([pa.array([name]), made, pa.array([n_members], pa.int64())], names=["path", "content", "n_keys"])
+
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS):
+                b = whole.slice(lo, ROWS)
+                for p, n, key, d in zip(*(b.column(c).to_pylist() for c in ("path", "name", "key", "data"))):
+                    if held is not None and (p != at or (limit and key != last and held.tell() >= limit)):
+                        yield out()
+                    if held is None:
+                        held, n_members = io.BytesIO(), 0
+                        tar = tarfile.open(fileobj=held, mode="w")
+                    at, last, n_members = p, key, n_members + 1
+                    info = tarfile.TarInfo(n)  # times and owners left out so that equal samples make equal archives
+                    info.size = len(d)
+                    tar.addfile(info, io.BytesIO(d))
+                    tar.members.clear()  # a list of all members for readers
+        if held is not None:
             yield out()
 
-    return laid.mapInArrow(run, "path string, content binary, n_keys long")
+    return laid.select("path", "name", "key", "data").mapInArrow(run, "path string, content binary, n_keys long")
 
 
 def collected(files: DataFrame, base: str) -> None:

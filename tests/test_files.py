@@ -7,6 +7,7 @@ import sys
 import tarfile
 import zipfile
 
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -192,3 +193,29 @@ def test_database_files_take_all_kinds_of_values(spark, tmp_path):
         records.append_run(rows, url, "t", "o'ne", limit="FETCH FIRST 1 ROWS ONLY")
         got = files.jdbc_query(spark, url, 'SELECT "i", "x", "b", "s", "c", "d" FROM t')
         assert sorted(map(repr, got.collect())) == sorted(map(repr, rows.collect()))
+
+
+def test_archives_of_bounded_bytes(spark):
+    """No archive goes on after the limit, keys stay whole, whatever suffixes and dots they have, and nothing is lost."""
+    rows = [("en/web.tar", f"{k}{e}", bytes([i % 251]) * 3000) for i in range(120) for k in (f"k{i}", f"k{i}.more") for e in (".a", ".txt")] + [("plain", "one", b"1")]
+    df = spark.createDataFrame(rows, "p string, n string, d binary").repartition(3)
+    made = sinks.archives(df, "p", "n", "d", 50_000).collect()
+    seen, found = {}, []
+    for r in made:
+        assert len(r.content) < 50_000 + 2 * 4096 + 10_240
+        for n, c in files.members("tar", bytes(r.content)):
+            found.append((n, c))
+            assert seen.setdefault(n.rpartition(".")[0] or n, r.path) == r.path
+    assert sorted(found) == sorted((n, c) for _, n, c in rows) and len({r.path for r in made}) == len(made) > 20
+    assert sum(r.n_keys for r in made) == len(rows) and {r.path.split("-")[0] for r in made} == {"en/web", "plain"}
+
+
+def test_members_of_a_large_archive_go_on_in_parts(spark, tmp_path):
+    with tarfile.open(tmp_path / "a.tar", "w") as t:
+        for i in range(9):
+            info = tarfile.TarInfo(f"{i}.txt")
+            info.size = 400_000
+            t.addfile(info, io.BytesIO(bytes(400_000)))
+    data = pa.py_buffer((tmp_path / "a.tar").read_bytes())
+    assert [b.num_rows for b in files._parts(files.members("tar", data), ["name", "content"])] == [3, 3, 3]
+    assert files.archive_samples(spark, str(tmp_path)).count() == 9

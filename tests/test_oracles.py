@@ -51,3 +51,9 @@ def test_overlay_text_of_rows_of_one_id_and_of_none(spark, tmp_path):
     con = odd(spark, tmp_path, "documents", rows, "doc_id long, text string")
     assert oracle.compare(spark, con, str(tmp_path), catalogue.QUERIES["overlay_text_stage"], catalogue.ORACLES["overlay_text_stage"]) == 40
     assert "Exchange" not in catalogue.QUERIES["overlay_text_stage"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_archives_of_documents_without_source_or_text(spark, tmp_path):
+    rows = [(1, "a", "en", "web"), (2, "", "en", None), (3, None, None, "web"), (4, "dß", None, None)]
+    con = odd(spark, tmp_path, "documents", rows, "doc_id long, text string, lang string, source string")
+    assert oracle.compare(spark, con, str(tmp_path), catalogue.QUERIES["archive_round_trip"], catalogue.ORACLES["archive_round_trip"]) == 4
